@@ -274,3 +274,181 @@ SELECT window_start, category, avg_order_value,
        CAST(failed_payments AS DOUBLE) / CAST(total_orders AS DOUBLE) AS failed_rate
 FROM revenue_5min"""),
 }
+
+
+# --- upsert fold, KPI board, quality, lifecycle, observability ------------------------------
+
+DQ_CUTOFF = "2024-01-30 00:00:00"   # NOW - 1 day
+RAW_COLS = ["event_day", "order_id", "customer_id", "product_id", "order_amount", "quantity",
+            "payment_status", "order_status", "payment_method", "device_type", "city", "event_time"]
+_statuses = ", ".join(f"'{s}'" for s in rules.VALID_PAYMENT_STATUS)
+TAGGED = f"""
+, tagged AS (
+  SELECT *, CASE WHEN NOT coalesce(order_amount > 0, false) THEN 'INVALID_AMOUNT'
+                 WHEN NOT coalesce(event_time > TIMESTAMP '{DQ_CUTOFF}', false) THEN 'STALE_EVENT'
+                 WHEN NOT coalesce(payment_status IN ({_statuses}), false) THEN 'INVALID_PAYMENT_STATUS'
+            END AS error_type,
+            CASE WHEN NOT coalesce(order_amount > 0, false) THEN 'order_amount missing or not > 0'
+                 WHEN NOT coalesce(event_time > TIMESTAMP '{DQ_CUTOFF}', false) THEN 'event_time not within 1 day of processing time'
+                 WHEN NOT coalesce(payment_status IN ({_statuses}), false) THEN 'payment_status not in ({", ".join(rules.VALID_PAYMENT_STATUS)})'
+            END AS error_message
+  FROM orders_raw)
+"""
+
+
+def _payload_sql() -> str:
+    parts = []
+    for c in RAW_COLS:
+        v = "strftime(event_time, '%Y-%m-%d %H:%M:%S.%g')" if c == "event_time" else f"CAST({c} AS VARCHAR)"
+        parts.append(f"'{c}', {v}")
+    return f"json_object({', '.join(parts)})"
+
+
+SAMPLES = """
+, samples AS (
+  SELECT 'ingestion_latency' AS metric, event_time AS ts,
+         round(CAST(epoch_us(time_bucket(INTERVAL '5 seconds', event_time) + INTERVAL '5 seconds')
+                    - epoch_us(event_time) AS DOUBLE) / 1000000.0, 3) AS value
+  FROM orders_raw)
+"""
+
+_KEYS_VALUES = ", ".join(f"('{k}')" for k in [*rules.KPI_KEYS, "high_value_alerts", "suspicious_alerts"])
+LATEST_KPIS = """
+, latest_kpis AS (
+  SELECT k.* FROM kpis_1min k JOIN (SELECT metric_key, MAX(updated_at) AS m FROM kpis_1min GROUP BY 1) x
+  ON k.metric_key = x.metric_key AND k.updated_at = x.m)
+"""
+
+ORACLE.update({
+    "kpis_latest": _q(LATEST_KPIS + "SELECT * FROM latest_kpis"),
+    "kpi_board": _q(LATEST_KPIS + f"""
+SELECT b.metric_key, coalesce(v.metric_value, 0.0) AS metric_value
+FROM (VALUES {_KEYS_VALUES}) b(metric_key) LEFT JOIN (
+  SELECT metric_key, metric_value FROM latest_kpis
+  UNION ALL SELECT 'high_value_alerts', CAST(COUNT(*) AS DOUBLE) FROM high_value_orders
+  UNION ALL SELECT 'suspicious_alerts', CAST(COUNT(*) AS DOUBLE) FROM suspicious_orders) v
+ON b.metric_key = v.metric_key"""),
+    "dedup_orders": _q("SELECT * FROM orders_raw"),
+    "dq_valid": _q(TAGGED + f"""
+SELECT {", ".join("CAST(least(greatest(quantity, 1), 100) AS INTEGER) AS quantity" if c == "quantity" else c for c in RAW_COLS)}
+FROM tagged WHERE error_type IS NULL"""),
+    "dq_errors": _q(TAGGED + f"""
+SELECT order_id AS original_order_id, error_type, error_message, {_payload_sql()} AS raw_payload,
+       TIMESTAMP '{NOW}' AS failed_at
+FROM tagged WHERE error_type IS NOT NULL"""),
+    "rejection_rate": _q(TAGGED + """
+SELECT COUNT(*) AS total_rows, COUNT(error_type) AS rejected,
+       CAST(SUM(CASE WHEN error_type = 'INVALID_AMOUNT' THEN 1 ELSE 0 END) AS BIGINT) AS invalid_amount,
+       CAST(SUM(CASE WHEN error_type = 'STALE_EVENT' THEN 1 ELSE 0 END) AS BIGINT) AS stale_event,
+       CAST(SUM(CASE WHEN error_type = 'INVALID_PAYMENT_STATUS' THEN 1 ELSE 0 END) AS BIGINT) AS invalid_payment_status,
+       CAST(COUNT(error_type) AS DOUBLE) / COUNT(*) AS rejection_rate
+FROM tagged"""),
+    "join_miss_rate": _q("""
+SELECT COUNT(*) AS total_orders,
+       CAST(SUM(CASE WHEN customer_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS customer_misses,
+       CAST(SUM(CASE WHEN product_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS product_misses,
+       CAST(SUM(CASE WHEN customer_name IS NULL OR product_name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS any_misses,
+       CAST(SUM(CASE WHEN customer_name IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS customer_miss_rate,
+       CAST(SUM(CASE WHEN product_name IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS product_miss_rate,
+       CAST(SUM(CASE WHEN customer_name IS NULL OR product_name IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS join_miss_rate
+FROM orders_enriched"""),
+    "invariants": _q(f"""
+SELECT check_name, violations, violations = 0 AS passed FROM (
+  SELECT 'enriched_names_present' AS check_name,
+         CAST(COUNT(*) FILTER (WHERE customer_name IS NULL OR product_name IS NULL) AS BIGINT) AS violations
+  FROM orders_enriched
+  UNION ALL SELECT 'high_value_threshold', CAST(COUNT(*) FILTER (WHERE order_amount < {rules.HIGH_VALUE_THRESHOLD}) AS BIGINT)
+  FROM high_value_orders
+  UNION ALL SELECT 'suspicious_reason_present', CAST(COUNT(*) FILTER (WHERE reason IS NULL) AS BIGINT)
+  FROM suspicious_orders
+  UNION ALL SELECT 'avg_electronics_gt_grocery',
+         CAST(CASE WHEN avg(order_amount) FILTER (WHERE category = 'electronics') >
+                        avg(order_amount) FILTER (WHERE category = 'grocery') THEN 0 ELSE 1 END AS BIGINT)
+  FROM orders_enriched)"""),
+    "masked_orders": _q("""
+SELECT event_day, order_id, sha256(customer_id) AS customer_id,
+       CASE WHEN customer_name IS NOT NULL THEN substr(customer_name, 1, 1) || '***' END AS customer_name,
+       loyalty_tier, product_id, product_name, brand, category, city, order_amount, quantity,
+       payment_status, order_status, payment_method, device_type, event_time
+FROM orders_enriched"""),
+    "retention_keep": _q("""
+SELECT event_day, COUNT(*) AS row_count FROM orders_raw WHERE event_day >= '20240123' GROUP BY 1"""),
+    "union_read": _q("""
+SELECT category, COUNT(*) AS total_orders, CAST(SUM(order_amount) AS DECIMAL(20,2)) AS total_revenue
+FROM orders_enriched GROUP BY 1"""),
+    "cold_read": _q("SELECT * FROM orders_raw WHERE event_day < '20240115'"),
+    "cold_trend": _q("""
+SELECT * FROM revenue_5min WHERE window_day < '20240115'
+ORDER BY window_start, category ASC NULLS FIRST LIMIT 100"""),
+    "purge_keep": _q("SELECT * FROM orders_enriched WHERE customer_id IS DISTINCT FROM 'CUS-00000007'"),
+    "export_month": _q("SELECT * FROM revenue_5min WHERE strftime(window_start, '%Y-%m') = '2024-01'"),
+    "alert_failed_rate": _q(f"""
+, pw AS (SELECT window_start, window_end,
+                CAST(SUM(failed_payments) AS DOUBLE) / CAST(SUM(total_orders) AS DOUBLE) AS failed_rate
+         FROM revenue_5min GROUP BY 1, 2)
+SELECT a.window_start, a.window_end, a.failed_rate FROM pw a
+JOIN pw b ON b.window_start = a.window_start - INTERVAL '5 minutes'
+WHERE a.failed_rate > {rules.FAILED_RATE_ALERT} AND b.failed_rate > {rules.FAILED_RATE_ALERT}"""),
+    "alert_spike": _q(f"""
+, c AS (SELECT {bucket('5 minutes')} AS window_start, {bucket('5 minutes')} + INTERVAL '5 minutes' AS window_end,
+               COUNT(*) AS alerts FROM suspicious_orders GROUP BY 1, 2),
+b AS (SELECT c.window_start, CAST(SUM(p.alerts) AS DOUBLE) / CAST({rules.SPIKE_BASELINE_WINDOWS} AS DOUBLE) AS baseline
+      FROM c JOIN c p ON p.window_start >= c.window_start - INTERVAL '{5 * rules.SPIKE_BASELINE_WINDOWS} minutes'
+                     AND p.window_start < c.window_start
+      GROUP BY 1)
+SELECT c.window_start, c.window_end, c.alerts, b.baseline FROM c JOIN b ON c.window_start = b.window_start
+WHERE b.baseline > 0 AND c.alerts > {rules.SPIKE_FACTOR} * b.baseline"""),
+    "input_rate": _q(f"""
+SELECT {bucket('1 minute')} AS window_start, {bucket('1 minute')} + INTERVAL '1 minute' AS window_end,
+       COUNT(*) AS events, CAST(COUNT(*) AS DOUBLE) / 60.0 AS events_per_second
+FROM orders_raw GROUP BY 1, 2"""),
+    "lag_seconds": _q(f"""
+SELECT 'orders_raw' AS table_name, date_sub('second', MAX(event_time), TIMESTAMP '{NOW}') AS lag_seconds FROM orders_raw
+UNION ALL SELECT 'orders_enriched', date_sub('second', MAX(event_time), TIMESTAMP '{NOW}') FROM orders_enriched
+UNION ALL SELECT 'high_value_orders', date_sub('second', MAX(event_time), TIMESTAMP '{NOW}') FROM high_value_orders
+UNION ALL SELECT 'suspicious_orders', date_sub('second', MAX(event_time), TIMESTAMP '{NOW}') FROM suspicious_orders"""),
+    "freshness_seconds": _q(f"""
+SELECT 'revenue_5min' AS table_name, date_sub('second', MAX(window_end), TIMESTAMP '{NOW}') AS freshness_seconds FROM revenue_5min
+UNION ALL SELECT 'city_revenue_5min', date_sub('second', MAX(window_end), TIMESTAMP '{NOW}') FROM city_revenue_5min"""),
+    "throughput_timeline": _q(f"""
+SELECT {bucket('1 hour')} AS interval_start,
+       date_sub('second', TIMESTAMP '2024-01-01 00:00:00', {bucket('1 hour')}) AS elapsed_seconds,
+       COUNT(*) AS records, CAST(COUNT(*) AS DOUBLE) / 3600.0 AS events_per_second
+FROM orders_raw WHERE event_time >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1, 2"""),
+    "slo_report": _q(SAMPLES + f"""
+, hist AS (SELECT metric, value, COUNT(*) AS n FROM samples GROUP BY 1, 2),
+cum AS (SELECT *, SUM(n) OVER (PARTITION BY metric ORDER BY value ROWS UNBOUNDED PRECEDING) AS c,
+               SUM(n) OVER (PARTITION BY metric) AS total FROM hist),
+pct AS (SELECT metric, MIN(value) AS p_value FROM cum
+        WHERE c >= CEIL(CAST(total AS DOUBLE) * CAST({rules.SLO_PERCENTILE} AS DOUBLE)) GROUP BY 1),
+summ AS (SELECT metric, CAST(SUM(n) AS BIGINT) AS samples,
+                CAST(SUM(CASE WHEN value < {rules.SLO_BURN[0][1]} THEN n ELSE 0 END) AS BIGINT) AS within,
+                CAST({rules.SLO_BURN[0][1]} AS DOUBLE) AS objective FROM hist GROUP BY 1)
+SELECT s.metric, s.samples, s.within, s.objective, p.p_value,
+       CAST(s.within AS DOUBLE) / s.samples AS compliance, p.p_value < s.objective AS met
+FROM summ s JOIN pct p ON s.metric = p.metric"""),
+    "burn_rate": _q(SAMPLES + "".join(f"""
+{'UNION ALL ' if i else ''}SELECT '{label}' AS burn_window, time_bucket(INTERVAL '{width}', ts) AS window_start,
+       time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' AS window_end, COUNT(*) AS samples,
+       CAST(SUM(CASE WHEN value > {rules.SLO_BURN[0][1]} THEN 1 ELSE 0 END) AS BIGINT) AS bad,
+       CAST(SUM(CASE WHEN value > {rules.SLO_BURN[0][1]} THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS bad_share,
+       CAST({limit} AS DOUBLE) AS threshold,
+       CAST(SUM(CASE WHEN value > {rules.SLO_BURN[0][1]} THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) > {limit} AS alert
+FROM samples WHERE metric = 'ingestion_latency' GROUP BY 1, 2, 3"""
+        for i, (label, width, limit) in enumerate([("fast_1h", "1 hour", rules.SLO_BURN[0][2]),
+                                                   ("slow_6h", "6 hours", rules.SLO_BURN[0][3])]))),
+    "validate_run": _q(f"""
+, cnt AS (SELECT (SELECT COUNT(*) FROM orders_raw) AS r, (SELECT COUNT(*) FROM orders_enriched) AS e,
+                 (SELECT COUNT(*) FROM high_value_orders) AS h, (SELECT COUNT(*) FROM suspicious_orders) AS s,
+                 (SELECT date_sub('second', MIN(event_time), MAX(event_time)) FROM orders_raw) AS secs)
+SELECT check_name, value, threshold,
+       CASE WHEN check_name = 'enriched_ratio' THEN value > threshold ELSE value >= threshold END AS passed
+FROM (
+  SELECT 'throughput_events_per_second' AS check_name, CAST(r AS DOUBLE) / CAST(secs AS DOUBLE) AS value,
+         CAST({rules.RUN_MIN_THROUGHPUT} AS DOUBLE) AS threshold FROM cnt
+  UNION ALL SELECT 'enriched_ratio', CAST(e AS DOUBLE) / CAST(r AS DOUBLE), {rules.RUN_MIN_ENRICHED_RATIO} FROM cnt
+  UNION ALL SELECT 'orders_raw_count', CAST(r AS DOUBLE), 1.0 FROM cnt
+  UNION ALL SELECT 'orders_enriched_count', CAST(e AS DOUBLE), 1.0 FROM cnt
+  UNION ALL SELECT 'high_value_orders_count', CAST(h AS DOUBLE), 1.0 FROM cnt
+  UNION ALL SELECT 'suspicious_orders_count', CAST(s AS DOUBLE), 1.0 FROM cnt)"""),
+})

@@ -211,3 +211,172 @@ def _(t): return an.signup_trend(t.customers)
 
 @register("series")
 def _(t): return an.series(t.revenue_5min)
+
+
+# --- upsert fold, KPI board -----------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.functions import rules  # noqa: E402
+from tidemark.operators import dedup, observe, quality  # noqa: E402
+from tidemark.sources import lifecycle  # noqa: E402
+from tidemark.sources.upsert import latest_per_key  # noqa: E402
+
+TIER_BOUNDARY = "20240115"   # days before it are in the cold tier
+RETENTION_TODAY = "20240130"
+PURGED_CUSTOMER = "CUS-00000007"
+
+
+@register("kpis_latest")
+def _(t):
+    """The KPI upsert table — per metric_key the row of the newest window."""
+    return latest_per_key(t.kpis_1min, ["metric_key"], ["updated_at"])
+
+
+@register("kpi_board")
+def _(t):
+    """Dashboard tiles; a missing metric shows 0.0."""
+    latest = latest_per_key(t.kpis_1min, ["metric_key"], ["updated_at"]) \
+        .select("metric_key", "metric_value")
+    counts = an.table_counts({"high_value_alerts": t.high_value,
+                              "suspicious_alerts": t.suspicious}) \
+        .select(F.col("table_name").alias("metric_key"),
+                F.col("row_count").cast("double").alias("metric_value"))
+    keys = [*rules.KPI_KEYS, "high_value_alerts", "suspicious_alerts"]
+    board = t.spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in keys])).alias("metric_key"))
+    values = latest.unionByName(counts)
+    return (board.join(values, "metric_key", "left")
+            .select("metric_key", F.coalesce("metric_value", F.lit(0.0)).alias("metric_value")))
+
+
+# --- de-duplication and data quality --------------------------------------------------------
+
+@register("dedup_orders")
+def _(t):
+    """X11: the log plus a re-delivered day (at-least-once replay), de-duplicated by order_id."""
+    replay = t.raw.where(F.col("event_day") == TIER_BOUNDARY)
+    return dedup.dedup_orders(t.raw.unionByName(replay), ["order_id"])
+
+
+@register("dq_valid")
+def _(t):
+    return quality.valid_rows(quality.tag_errors(t.raw, NOW))
+
+
+@register("dq_errors")
+def _(t):
+    return quality.error_rows(quality.tag_errors(t.raw, NOW), NOW)
+
+
+@register("rejection_rate")
+def _(t): return quality.rejection_rate(quality.tag_errors(t.raw, NOW))
+
+
+@register("join_miss_rate")
+def _(t): return quality.join_miss_rate(t.enriched)
+
+
+@register("invariants")
+def _(t): return quality.invariants(t.enriched, t.high_value, t.suspicious)
+
+
+@register("masked_orders")
+def _(t): return quality.mask_pii(t.enriched)
+
+
+# --- lifecycle ------------------------------------------------------------------------------
+
+def _tiers(df, day_col="event_day"):
+    """Hot and cold tiers as they stand during a copy: the boundary day is in both."""
+    return (df.where(F.col(day_col) >= TIER_BOUNDARY), df.where(F.col(day_col) <= TIER_BOUNDARY))
+
+
+@register("retention_keep")
+def _(t):
+    return (lifecycle.retained(t.raw, RETENTION_TODAY, rules.RETENTION_DAYS)
+            .groupBy("event_day").agg(F.count(F.lit(1)).alias("row_count")))
+
+
+@register("union_read")
+def _(t):
+    """Revenue by category over hot + cold orders_enriched."""
+    hot, cold = _tiers(t.enriched)
+    return (lifecycle.union_read(hot, cold, TIER_BOUNDARY).groupBy("category")
+            .agg(F.count(F.lit(1)).alias("total_orders"), an.money_sum().alias("total_revenue")))
+
+
+@register("cold_read")
+def _(t):
+    _, cold = _tiers(t.raw)
+    return lifecycle.cold_read(cold, TIER_BOUNDARY)
+
+
+@register("cold_trend")
+def _(t):
+    _, cold = _tiers(t.revenue_5min, "window_day")
+    return an.oldest_windows(lifecycle.cold_read(cold, TIER_BOUNDARY, "window_day"), 100)
+
+
+@register("purge_keep")
+def _(t): return lifecycle.purge(t.enriched, "customer_id", PURGED_CUSTOMER)
+
+
+@register("export_month")
+def _(t): return lifecycle.month_slice(t.revenue_5min, "2024-01", "window_start")
+
+
+# --- observability --------------------------------------------------------------------------
+
+@register("alert_failed_rate")
+def _(t): return observe.alert_failed_rate(t.revenue_5min)
+
+
+@register("alert_spike")
+def _(t): return observe.alert_spike(t.suspicious)
+
+
+@register("input_rate")
+def _(t): return observe.input_rate(t.raw, "1 minute")
+
+
+@register("lag_seconds")
+def _(t):
+    return observe.lag_seconds({"orders_raw": t.raw, "orders_enriched": t.enriched,
+                                "high_value_orders": t.high_value,
+                                "suspicious_orders": t.suspicious}, NOW)
+
+
+@register("freshness_seconds")
+def _(t):
+    return observe.freshness_seconds({"revenue_5min": t.revenue_5min,
+                                      "city_revenue_5min": t.city_revenue_5min}, NOW)
+
+
+@register("throughput_timeline")
+def _(t): return observe.throughput_timeline(t.raw, "2024-01-01 00:00:00", "1 hour")
+
+
+LATENCY_TRIGGER = "5 seconds"
+
+
+@register("slo_report")
+def _(t):
+    samples = observe.ingestion_latency_samples(t.raw, LATENCY_TRIGGER)
+    return observe.slo_report(samples, {"ingestion_latency": rules.SLO_BURN[0][1]})
+
+
+@register("burn_rate")
+def _(t):
+    name, objective, fast, slow = rules.SLO_BURN[0]
+    samples = observe.ingestion_latency_samples(t.raw, LATENCY_TRIGGER)
+    return observe.burn_rate(samples, name, objective, fast, slow)
+
+
+@register("validate_run")
+def _(t):
+    counts = an.table_counts({"orders_raw": t.raw, "orders_enriched": t.enriched,
+                              "high_value_orders": t.high_value,
+                              "suspicious_orders": t.suspicious})
+    span = t.raw.agg(observe.seconds_between(F.min("event_time"), F.max("event_time"))
+                     .alias("seconds"))
+    return observe.validate_run(counts, span)

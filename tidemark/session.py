@@ -32,7 +32,8 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "tidemark", extra: dict | None = None) -> SparkSession:
     """Session for tests and local runs. On a cluster, master and sizing come from spark-submit."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
