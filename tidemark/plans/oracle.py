@@ -452,3 +452,21 @@ FROM (
   UNION ALL SELECT 'high_value_orders_count', CAST(h AS DOUBLE), 1.0 FROM cnt
   UNION ALL SELECT 'suspicious_orders_count', CAST(s AS DOUBLE), 1.0 FROM cnt)"""),
 })
+
+
+# --- streaming (closed windows only: end <= max(event_time) - watermark) --------------------
+
+CLOSED = "(SELECT MAX(event_time) - INTERVAL '5 seconds' FROM orders_raw)"
+
+ORACLE.update({
+    "stream_revenue_5min": _q(f"SELECT * FROM revenue_5min WHERE window_end <= {CLOSED}"),
+    "stream_alerts": _q("""
+SELECT 'high_value' AS alert_type, order_id, customer_id, order_amount, city, event_time,
+       CAST(NULL AS VARCHAR) AS reason FROM high_value_orders
+UNION ALL
+SELECT 'suspicious', order_id, customer_id, order_amount, city, event_time, reason FROM suspicious_orders"""),
+    "stream_kpis": _q(f"""
+, closed AS (SELECT * FROM kpis_1min WHERE updated_at <= {CLOSED})
+SELECT k.* FROM closed k JOIN (SELECT metric_key, MAX(updated_at) AS m FROM closed GROUP BY 1) x
+ON k.metric_key = x.metric_key AND k.updated_at = x.m"""),
+})

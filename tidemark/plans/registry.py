@@ -380,3 +380,12 @@ def _(t):
     span = t.raw.agg(observe.seconds_between(F.min("event_time"), F.max("event_time"))
                      .alias("seconds"))
     return observe.validate_run(counts, span)
+
+
+# --- streaming jobs drained with availableNow -----------------------------------------------
+
+from tidemark.plans import streams  # noqa: E402
+
+register("stream_revenue_5min")(streams.stream_revenue_5min)
+register("stream_alerts")(streams.stream_alerts)
+register("stream_kpis")(streams.stream_kpis)
