@@ -170,7 +170,7 @@ def purge_files(spark: SparkSession, path: str, schema: T.StructType, column: st
     by a distributed aggregate (one row per day); their rows minus the key are checkpointed
     to the shared folder, then written back with dynamic partition overwrite."""
     df = spark.read.schema(schema).parquet(path)
-    days = [r[0] for r in df.where(F.col(column) == F.lit(value)).select(day_col).distinct().collect()]
+    days = sorted(r[0] for r in df.where(F.col(column) == F.lit(value)).select(day_col).distinct().collect())
     if not days:
         return []
     keep = purge(df.where(F.col(day_col).isin(days)), column, value).checkpoint()
