@@ -288,3 +288,24 @@ def city_vs_category(rev: DataFrame, city_rev: DataFrame) -> DataFrame:
             .join(per_window, ["window_start", "window_end"], "inner")
             .withColumn("city_share", F.col("city_revenue").cast("double")
                         / F.col("window_revenue").cast("double")))
+
+
+FEEDS = {
+    # The dashboard's column subsets with their sample sizes
+    "orders": (LATEST_ORDER_COLUMNS, 500),
+    "high_value": (["order_id", "customer_name", "loyalty_tier", "category", "city",
+                    "order_amount", "event_time"], 30),
+    "suspicious": (["order_id", "customer_id", "order_amount", "payment_status", "payment_method",
+                    "device_type", "city", "reason", "event_time"], 30),
+    "products": (["product_id", "product_name", "category", "brand", "unit_price",
+                  "inventory_count"], 50),
+}
+
+
+def feed(df: DataFrame, kind: str, order_by: list | None = None) -> DataFrame:
+    """A column-subset sample. A LIMIT sample is the feature here; an ordering makes
+    it deterministic (newest first when the table has event_time)."""
+    cols, n = FEEDS[kind]
+    if order_by is None:
+        order_by = [F.col("event_time").desc(), "order_id"] if "event_time" in cols else cols[:1]
+    return df.select(*cols).orderBy(*order_by).limit(n)

@@ -31,3 +31,8 @@ def to_orders_raw(df: DataFrame) -> DataFrame:
         F.col("order_amount_str").try_cast("decimal(10,2)").alias("order_amount"),
         F.col("quantity").cast("int").alias("quantity"), "payment_status", "order_status",
         "payment_method", "device_type", "city", "event_time")
+
+
+def with_proctime(df: DataFrame, column: str = "ptime") -> DataFrame:
+    """Processing-time attribute (not stored; evaluated per micro-batch / query)."""
+    return df.withColumn(column, F.current_timestamp())

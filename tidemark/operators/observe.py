@@ -43,7 +43,7 @@ def freshness_seconds(tables: dict[str, DataFrame], now, col: str = "window_end"
         for name, df in tables.items()])
 
 
-def completion_delay(changelog: DataFrame, written_col: str = "written_at") -> DataFrame:
+def completion_delay(changelog: DataFrame, written_col: str = "_written_at") -> DataFrame:
     """O3: MAX(written_at - window_end) in seconds, from a changelog that records write time."""
     return changelog.agg(F.max(F.unix_timestamp(written_col) - F.unix_timestamp("window_end"))
                          .alias("completion_delay_seconds"))
@@ -220,6 +220,18 @@ def classify(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("level", level)
 
 
+def late_rate(raw: DataFrame, published: DataFrame, key: str = "category",
+              products: DataFrame | None = None, width: str = "5 minutes") -> DataFrame:
+    """Q9: late (dropped) rows as a share of all logged rows."""
+    late = late_rows(raw, published, key, products, width).agg(F.sum("late").alias("late"))
+    total = raw.agg(F.count(F.lit(1)).alias("total"))
+    both = late.select(F.coalesce("late", F.lit(0)).cast("long").alias("v"), F.lit("late").alias("k")) \
+        .unionByName(total.select(F.col("total").alias("v"), F.lit("total").alias("k")))
+    row = both.agg(F.max(F.when(F.col("k") == "late", F.col("v"))).alias("late_rows"),
+                   F.max(F.when(F.col("k") == "total", F.col("v"))).alias("total_rows"))
+    return row.withColumn("late_rate", F.col("late_rows").cast("double") / F.col("total_rows"))
+
+
 def late_rows(raw: DataFrame, published: DataFrame, key: str = "category",
               products: DataFrame | None = None, width: str = "5 minutes") -> DataFrame:
     """Rows the log holds but the published windows missed (dropped as late):

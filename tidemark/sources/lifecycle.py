@@ -90,6 +90,25 @@ def apply_retention_upsert(table: UpsertTable, today, days: int = rules.RETENTIO
         apply_retention(spark, r, today, days, col)
 
 
+# L2: per-table retention in days (default = the DDL's 7 days for every partitioned table)
+RETENTION_POLICY = {"orders_raw": rules.RETENTION_DAYS, "orders_enriched": rules.RETENTION_DAYS,
+                    "revenue_5min": rules.RETENTION_DAYS, "city_revenue_5min": rules.RETENTION_DAYS}
+
+
+def apply_policy(spark: SparkSession, root: str, today, policy: dict | None = None) -> dict:
+    """L1/L2 over a deployment root: the log and the partitioned upsert tables."""
+    from tidemark import schemas
+    done = {}
+    for name, days in (policy or RETENTION_POLICY).items():
+        if name == "orders_raw":
+            done[name] = apply_retention(spark, f"{root.rstrip('/')}/{name}", today, days)
+        else:
+            t = UpsertTable.named(spark, root, name)
+            apply_retention_upsert(t, today, days)
+            done[name] = schemas.PARTITION[name]
+    return done
+
+
 def tier_state(spark: SparkSession, cold_root: str) -> dict:
     text = fs_read_text(spark, f"{cold_root}/_tier.json")
     return json.loads(text) if text else {"boundary": "00000000"}

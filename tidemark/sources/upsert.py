@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 
 SEQ = "_seq"
+WRITTEN_AT = "_written_at"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -145,11 +146,20 @@ class UpsertTable:
         ordered = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
         return latest_per_key(ordered, self.keys, [*self.order_by, "_tie"]).select(*cols)
 
-    def write_batch(self, df: DataFrame, epoch: int, batch_id: int) -> None:
-        """Idempotent: the directory of (epoch, batch_id) is replaced as a whole."""
+    def write_batch(self, df: DataFrame, epoch: int, batch_id: int,
+                    unique_keys: bool = False) -> None:
+        """Idempotent: the directory of (epoch, batch_id) is replaced as a whole.
+
+        unique_keys=True skips the in-batch fold for frames that are unique on the key by
+        construction (e.g. an aggregate grouped by exactly the key columns).
+        """
         path = f"{self.root}/changelog/epoch={epoch}/batch_id={batch_id}"
-        rows = self._batch_rows(df)
-        w = rows.write.mode("overwrite")
+        if unique_keys:
+            rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        else:
+            rows = self._batch_rows(df)
+        # write time of each changelog row (for window completion delay, O3)
+        w = rows.withColumn(WRITTEN_AT, F.current_timestamp()).write.mode("overwrite")
         if self.partition:
             w = w.partitionBy(self.partition)
         w.parquet(path)
@@ -162,7 +172,8 @@ class UpsertTable:
 
     # -- read ----------------------------------------------------------------------------
     def _changelog(self) -> DataFrame:
-        fields = list(self.schema.fields) + [T.StructField("epoch", T.LongType()),
+        fields = list(self.schema.fields) + [T.StructField(WRITTEN_AT, T.TimestampType()),
+                                             T.StructField("epoch", T.LongType()),
                                              T.StructField("batch_id", T.LongType())]
         path = f"{self.root}/changelog"
         if not fs_exists(self.spark, path):
@@ -175,11 +186,15 @@ class UpsertTable:
             return None
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/snapshot/v={version}")
 
+    def changes(self) -> DataFrame:
+        """All changelog rows with epoch, batch_id and write time (audit, O3)."""
+        return self._changelog()
+
     def read_current(self) -> DataFrame:
         """The table as of now: newest row per key."""
         ptr = self.pointer()
         fe, fb = ptr["folded"]
-        log = self._changelog().where((F.col("epoch") > fe) |
+        log = self._changelog().drop(WRITTEN_AT).where((F.col("epoch") > fe) |
                                       ((F.col("epoch") == fe) & (F.col("batch_id") > fb)))
         snap = self._snapshot(ptr["version"])
         if snap is not None:
@@ -188,6 +203,12 @@ class UpsertTable:
         cols = [f.name for f in self.schema.fields]
         return latest_per_key(log, self.keys, [*self.order_by, "epoch", "batch_id"]).select(*cols)
 
+    def signature(self) -> tuple:
+        """Cheap change detector (file listing only, no job): pointer + changelog batches."""
+        batches = tuple(sorted(f"{e}/{b}" for e in fs_list(self.spark, f"{self.root}/changelog")
+                               for b in fs_list(self.spark, f"{self.root}/changelog/{e}")))
+        return (fs_read_text(self.spark, self.pointer_path), batches)
+
     def lookup(self, **key) -> DataFrame:
         """Key filter applied to the merged view (pushed below the fold for key columns)."""
         cond = None
@@ -198,7 +219,8 @@ class UpsertTable:
 
     def tail(self) -> DataFrame:
         """The changelog as a stream (at-least-once; consumers de-duplicate by key)."""
-        fields = list(self.schema.fields) + [T.StructField("epoch", T.LongType()),
+        fields = list(self.schema.fields) + [T.StructField(WRITTEN_AT, T.TimestampType()),
+                                             T.StructField("epoch", T.LongType()),
                                              T.StructField("batch_id", T.LongType())]
         return (self.spark.readStream.schema(T.StructType(fields))
                 .option("basePath", f"{self.root}/changelog")
@@ -213,7 +235,7 @@ class UpsertTable:
                  for b in fs_list(self.spark, f"{self.root}/changelog/{e}") if b.startswith("batch_id=")]
         upto = max(known) if known else tuple(ptr["folded"])
         fe, fb = ptr["folded"]
-        log = self._changelog().where(
+        log = self._changelog().drop(WRITTEN_AT).where(
             ((F.col("epoch") > fe) | ((F.col("epoch") == fe) & (F.col("batch_id") > fb)))
             & ((F.col("epoch") < upto[0]) | ((F.col("epoch") == upto[0]) & (F.col("batch_id") <= upto[1]))))
         snap = self._snapshot(ptr["version"])
