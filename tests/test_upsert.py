@@ -73,3 +73,30 @@ def test_key_filter_pushed_below_fold(spark, scratch):
     plan = t.lookup(k="a")._jdf.queryExecution().optimizedPlan().toString()
     # the filter on the key sits under the aggregate
     assert plan.index("Aggregate") < plan.rindex("Filter")
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_read_cost_follows_the_tail(spark, scratch):
+    t = _table(spark, scratch)
+    t.upsert(_df(spark, [("a", 1, 0), ("b", 1, 0), (None, 1, 0)]))
+    t.compact()
+    assert "Aggregate" not in _optimized(t.read_current())        # snapshot only: no fold
+    t.upsert(_df(spark, [("a", 5, 0), (None, 7, 0)]))
+    plan = _optimized(t.read_current())
+    assert "LeftAnti" in plan and "LeftSemi" in plan               # snapshot is not shuffled
+    assert {(r.k, r.v) for r in t.read_current().collect()} == {(None, 7), ("a", 5), ("b", 1)}
+
+
+def test_ordered_table_keeps_newer_snapshot_row(spark, scratch):
+    t = _table(spark, scratch, ["updated_at"])
+    t.upsert(_df(spark, [("k", 1, 10)]))
+    t.compact()
+    t.upsert(_df(spark, [("k", 2, 5)]))       # older window written later
+    assert _rows(t) == [("k", 1)]
+    t.upsert(_df(spark, [("k", 3, 20)]))
+    assert _rows(t) == [("k", 3)]
+    t.compact()
+    assert _rows(t) == [("k", 3)]

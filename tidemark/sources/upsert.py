@@ -190,18 +190,58 @@ class UpsertTable:
         """All changelog rows with epoch, batch_id and write time (audit, O3)."""
         return self._changelog()
 
+    def _batches(self) -> list[tuple[int, int]]:
+        """(epoch, batch_id) of every changelog directory (file listing, no job)."""
+        out = []
+        for e in fs_list(self.spark, f"{self.root}/changelog"):
+            if e.startswith("epoch="):
+                for b in fs_list(self.spark, f"{self.root}/changelog/{e}"):
+                    if b.startswith("batch_id="):
+                        out.append((int(e.split("=")[1]), int(b.split("=")[1])))
+        return sorted(out)
+
+    def _tail(self, after: tuple, upto: tuple | None = None) -> DataFrame:
+        fe, fb = after
+        cond = (F.col("epoch") > fe) | ((F.col("epoch") == fe) & (F.col("batch_id") > fb))
+        if upto is not None:
+            ue, ub = upto
+            cond = cond & ((F.col("epoch") < ue) | ((F.col("epoch") == ue) & (F.col("batch_id") <= ub)))
+        return self._changelog().drop(WRITTEN_AT).where(cond)   # partition filters: pruned
+
+    def _merge(self, ptr: dict, upto: tuple | None = None) -> DataFrame:
+        """Snapshot + changelog tail -> newest row per key, at a cost that follows the tail.
+
+        Snapshot rows whose key is not in the tail pass through an anti join (no shuffle of
+        the snapshot); rows whose key is in the tail are folded together with the tail.
+        The tail's key set is broadcast only behind the size check.
+        """
+        from tidemark.operators.enrich import bounded_broadcast
+        cols = [f.name for f in self.schema.fields]
+        after = tuple(ptr["folded"])
+        pending = [b for b in self._batches() if b > after and (upto is None or b <= upto)]
+        snap = self._snapshot(ptr["version"])
+        order = [*self.order_by, "epoch", "batch_id"]
+        if not pending:
+            if snap is not None:
+                return snap.select(*cols)
+            return self.spark.createDataFrame([], self.schema)
+        tail = self._tail(after, upto)
+        if snap is None:
+            return latest_per_key(tail, self.keys, order).select(*cols)
+        keys = bounded_broadcast(tail.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct())
+        on = None
+        for k in self.keys:
+            c = snap[k].eqNullSafe(keys[f"_k_{k}"])
+            on = c if on is None else on & c
+        touched = snap.join(keys, on, "left_semi")
+        untouched = snap.join(keys, on, "left_anti")
+        base = touched.withColumn("epoch", F.lit(-1).cast("long")).withColumn("batch_id", F.lit(-1).cast("long"))
+        folded = latest_per_key(base.unionByName(tail), self.keys, order).select(*cols)
+        return untouched.select(*cols).unionByName(folded)
+
     def read_current(self) -> DataFrame:
         """The table as of now: newest row per key."""
-        ptr = self.pointer()
-        fe, fb = ptr["folded"]
-        log = self._changelog().drop(WRITTEN_AT).where((F.col("epoch") > fe) |
-                                      ((F.col("epoch") == fe) & (F.col("batch_id") > fb)))
-        snap = self._snapshot(ptr["version"])
-        if snap is not None:
-            log = snap.withColumn("epoch", F.lit(-1).cast("long")) \
-                      .withColumn("batch_id", F.lit(-1).cast("long")).unionByName(log)
-        cols = [f.name for f in self.schema.fields]
-        return latest_per_key(log, self.keys, [*self.order_by, "epoch", "batch_id"]).select(*cols)
+        return self._merge(self.pointer())
 
     def signature(self) -> tuple:
         """Cheap change detector (file listing only, no job): pointer + changelog batches."""
@@ -228,22 +268,12 @@ class UpsertTable:
 
     # -- maintenance ---------------------------------------------------------------------
     def compact(self, files: int | None = None) -> int:
-        """Fold snapshot + changelog into a new snapshot version, then move the pointer."""
+        """Fold snapshot + changelog (up to the newest batch now present) into a new
+        snapshot version, then move the pointer (written last)."""
         ptr = self.pointer()
-        known = [(int(e.split("=")[1]), int(b.split("=")[1]))
-                 for e in fs_list(self.spark, f"{self.root}/changelog") if e.startswith("epoch=")
-                 for b in fs_list(self.spark, f"{self.root}/changelog/{e}") if b.startswith("batch_id=")]
-        upto = max(known) if known else tuple(ptr["folded"])
-        fe, fb = ptr["folded"]
-        log = self._changelog().drop(WRITTEN_AT).where(
-            ((F.col("epoch") > fe) | ((F.col("epoch") == fe) & (F.col("batch_id") > fb)))
-            & ((F.col("epoch") < upto[0]) | ((F.col("epoch") == upto[0]) & (F.col("batch_id") <= upto[1]))))
-        snap = self._snapshot(ptr["version"])
-        if snap is not None:
-            log = snap.withColumn("epoch", F.lit(-1).cast("long")) \
-                      .withColumn("batch_id", F.lit(-1).cast("long")).unionByName(log)
-        cols = [f.name for f in self.schema.fields]
-        folded = latest_per_key(log, self.keys, [*self.order_by, "epoch", "batch_id"]).select(*cols)
+        batches = self._batches()
+        upto = max(batches) if batches else tuple(ptr["folded"])
+        folded = self._merge(ptr, upto)
         version = ptr["version"] + 1
         if files:
             folded = folded.repartition(files, *self.keys)
