@@ -142,8 +142,8 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     products = DimensionCache(layout.table("product_catalog"), ["product_id", *enrich.PRODUCT_COLS])
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        if validate_now:
+        if validate_now:   # the batch feeds two outputs: read it once
+            batch = batch.persist()
             tagged = quality.tag_errors(batch, F.current_timestamp().cast("timestamp_ntz")).persist()
             (quality.error_rows(tagged, F.current_timestamp())
              .write.mode("overwrite").parquet(f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}"))
@@ -161,7 +161,7 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
         enriched.unpersist()
         if tagged is not None:
             tagged.unpersist()
-        batch.unpersist()
+            batch.unpersist()
 
     src = raw_stream(layout, max_files_per_trigger, watermark=None)
     return _start(src, process, ckpt, trigger, name="enrich_alert")
