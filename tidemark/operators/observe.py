@@ -107,11 +107,17 @@ def alert_spike(alerts_df: DataFrame, factor: float = rules.SPIKE_FACTOR,
               .agg(F.count(F.lit(1)).alias("alerts"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "alerts"))
-    fanned = _fan_out(counts, "window_start", width, range(1, baseline_windows + 1))
-    baseline = (fanned.groupBy("target").agg(F.sum("alerts").alias("history"))
-                .select(F.col("target").alias("window_start"),
-                        (F.col("history") / F.lit(float(baseline_windows))).alias("baseline")))
-    return (counts.join(baseline, "window_start", "inner")
+    # offset 0 carries a window's own count, offsets 1..k feed the baseline of later windows:
+    # one aggregate, no join, the counts are computed once
+    fanned = _fan_out(counts, "window_start", width, range(0, baseline_windows + 1))
+    own = F.col("_offset") == 0
+    slots = (fanned.groupBy("target")
+             .agg(F.sum(F.when(own, F.col("alerts"))).alias("alerts"),
+                  F.max(F.when(own, F.col("window_end"))).alias("window_end"),
+                  F.sum(F.when(~own, F.col("alerts"))).alias("history")))
+    return (slots.where(F.col("alerts").isNotNull() & F.col("history").isNotNull())
+            .select(F.col("target").alias("window_start"), "window_end", "alerts",
+                    (F.col("history") / F.lit(float(baseline_windows))).alias("baseline"))
             .where((F.col("baseline") > 0) & (F.col("alerts") > F.lit(factor) * F.col("baseline"))))
 
 
