@@ -81,3 +81,21 @@ def test_export_month(spark, scratch):
                          raw_row("b", "1", time="2024-02-01 00:00:00")])
     lc.export(raw, "2024-01", f"{scratch}/export")
     assert [r.order_id for r in spark.read.parquet(f"{scratch}/export").collect()] == ["a"]
+
+
+def test_hot_day_is_split_over_tasks(spark):
+    from tidemark.sources.log import spread_by_day
+    rows = [raw_row(f"h{i}", "1", time="2024-01-01 10:00:00") for i in range(300)] + \
+           [raw_row(f"c{i}", "1", time="2024-01-02 10:00:00") for i in range(30)]
+    # tiny data: keep AQE from merging the shuffle partitions so the spread is visible
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = spread_by_day(raw_df(spark, rows), rows_per_file=50)
+        per_task = out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+        tasks_for_hot = out.where(F.col("event_day") == "20240101").rdd \
+            .mapPartitions(lambda it: [1 if any(True for _ in it) else 0]).sum()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(per_task) == 330
+    assert max(per_task) < 300            # the hot day (300 rows, 6 slots) is not one task
+    assert tasks_for_hot >= 3

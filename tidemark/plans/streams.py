@@ -14,13 +14,14 @@ from pyspark.sql import types as T
 
 from tidemark.plans.frames import Tables
 from tidemark.session import scratch_dir
+from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log
 from tidemark.streaming import jobs
 
 
 def _layout(t: Tables) -> jobs.Layout:
     layout = jobs.Layout(t.spark, scratch_dir(t.spark, "stream"))
     raw = t.raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    raw.repartition("event_day").write.partitionBy("event_day").parquet(layout.raw_path)
+    append_log(raw, layout.raw_path, rows_per_file=DEFAULT_ROWS_PER_FILE)
     layout.table("customer_profile").upsert(t.customers)
     layout.table("product_catalog").upsert(t.products)
     return layout

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import rules
+from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, spread_by_day
 from tidemark.sources.upsert import (UpsertTable, fs_delete, fs_exists, fs_list, fs_read_text,
                                      fs_write_text)
 
@@ -115,17 +116,18 @@ def tier_state(spark: SparkSession, cold_root: str) -> dict:
 
 
 def tier(spark: SparkSession, hot_path: str, cold_path: str, schema: T.StructType, until,
-         day_col: str = "event_day", files_per_day: int = 1) -> str:
-    """Copy closed days (< ``until``) from hot to cold, compacted to ``files_per_day``
-    files per day, then advance the tier boundary (written last). Re-running is safe: each
-    copied day directory is overwritten as a whole (dynamic partition overwrite)."""
+         day_col: str = "event_day", rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> str:
+    """Copy closed days (< ``until``) from hot to cold, compacted to about
+    ``rows_per_file`` rows per file, then advance the tier boundary (written last).
+    Re-running is safe: each copied day directory is overwritten as a whole (dynamic partition
+    overwrite)."""
     state = tier_state(spark, cold_path)
     start, end = state["boundary"], _day(until)
     if end <= start:
         return start
     days = spark.read.schema(schema).parquet(hot_path) \
         .where((F.col(day_col) >= F.lit(start)) & (F.col(day_col) < F.lit(end)))
-    out = days.repartition(files_per_day, day_col) if files_per_day else days
+    out = spread_by_day(days, day_col, rows_per_file)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         out.write.mode("overwrite").partitionBy(day_col).parquet(cold_path)
@@ -161,9 +163,10 @@ def hot_ttl(spark: SparkSession, hot_path: str, cold_path: str, keep_days: int =
 
 
 def compact_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str],
-                 day_col: str = "event_day", files_per_day: int = 1,
+                 day_col: str = "event_day", rows_per_file: int = DEFAULT_ROWS_PER_FILE,
                  min_files: int = 5) -> list[str]:
-    """Rewrite days that have at least ``min_files`` files into ``files_per_day`` files.
+    """Rewrite days that have at least ``min_files`` files into files of about
+    ``rows_per_file`` rows (a hot day is split over several tasks).
 
     Only for tables no streaming reader follows (the cold tier, snapshots): the rewrite uses
     dynamic partition overwrite of just those days."""
@@ -176,7 +179,7 @@ def compact_days(spark: SparkSession, path: str, schema: T.StructType, days: lis
     df = spark.read.schema(schema).parquet(path).where(F.col(day_col).isin(todo)).checkpoint()
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.repartition(files_per_day, day_col).write.mode("overwrite") \
+        spread_by_day(df, day_col, rows_per_file).write.mode("overwrite") \
           .partitionBy(day_col).parquet(path)
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")

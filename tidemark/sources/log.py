@@ -14,10 +14,32 @@ from pyspark.sql import types as T
 from tidemark import schemas
 
 
+DEFAULT_ROWS_PER_FILE = 2_000_000
+
+
+def spread_by_day(df: DataFrame, day_col: str = "event_day",
+                  rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> DataFrame:
+    """Cluster rows by day for partitioned writes without letting a hot day land in one task.
+
+    A per-day row count (one row per day, so bounded by retention, broadcast) gives each day
+    ceil(rows / rows_per_file) files; rows are hashed to one of their day's slots and the
+    shuffle is on (day, slot). A day holding a third of all rows is written by many tasks.
+    """
+    from pyspark.sql import functions as F
+    sizes = (df.groupBy(day_col).agg(F.count(F.lit(1)).alias("_n"))
+             .select(day_col, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_file)))
+                     .cast("long").alias("_files")))
+    slot = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files"))
+    return (df.join(F.broadcast(sizes), day_col, "left")
+            .withColumn("_slot", slot).repartition(day_col, "_slot")
+            .drop("_slot", "_files").select(*df.columns))
+
+
 def append_log(df: DataFrame, path: str, partition: str = "event_day",
-               files_per_partition: int | None = None) -> None:
-    """Append a batch. Rows are clustered by the day key so each task writes few files."""
-    out = df.repartition(files_per_partition, partition) if files_per_partition else df
+               rows_per_file: int | None = None) -> None:
+    """Append a batch. With ``rows_per_file`` rows are clustered by day (few files per day,
+    hot days split over several tasks, see ``spread_by_day``)."""
+    out = spread_by_day(df, partition, rows_per_file) if rows_per_file else df
     out.write.mode("append").partitionBy(partition).parquet(path)
 
 
