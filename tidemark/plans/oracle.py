@@ -54,13 +54,12 @@ def revenue_cte(width: str) -> str:
 def prelude() -> str:
     r = rules
     return f"""
-WITH ev AS (
-  SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+WITH ev AS (SELECT * FROM events),
 orders_raw AS (
   SELECT strftime(date_trunc('milliseconds', ts), '%Y%m%d') AS event_day,
          'ORD-' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS order_id,
          'CUS-' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS customer_id,
-         'SKU-' || lpad(CAST(((event_id % 20) * 100 + k) % {td.PRODUCT_IDS} AS VARCHAR), 6, '0') AS product_id,
+         'SKU-' || lpad(CAST(event_id // {td.ORDERS_PER_PRODUCT} AS VARCHAR), 6, '0') AS product_id,
          CAST(CAST(CAST(round(value * 100) AS BIGINT) AS DECIMAL(10,0)) * {td.AMOUNT_FACTOR} AS DECIMAL(10,2)) AS order_amount,
          CAST(1 + event_id % 3 AS INTEGER) AS quantity,
          {slot_pick_sql('event_id % 12', r.PAYMENT_STATUS)} AS payment_status,

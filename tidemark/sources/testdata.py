@@ -18,7 +18,8 @@ from tidemark.functions.exprs import slot_pick
 from tidemark.operators.ingest import to_orders_raw
 
 # Adapter parameters (ours, not the reference's).
-PRODUCT_IDS = 200          # orders reference SKU-000000 .. SKU-000199
+ORDERS_PER_PRODUCT = 5     # the driver's tables hold 5 events per part: event_id div 5 spans
+                           # every part key at every scale, so orders cover the whole catalog
 PRODUCT_GAP = 97           # parts with p_partkey % 97 = 0 are missing from the catalog
 CUSTOMER_GAP = 53          # customers with c_custkey % 53 = 0 are missing from the profile
 AMOUNT_FACTOR = Decimal("2.5")
@@ -40,13 +41,12 @@ def customer_key(num) -> F.Column:
 def events_as_orders(events: DataFrame) -> DataFrame:
     """events -> generator-shaped rows (amount as text, like the generator's output)."""
     eid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
     cents = F.round(F.col("value") * 100).cast("bigint")
     amount = (cents.cast("decimal(10,0)") * F.lit(AMOUNT_FACTOR)).cast("decimal(10,2)")
     return events.select(
         F.concat(F.lit("ORD-"), F.lpad(eid.cast("string"), 10, "0")).alias("order_id"),
         customer_key(F.col("user_id")).alias("customer_id"),
-        product_key(((eid % 20) * 100 + k) % PRODUCT_IDS).alias("product_id"),
+        product_key(F.expr(f"event_id div {ORDERS_PER_PRODUCT}")).alias("product_id"),
         amount.cast("string").alias("order_amount_str"),
         (F.lit(1) + eid % 3).cast("int").alias("quantity"),
         slot_pick(eid % 12, rules.PAYMENT_STATUS).alias("payment_status"),
