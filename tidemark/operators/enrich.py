@@ -3,8 +3,8 @@
 The reference looks every order up in a key-value store at processing time. In Spark the
 dimension is read once (per query, or per micro-batch in streaming) and joined:
 
-* broadcast hash join when the dimension is provably small — ``bounded_broadcast`` counts at
-  most ``max_rows + 1`` rows (a limit-bounded job) before hinting;
+* broadcast hash join when the dimension is provably small — ``bounded_broadcast`` counts its
+  rows (a distributed count) before hinting;
 * otherwise a shuffled join; AQE re-plans at runtime and splits skewed order partitions.
 """
 
@@ -30,9 +30,14 @@ def broadcast_limit(spark) -> int:
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows. Reads at most max_rows + 1 rows."""
+    """True when ``dim`` has at most ``max_rows`` rows.
+
+    A plain distributed ``count()``: per-task partial counts, one number to the driver, and
+    on Parquet often only row-group metadata is read. (A ``limit(n).count()`` would instead
+    move up to partitions x n rows into a single task.)
+    """
     limit = max_rows if max_rows is not None else broadcast_limit(dim.sparkSession)
-    return dim.limit(limit + 1).count() <= limit
+    return dim.count() <= limit
 
 
 def bounded_broadcast(dim: DataFrame, small: bool | None = None) -> DataFrame:
