@@ -47,23 +47,40 @@ def bounded_broadcast(dim: DataFrame, small: bool | None = None) -> DataFrame:
     return F.broadcast(dim) if small else dim
 
 
+def one_per_key(dim: DataFrame, key: str, columns: list[str],
+                order_col: str = "updated_at") -> DataFrame:
+    """The dimension as a lookup sees it: at most one row per key, the newest version
+    (``order_col``, then a row hash for ties).
+
+    Besides guaranteeing that a lookup never multiplies facts, the grouping tells Catalyst the
+    key is unique: a LEFT JOIN whose dimension columns are never used is removed from the plan,
+    and a shuffled join reuses the grouping's hash partitioning on the key.
+    """
+    from tidemark.sources.upsert import latest_per_key
+    cols = [key, *columns]
+    order = [order_col] if order_col in dim.columns else []
+    side = dim.select(*cols, *order).withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
+    return latest_per_key(side, [key], [*order, "_tie"]).select(*cols)
+
+
 def lookup(facts: DataFrame, dim: DataFrame, key: str, columns: list[str],
-           small: bool | None = None) -> DataFrame:
-    """LEFT JOIN facts to the latest dimension version on ``key`` (one dim row per key)."""
-    side = dim.select(key, *columns)
+           small: bool | None = None, unique: bool = False) -> DataFrame:
+    """LEFT JOIN facts to the latest dimension version on ``key`` (one dim row per key).
+    ``unique=True``: the caller already holds one row per key (e.g. a cached folded view)."""
+    side = dim.select(key, *columns) if unique else one_per_key(dim, key, columns)
     return facts.join(bounded_broadcast(side, small), on=key, how="left")
 
 
 def enrich(orders: DataFrame, customers: DataFrame, products: DataFrame,
            on_miss: str = "null", small_customers: bool | None = None,
-           small_products: bool | None = None) -> DataFrame:
+           small_products: bool | None = None, unique_dims: bool = False) -> DataFrame:
     """orders_raw -> orders_enriched (17 columns; the city is the order's, not the customer's).
 
     on_miss: "null" keeps NULL attributes (reference code), "unknown" writes "UNKNOWN"
     (documented data-quality rule). Rows for the dead-letter table: ``operators.quality``.
     """
-    out = lookup(orders, customers, "customer_id", CUSTOMER_COLS, small_customers)
-    out = lookup(out, products, "product_id", PRODUCT_COLS, small_products)
+    out = lookup(orders, customers, "customer_id", CUSTOMER_COLS, small_customers, unique_dims)
+    out = lookup(out, products, "product_id", PRODUCT_COLS, small_products, unique_dims)
     if on_miss == "unknown":
         for c in CUSTOMER_COLS + PRODUCT_COLS:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(UNKNOWN)))

@@ -37,7 +37,8 @@ def revenue_by_window(orders: DataFrame, products: DataFrame, width: str = "5 mi
     instead of every order, and a second small aggregate rolls products up to categories.
     A missing product lands in the NULL category (reference behaviour).
     """
-    cat = products.select("product_id", "category")
+    from tidemark.operators.enrich import one_per_key
+    cat = one_per_key(products, "product_id", ["category"])
     if small_products is None:
         from tidemark.operators.enrich import fits_broadcast
         small_products = fits_broadcast(cat)
@@ -74,9 +75,12 @@ def product_window_partials(orders: DataFrame, width: str = "5 minutes") -> Data
 
 
 def rollup_partials(partials: DataFrame, products: DataFrame,
-                    small_products: bool | None = None) -> DataFrame:
+                    small_products: bool | None = None, unique: bool = False) -> DataFrame:
     """Closed (window, product) partials + the catalog as of now -> revenue_5min rows."""
-    cat = bounded_broadcast(products.select("product_id", "category"), small_products)
+    from tidemark.operators.enrich import one_per_key
+    side = products.select("product_id", "category") if unique \
+        else one_per_key(products, "product_id", ["category"])
+    cat = bounded_broadcast(side, small_products)
     grouped = (partials.join(cat, "product_id", "left").groupBy("w", "category")
                .agg(F.sum("n").alias("total_orders"), _money_sum("s").alias("total_revenue"),
                     F.sum("f").alias("failed_payments")))

@@ -72,8 +72,9 @@ class DimensionCache:
             # The storage signature is part of the plan: Spark's cache lookup matches plans,
             # and a directory's plan alone does not change when its files do.
             tag = F.lit(hashlib.sha1(repr(sig).encode()).hexdigest()).alias("_snapshot")
-            self._df = (self.table.read_current().select(*self.columns, tag)
-                        .drop("_snapshot").persist())
+            key, *cols = self.columns
+            view = enrich.one_per_key(self.table.read_current(), key, cols)
+            self._df = view.select(*self.columns, tag).drop("_snapshot").persist()
             self._small = enrich.fits_broadcast(self._df)
             self._sig = sig
         return self._df, self._small
@@ -152,7 +153,7 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
             tagged, good = None, batch
         (cust, small_c), (prod, small_p) = customers.get(), products.get()
         enriched = enrich.enrich(good, cust, prod, on_miss=on_miss, small_customers=small_c,
-                                 small_products=small_p).persist()
+                                 small_products=small_p, unique_dims=True).persist()
         tables["orders_enriched"].write_batch(enriched, epochs["orders_enriched"], batch_id)
         tables["high_value_orders"].write_batch(alerts.high_value(enriched),
                                                 epochs["high_value_orders"], batch_id)
@@ -181,8 +182,8 @@ def start_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WAT
     def process(batch: DataFrame, batch_id: int) -> None:
         prod, small = products.get()
         # grouped by exactly the table key (window, category): no in-batch fold needed
-        target.write_batch(windows.rollup_partials(batch, prod, small), epoch, batch_id,
-                           unique_keys=True)
+        target.write_batch(windows.rollup_partials(batch, prod, small, unique=True), epoch,
+                           batch_id, unique_keys=True)
 
     partials = windows.product_window_partials(
         raw_stream(layout, max_files_per_trigger, watermark), width)
