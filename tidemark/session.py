@@ -19,6 +19,12 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Days that retention removed must not fail readers (explicit schemas are always given).
     "spark.sql.files.ignoreMissingFiles": "true",
+    # Streaming state: RocksDB (state larger than memory) with changelog checkpointing, so a
+    # commit writes a small changelog instead of uploading state snapshots every batch.
+    # Both are captured by a stateful query when it first starts.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -38,8 +44,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
-    builder = builder.config("spark.sql.streaming.stateStore.providerClass",
-                             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     for key, value in SQL_DEFAULTS.items():
         builder = builder.config(key, value)
     for key, value in (extra or {}).items():
