@@ -149,3 +149,17 @@ def test_start_all_topology(spark, scratch):
     assert layout.table("revenue_5min").read_current().where("total_orders = 2").count() == 1
     assert layout.table("city_revenue_5min").read_current().count() >= 1
     assert layout.table("dashboard_kpis").read_current().count() == 5
+
+
+def test_progress_timeline(spark, scratch):
+    from tidemark.operators import observe
+    layout = jobs.Layout(spark, scratch)
+    for i in range(3):
+        _append(layout, spark, [raw_row(f"O{i}-{j}", "1", time=f"2024-01-01 00:0{i}:0{j}") for j in range(4)])
+    q = jobs.start_kpis(layout, trigger=NOW, max_files_per_trigger=1)
+    _drain(q)
+    prog = observe.progress_frame(spark, q)
+    assert prog.agg(F.sum("input_rows")).first()[0] == 12
+    tl = observe.throughput_timeline(prog, "2000-01-01 00:00:00", "1 hour", time_col="ts",
+                                     weight_col="input_rows").collect()
+    assert sum(r.records for r in tl) == 12

@@ -59,18 +59,38 @@ def input_rate(raw: DataFrame, width: str = "1 minute") -> DataFrame:
 
 
 def throughput_timeline(raw: DataFrame, start, interval: str = "1 hour",
-                        time_col: str = "event_time") -> DataFrame:
-    """Records per interval since ``start``, elapsed seconds and throughput."""
+                        time_col: str = "event_time", weight_col: str | None = None) -> DataFrame:
+    """Records per interval since ``start``, elapsed seconds and throughput.
+    ``weight_col``: rows already carry a count (e.g. input rows of a micro-batch)."""
     secs = float(window_seconds(interval))
+    records = F.sum(weight_col).cast("long") if weight_col else F.count(F.lit(1))
     return (raw.where(F.col(time_col) >= F.lit(start).cast(raw.schema[time_col].dataType))
             .groupBy(F.window(time_col, interval).alias("w"))
-            .agg(F.count(F.lit(1)).alias("records"))
+            .agg(records.alias("records"))
             .select(F.col("w.start").alias("interval_start"),
                     seconds_between(_now(start), F.col("w.start").cast("timestamp_ntz"))
                     .alias("elapsed_seconds"),
                     "records", (F.col("records") / F.lit(secs)).alias("events_per_second")))
 
 
+PROGRESS_SCHEMA = ("batch_id long, ts string, input_rows long, input_rows_per_second double, "
+                   "processed_rows_per_second double, trigger_ms long, dropped_late_rows long")
+
+
+def progress_frame(spark, query) -> DataFrame:
+    """O5/O8 source: a streaming query's recent progress (one small row per micro-batch, kept
+    by Spark for the last ``spark.sql.streaming.numRecentProgressUpdates`` batches)."""
+    rows = []
+    for p in query.recentProgress:
+        dropped = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+        rows.append((p["batchId"], p["timestamp"], p["numInputRows"],
+                     float(p.get("inputRowsPerSecond") or 0.0),
+                     float(p.get("processedRowsPerSecond") or 0.0),
+                     int(p["durationMs"].get("triggerExecution", 0)), dropped))
+    df = spark.createDataFrame(rows, PROGRESS_SCHEMA)
+    return df.withColumn("ts", F.to_timestamp("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSX"))
+
+
 def _fan_out(df: DataFrame, time_col: str, width: str, offsets: range) -> DataFrame:
     """Each row copied to the window start ``time_col + i*width`` for i in offsets (bounded)."""
     step = window_seconds(width)
