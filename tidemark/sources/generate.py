@@ -75,7 +75,8 @@ def product_fields(idx: F.Column, seed: int) -> dict[str, F.Column]:
     sku = F.when(round_no == 0, col(0)).otherwise(F.concat(col(0), F.lit("-"), round_no.cast("string")))
     inv = lo + F.pmod(F.xxhash64(F.lit(seed), F.lit("inv"), idx), hi - lo + 1)
     return {"product_id": sku, "product_name": col(1), "category": col(2), "brand": col(3),
-            "unit_price": col(4).cast("decimal(10,2)"), "inventory_count": inv.cast("int"),
+            "unit_price": _pick([f"{p[4]:.2f}" for p in rules.PRODUCTS], base).cast("decimal(10,2)"),
+            "inventory_count": inv.cast("int"),
             "updated_at": F.lit(rules.PRODUCT_UPDATED_AT).cast("timestamp")}
 
 
