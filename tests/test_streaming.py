@@ -77,10 +77,10 @@ def test_dimension_change_mid_stream(spark, scratch):
     tiers = {r.order_id: r.loyalty_tier for r in layout.table("orders_enriched").read_current().collect()}
     assert tiers == {"O1": "GOLD", "O2": "PLATINUM"}
     # a rebuild from raw with the current dimensions re-enriches history
-    raw = spark.read.schema(jobs.schemas.ORDERS_RAW).parquet(layout.raw_path)
-    rebuilt = enrich.enrich(raw, layout.table("customer_profile").read_current(),
-                            layout.table("product_catalog").read_current())
-    assert {r.loyalty_tier for r in rebuilt.collect()} == {"PLATINUM"}
+    jobs.rebuild(layout, "2024-01-01 00:00:00", "2024-01-01 00:05:00")
+    tiers = {r.order_id: r.loyalty_tier for r in layout.table("orders_enriched").read_current().collect()}
+    assert tiers == {"O1": "PLATINUM", "O2": "PLATINUM"}
+    assert layout.table("revenue_5min").read_current().first().total_orders == 2
 
 
 def test_restart_and_replay_keep_results(spark, scratch):
@@ -163,3 +163,14 @@ def test_progress_timeline(spark, scratch):
     tl = observe.throughput_timeline(prog, "2000-01-01 00:00:00", "1 hour", time_col="ts",
                                      weight_col="input_rows").collect()
     assert sum(r.records for r in tl) == 12
+
+
+def test_lookup_miss_to_dead_letter(spark, scratch):
+    layout = jobs.Layout(spark, scratch)
+    _seed(layout, spark)
+    _append(layout, spark, [raw_row("O1", "1.00", time="2024-01-01 00:00:01"),
+                            raw_row("O2", "1.00", customer="NOPE", time="2024-01-01 00:00:02")])
+    _drain(jobs.start_enrich_and_alert(layout, trigger=NOW, on_miss="dlq"))
+    assert [r.order_id for r in layout.table("orders_enriched").read_current().collect()] == ["O1"]
+    err = spark.read.parquet(layout.errors_path).collect()
+    assert [(e.original_order_id, e.error_type) for e in err] == [("O2", "UNKNOWN_CUSTOMER")]

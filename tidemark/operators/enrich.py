@@ -84,8 +84,9 @@ def enrich(orders: DataFrame, customers: DataFrame, products: DataFrame,
     if on_miss == "unknown":
         for c in CUSTOMER_COLS + PRODUCT_COLS:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(UNKNOWN)))
-    elif on_miss != "null":
-        raise ValueError(f"on_miss must be 'null' or 'unknown', got {on_miss!r}")
+    elif on_miss not in ("null", "dlq"):
+        raise ValueError(f"on_miss must be 'null', 'unknown' or 'dlq', got {on_miss!r}")
+    # "dlq": callers split the NULL-attribute rows off with quality.split_misses
     return out.select(*ENRICHED_COLUMNS)
 
 

@@ -148,3 +148,16 @@ def mask_pii(df: DataFrame, hash_cols=("customer_id",), name_cols=("customer_nam
         out = out.withColumn(c, F.when(F.col(c).isNotNull(),
                                        F.concat(F.substring(c, 1, 1), F.lit("***"))))
     return out
+
+
+def split_misses(enriched: DataFrame, failed_at):
+    """C14 on_miss="dlq": (rows with both lookups found, error_events rows for the misses)."""
+    miss = F.col("customer_name").isNull() | F.col("product_name").isNull()
+    kind = F.when(F.col("customer_name").isNull() & F.col("product_name").isNull(), "UNKNOWN_CUSTOMER_AND_PRODUCT") \
+            .when(F.col("customer_name").isNull(), "UNKNOWN_CUSTOMER").otherwise("UNKNOWN_PRODUCT")
+    ts = failed_at if isinstance(failed_at, F.Column) else F.lit(failed_at).cast("timestamp_ntz")
+    misses = enriched.where(miss).select(
+        F.col("order_id").alias("original_order_id"), kind.alias("error_type"),
+        F.lit("dimension lookup found no row").alias("error_message"),
+        payload(RAW_COLUMNS).alias("raw_payload"), ts.alias("failed_at"))
+    return enriched.where(~miss), misses

@@ -154,6 +154,11 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
         (cust, small_c), (prod, small_p) = customers.get(), products.get()
         enriched = enrich.enrich(good, cust, prod, on_miss=on_miss, small_customers=small_c,
                                  small_products=small_p, unique_dims=True).persist()
+        if on_miss == "dlq":
+            hits, misses = quality.split_misses(enriched, F.current_timestamp())
+            misses.write.mode("overwrite").parquet(
+                f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}/kind=lookup")
+            enriched = hits
         tables["orders_enriched"].write_batch(enriched, epochs["orders_enriched"], batch_id)
         tables["high_value_orders"].write_batch(alerts.high_value(enriched),
                                                 epochs["high_value_orders"], batch_id)
@@ -240,6 +245,37 @@ def start_all(layout: Layout, generator_rows: DataFrame | None = None,
     return qs
 
 
+def rebuild(layout: Layout, start, end, on_miss: str = "null",
+            windows_too: bool = True) -> dict:
+    """Recompute the derived tables for event times in [start, end) from the raw log
+    with the dimensions as they are now, and upsert them in a fresh epoch.
+
+    Run it while the streaming writers are stopped (one writer per table); streams restarted
+    afterwards take a newer epoch, so their later writes still win. Windows are recomputed
+    only when whole: the range should be aligned to the window width.
+    """
+    from tidemark.operators.analytics import between_times
+    spark = layout.spark
+    raw = between_times(read_log(spark, layout.raw_path), start, end)
+    customers = layout.table("customer_profile").read_current()
+    products = layout.table("product_catalog").read_current()
+    enriched = enrich.enrich(raw, customers, products, on_miss=on_miss).persist()
+    if on_miss == "dlq":
+        enriched, _ = quality.split_misses(enriched, F.current_timestamp())
+    written = {}
+    for name, rows in [("orders_enriched", enriched),
+                       ("high_value_orders", alerts.high_value(enriched)),
+                       ("suspicious_orders", alerts.suspicious(enriched))]:
+        written[name] = layout.table(name).upsert(rows)
+    if windows_too:
+        written["revenue_5min"] = layout.table("revenue_5min").upsert(
+            windows.revenue_by_window(raw, products))
+        written["city_revenue_5min"] = layout.table("city_revenue_5min").upsert(
+            windows.city_revenue_by_window(raw))
+    enriched.unpersist()
+    return written
+
+
 def dropped_late_rows(query) -> int:
     """Rows the stateful operators dropped as late, summed over recent progress."""
     total = 0
