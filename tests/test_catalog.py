@@ -66,3 +66,16 @@ def test_late_rate(spark):
         .unionByName(spark.createDataFrame([(None, "Mumbai", 1)], "window_start timestamp, city string, total_orders long"))
     r = observe.late_rate(raw, pub.where(F.col("window_start").isNotNull()), key="city").first()
     assert (r.late_rows, r.total_rows, r.late_rate) == (2, 2, 1.0)
+
+
+def test_dashboard_panels_over_stored_tables(spark, scratch):
+    from tidemark.plans.dashboard import panels
+    layout = _deployment(spark, scratch)
+    q = jobs.start_kpis(layout, trigger={"availableNow": True})
+    q.awaitTermination()
+    p = panels(layout)
+    assert len(p) == 16
+    counts = {r.table_name: r.row_count for r in p["alert_counts"].collect()}
+    assert counts == {"high_value_orders": 1, "suspicious_orders": 1}
+    assert p["kpis"].count() == 5
+    assert [r.order_id for r in p["latest_orders"].collect()] == ["O3", "O2", "O1"]
