@@ -79,3 +79,10 @@ def test_dashboard_panels_over_stored_tables(spark, scratch):
     assert counts == {"high_value_orders": 1, "suspicious_orders": 1}
     assert p["kpis"].count() == 5
     assert [r.order_id for r in p["latest_orders"].collect()] == ["O3", "O2", "O1"]
+
+
+def test_dashboard_refresh_in_parallel(spark, scratch):
+    from tidemark.plans.dashboard import refresh
+    layout = _deployment(spark, scratch)
+    out = refresh(layout, workers=4)
+    assert len(out) == 16 and [r.order_id for r in out["latest_orders"]] == ["O3", "O2", "O1"]

@@ -43,3 +43,14 @@ def panels(layout: Layout) -> dict[str, DataFrame]:
         "customers": an.tier_distribution(t["customer_profile"]),
         "products": an.inventory_board(t["product_catalog"], 50),
     }
+
+
+def refresh(layout: Layout, workers: int = 5) -> dict[str, list]:
+    """Run every panel and return its (small) rows. Panels are independent Spark jobs, so they
+    are submitted from ``workers`` threads on the one session and share the cluster's slots;
+    an error in any panel is raised, never turned into an empty panel."""
+    from concurrent.futures import ThreadPoolExecutor
+    p = panels(layout)
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(df.collect) for name, df in p.items()}
+        return {name: f.result() for name, f in futures.items()}
