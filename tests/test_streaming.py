@@ -174,3 +174,15 @@ def test_lookup_miss_to_dead_letter(spark, scratch):
     assert [r.order_id for r in layout.table("orders_enriched").read_current().collect()] == ["O1"]
     err = spark.read.parquet(layout.errors_path).collect()
     assert [(e.original_order_id, e.error_type) for e in err] == [("O2", "UNKNOWN_CUSTOMER")]
+
+
+def test_stream_dedup_drops_redelivered_orders(spark, scratch):
+    for dedup, expected in ((None, "10.00"), ("1 hour", "30000.00")):
+        layout = jobs.Layout(spark, f"{scratch}/{dedup or 'none'}".replace(" ", "_"))
+        _seed(layout, spark)
+        _append(layout, spark, [raw_row("O1", "30000", time="2024-01-01 00:00:01")])
+        _drain(jobs.start_enrich_and_alert(layout, trigger=NOW, dedup_within=dedup))
+        _append(layout, spark, [raw_row("O1", "10", time="2024-01-01 00:00:02")])   # replay
+        _drain(jobs.start_enrich_and_alert(layout, trigger=NOW, dedup_within=dedup))
+        got = [str(r.order_amount) for r in layout.table("orders_enriched").read_current().collect()]
+        assert got == [expected]

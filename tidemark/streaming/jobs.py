@@ -131,9 +131,13 @@ def start_ingest(layout: Layout, generator_rows: DataFrame, trigger: dict | None
 
 
 def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss: str = "null",
-                           max_files_per_trigger: int | None = None, validate_now: bool = False):
+                           max_files_per_trigger: int | None = None, validate_now: bool = False,
+                           dedup_within: str | None = None):
     """X5/X6 (+Q7 when ``validate_now``): one query over orders_raw; per micro-batch the batch
-    is enriched once and written to orders_enriched, high_value_orders, suspicious_orders."""
+    is enriched once and written to orders_enriched, high_value_orders, suspicious_orders.
+
+    dedup_within (X11), e.g. "1 hour": a re-delivered order_id arriving within that event-time
+    horizon of its first copy is dropped (state bounded by the horizon)."""
     ckpt = layout.checkpoint("enrich_alert")
     names = ["orders_enriched", "high_value_orders", "suspicious_orders"]
     tables = {n: layout.table(n) for n in names}
@@ -170,6 +174,9 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
             batch.unpersist()
 
     src = raw_stream(layout, max_files_per_trigger, watermark=None)
+    if dedup_within:
+        from tidemark.operators.dedup import dedup_orders
+        src = dedup_orders(src, ["order_id"], within=dedup_within)
     return _start(src, process, ckpt, trigger, name="enrich_alert")
 
 
