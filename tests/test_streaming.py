@@ -186,3 +186,18 @@ def test_stream_dedup_drops_redelivered_orders(spark, scratch):
         _drain(jobs.start_enrich_and_alert(layout, trigger=NOW, dedup_within=dedup))
         got = [str(r.order_amount) for r in layout.table("orders_enriched").read_current().collect()]
         assert got == [expected]
+
+
+def test_validation_and_lookup_errors_share_one_layout(spark, scratch):
+    layout = jobs.Layout(spark, scratch)
+    _seed(layout, spark)
+    import datetime as _dt
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    fresh = now.strftime("%Y-%m-%d %H:%M:%S")
+    _append(layout, spark, [raw_row("good", "5", time=fresh),
+                            raw_row("bad", "0", time=fresh),
+                            raw_row("miss", "5", customer="NOPE", time=fresh)])
+    _drain(jobs.start_enrich_and_alert(layout, trigger=NOW, on_miss="dlq", validate_now=True))
+    err = {(r.original_order_id, r.error_type, r.kind) for r in spark.read.parquet(layout.errors_path).collect()}
+    assert err == {("bad", "INVALID_AMOUNT", "validation"), ("miss", "UNKNOWN_CUSTOMER", "lookup")}
+    assert [r.order_id for r in layout.table("orders_enriched").read_current().collect()] == ["good"]

@@ -151,7 +151,8 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
             batch = batch.persist()
             tagged = quality.tag_errors(batch, F.current_timestamp().cast("timestamp_ntz")).persist()
             (quality.error_rows(tagged, F.current_timestamp())
-             .write.mode("overwrite").parquet(f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}"))
+             .write.mode("overwrite").parquet(
+                 f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}/kind=validation"))
             good = quality.valid_rows(tagged)
         else:
             tagged, good = None, batch
