@@ -100,3 +100,16 @@ def test_ordered_table_keeps_newer_snapshot_row(spark, scratch):
     assert _rows(t) == [("k", 3)]
     t.compact()
     assert _rows(t) == [("k", 3)]
+
+
+def test_compaction_skips_uncommitted_batches(spark, scratch):
+    from tidemark.sources.upsert import fs_delete
+    t = _table(spark, scratch)
+    e = t.new_epoch()
+    t.write_batch(_df(spark, [("a", 1, 0)]), e, 0)
+    t.write_batch(_df(spark, [("b", 1, 0)]), e, 1)
+    t.write_batch(_df(spark, [("c", 1, 0)]), e, 2)
+    fs_delete(spark, f"{t.root}/changelog/epoch={e}/batch_id=1/_SUCCESS")   # still being written
+    t.compact()
+    assert t.pointer()["folded"] == [e, 0]
+    assert _rows(t) == [("a", 1), ("b", 1), ("c", 1)]   # batches 1 and 2 stay readable in the tail

@@ -13,11 +13,14 @@ Layout under ``root``::
   greatest (order_by..., epoch, batch_id): ``groupBy(keys).agg(max_by(struct, seq))``. This is
   one aggregate with partial aggregation, so a hot key is reduced map-side before the shuffle.
   Group-by treats NULL keys as equal (one row for a NULL key).
-* compact: fold the view into ``snapshot/v=K+1``, then move the pointer. Old directories are
-  only deleted by ``expire`` afterwards, so open readers never lose files.
-
-Epochs: a new one is taken for each seed/batch load and whenever a stream starts on a new
-checkpoint (its batch ids restart at 0 and must not overwrite older data).
+* compact: fold the view into ``snapshot/v=K+1``, then move the pointer. Only the contiguous
+  run of committed batches (``_SUCCESS``) is folded, so a batch being written concurrently is
+  never cut in half. Old directories are only deleted by ``expire`` afterwards, so open
+  readers never lose files.
+
+Epochs: a new one is taken for each seed/batch load and for every start of a streaming query
+(so a restarted stream's writes order after a rebuild done while it was stopped). One writer
+per table at a time.
 """
 
 from __future__ import annotations
@@ -190,14 +193,20 @@ class UpsertTable:
         """All changelog rows with epoch, batch_id and write time (audit, O3)."""
         return self._changelog()
 
-    def _batches(self) -> list[tuple[int, int]]:
-        """(epoch, batch_id) of every changelog directory (file listing, no job)."""
+    def _batches(self, committed: bool = False) -> list[tuple[int, int]]:
+        """(epoch, batch_id) of every changelog directory (file listing, no job).
+        committed=True: also report whether the write job committed (``_SUCCESS`` marker)."""
         out = []
         for e in fs_list(self.spark, f"{self.root}/changelog"):
             if e.startswith("epoch="):
                 for b in fs_list(self.spark, f"{self.root}/changelog/{e}"):
                     if b.startswith("batch_id="):
-                        out.append((int(e.split("=")[1]), int(b.split("=")[1])))
+                        eb = (int(e.split("=")[1]), int(b.split("=")[1]))
+                        if committed:
+                            done = fs_exists(self.spark, f"{self.root}/changelog/{e}/{b}/_SUCCESS")
+                            out.append((eb, done))
+                        else:
+                            out.append(eb)
         return sorted(out)
 
     def _tail(self, after: tuple, upto: tuple | None = None) -> DataFrame:
@@ -271,8 +280,17 @@ class UpsertTable:
         """Fold snapshot + changelog (up to the newest batch now present) into a new
         snapshot version, then move the pointer (written last)."""
         ptr = self.pointer()
-        batches = self._batches()
-        upto = max(batches) if batches else tuple(ptr["folded"])
+        # fold only the contiguous run of committed batches: a batch still being written (or
+        # anything after it) stays in the tail, so a concurrent writer never loses rows
+        upto = tuple(ptr["folded"])
+        for eb, done in self._batches(committed=True):
+            if eb <= upto:
+                continue
+            if not done:
+                break
+            upto = eb
+        if upto == tuple(ptr["folded"]):
+            return ptr["version"]
         folded = self._merge(ptr, upto)
         version = ptr["version"] + 1
         if files:

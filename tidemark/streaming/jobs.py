@@ -26,7 +26,7 @@ from tidemark.functions import rules
 from tidemark.operators import alerts, enrich, quality, windows
 from tidemark.operators.ingest import to_orders_raw
 from tidemark.sources.log import read_log, start_log_writer
-from tidemark.sources.upsert import UpsertTable, fs_exists, fs_read_text, fs_write_text
+from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
 
 WATERMARK = "5 seconds"
 
@@ -81,16 +81,26 @@ class DimensionCache:
 
 
 def stream_epoch(table: UpsertTable, checkpoint: str) -> int:
-    """The changelog epoch of a query: reused when the query restarts on the same checkpoint
-    (its batch ids continue), new when the checkpoint is new (batch ids restart at 0)."""
+    """A fresh changelog epoch for every start of a query.
+
+    Batch ids restart at 0 on a new checkpoint and continue on an old one; either way the new
+    epoch orders this run's writes after everything already in the table (e.g. a rebuild
+    done while the query was stopped). A batch that Spark re-executes after a restart is
+    deterministic, so its copy under the new epoch carries the same rows. The epochs used are
+    recorded next to the checkpoint for audit (``epochs_of``).
+    """
     marker = f"{checkpoint}.epochs.json"
     text = fs_read_text(table.spark, marker)
     known = json.loads(text) if text else {}
-    if table.root in known and fs_exists(table.spark, f"{checkpoint}/offsets"):
-        return known[table.root]
-    known[table.root] = table.new_epoch()
+    epoch = table.new_epoch()
+    known.setdefault(table.root, []).append(epoch)
     fs_write_text(table.spark, marker, json.dumps(known))
-    return known[table.root]
+    return epoch
+
+
+def epochs_of(table: UpsertTable, checkpoint: str) -> list[int]:
+    text = fs_read_text(table.spark, f"{checkpoint}.epochs.json")
+    return (json.loads(text) if text else {}).get(table.root, [])
 
 
 def state_partitions(spark: SparkSession) -> int:
