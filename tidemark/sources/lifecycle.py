@@ -10,17 +10,34 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import rules
+from tidemark.session import shared_root
 from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, spread_by_day
 from tidemark.sources.upsert import (UpsertTable, fs_delete, fs_exists, fs_list, fs_read_text,
                                      fs_write_text)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwrite only the partitions being written; restore the caller's setting after."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def _day(value) -> str:
     if isinstance(value, (_dt.date, _dt.datetime)):
         return value.strftime("%Y%m%d")
@@ -128,11 +145,8 @@ def tier(spark: SparkSession, hot_path: str, cold_path: str, schema: T.StructTyp
     days = spark.read.schema(schema).parquet(hot_path) \
         .where((F.col(day_col) >= F.lit(start)) & (F.col(day_col) < F.lit(end)))
     out = spread_by_day(days, day_col, rows_per_file)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with _dynamic_overwrite(spark):
         out.write.mode("overwrite").partitionBy(day_col).parquet(cold_path)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     state["boundary"] = end
     fs_write_text(spark, f"{cold_path}/_tier.json", json.dumps(state))
     return end
@@ -176,13 +190,11 @@ def compact_days(spark: SparkSession, path: str, schema: T.StructType, days: lis
     if not todo:
         return []
     # read, cut lineage into the shared checkpoint dir, then overwrite the same days
+    shared_root(spark)   # lineage cut goes to the cluster's spark.checkpoint.dir
     df = spark.read.schema(schema).parquet(path).where(F.col(day_col).isin(todo)).checkpoint()
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with _dynamic_overwrite(spark):
         spread_by_day(df, day_col, rows_per_file).write.mode("overwrite") \
           .partitionBy(day_col).parquet(path)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     return todo
 
 
@@ -195,12 +207,10 @@ def purge_files(spark: SparkSession, path: str, schema: T.StructType, column: st
     days = sorted(r[0] for r in df.where(F.col(column) == F.lit(value)).select(day_col).distinct().collect())
     if not days:
         return []
+    shared_root(spark)   # lineage cut goes to the cluster's spark.checkpoint.dir
     keep = purge(df.where(F.col(day_col).isin(days)), column, value).checkpoint()
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with _dynamic_overwrite(spark):
         keep.write.mode("overwrite").partitionBy(day_col).parquet(path)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     return days
 
 
