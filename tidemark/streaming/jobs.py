@@ -115,8 +115,8 @@ def _start(df: DataFrame, process, checkpoint: str, trigger: dict | None, mode:
     spark = df.sparkSession
     w = (df.writeStream.outputMode(mode).foreachBatch(process)
          .option("checkpointLocation", checkpoint))
-    if name:
-        w = w.queryName(name)
+    if name:   # unique per deployment: several layouts may run in one session
+        w = w.queryName(f"{name}_{hashlib.sha1(checkpoint.encode()).hexdigest()[:8]}")
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
@@ -167,19 +167,19 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
         else:
             tagged, good = None, batch
         (cust, small_c), (prod, small_p) = customers.get(), products.get()
-        enriched = enrich.enrich(good, cust, prod, on_miss=on_miss, small_customers=small_c,
-                                 small_products=small_p, unique_dims=True).persist()
+        cached = enrich.enrich(good, cust, prod, on_miss=on_miss, small_customers=small_c,
+                               small_products=small_p, unique_dims=True).persist()
+        enriched = cached
         if on_miss == "dlq":
-            hits, misses = quality.split_misses(enriched, F.current_timestamp())
+            enriched, misses = quality.split_misses(cached, F.current_timestamp())
             misses.write.mode("overwrite").parquet(
                 f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}/kind=lookup")
-            enriched = hits
         tables["orders_enriched"].write_batch(enriched, epochs["orders_enriched"], batch_id)
         tables["high_value_orders"].write_batch(alerts.high_value(enriched),
                                                 epochs["high_value_orders"], batch_id)
         tables["suspicious_orders"].write_batch(alerts.suspicious(enriched),
                                                 epochs["suspicious_orders"], batch_id)
-        enriched.unpersist()
+        cached.unpersist()
         if tagged is not None:
             tagged.unpersist()
             batch.unpersist()
