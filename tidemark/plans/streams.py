@@ -18,12 +18,16 @@ from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log
 from tidemark.streaming import jobs
 
 
-def _layout(t: Tables) -> jobs.Layout:
+def _layout(t: Tables, customers: bool = True, products: bool = True) -> jobs.Layout:
+    """A fresh deployment holding the adapter's orders as a log, plus the dimensions the job
+    reads (only those)."""
     layout = jobs.Layout(t.spark, scratch_dir(t.spark, "stream"))
     raw = t.raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
     append_log(raw, layout.raw_path, rows_per_file=DEFAULT_ROWS_PER_FILE)
-    layout.table("customer_profile").upsert(t.customers)
-    layout.table("product_catalog").upsert(t.products)
+    if customers:
+        layout.table("customer_profile").upsert(t.customers)
+    if products:
+        layout.table("product_catalog").upsert(t.products)
     return layout
 
 
@@ -40,7 +44,7 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 
 def stream_revenue_5min(t: Tables) -> DataFrame:
-    layout = _layout(t)
+    layout = _layout(t, customers=False)
     _drain(jobs.start_revenue(layout, trigger={"availableNow": True}))
     return _ntz(layout.table("revenue_5min").read_current())
 
@@ -57,6 +61,6 @@ def stream_alerts(t: Tables) -> DataFrame:
 
 
 def stream_kpis(t: Tables) -> DataFrame:
-    layout = _layout(t)
+    layout = _layout(t, customers=False, products=False)
     _drain(jobs.start_kpis(layout, trigger={"availableNow": True}))
     return _ntz(layout.table("dashboard_kpis").read_current())
