@@ -55,3 +55,13 @@ def test_products(spark):
     assert len(p) == 30 and len({r.category for r in p}) == 6
     low = sorted((r.inventory_count, r.product_id) for r in p if r.inventory_count < 100)
     assert all(r[1].startswith("SKU-") for r in low)
+
+
+def test_seed_dimensions_into_upsert_tables(spark, scratch):
+    from tidemark.sources.upsert import UpsertTable
+    g.seed_dimensions(spark, scratch, n_customers=20, n_products=30, today="2025-01-01")
+    cust = UpsertTable.named(spark, scratch, "customer_profile").read_current()
+    prod = UpsertTable.named(spark, scratch, "product_catalog").read_current()
+    assert cust.count() == 20 and prod.count() == 30
+    low = [r.product_id for r in prod.where("inventory_count < 100").collect()]
+    assert all(p.startswith("SKU-ELEC") for p in low)
