@@ -459,6 +459,7 @@ CLOSED = "(SELECT MAX(event_time) - INTERVAL '5 seconds' FROM orders_raw)"
 
 ORACLE.update({
     "stream_revenue_5min": _q(f"SELECT * FROM revenue_5min WHERE window_end <= {CLOSED}"),
+    "stream_city_revenue_5min": _q(f"SELECT * FROM city_revenue_5min WHERE window_end <= {CLOSED}"),
     "stream_alerts": _q("""
 SELECT 'high_value' AS alert_type, order_id, customer_id, order_amount, city, event_time,
        CAST(NULL AS VARCHAR) AS reason FROM high_value_orders

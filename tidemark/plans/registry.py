@@ -387,5 +387,6 @@ def _(t):
 from tidemark.plans import streams  # noqa: E402
 
 register("stream_revenue_5min")(streams.stream_revenue_5min)
+register("stream_city_revenue_5min")(streams.stream_city_revenue_5min)
 register("stream_alerts")(streams.stream_alerts)
 register("stream_kpis")(streams.stream_kpis)

@@ -49,6 +49,12 @@ def stream_revenue_5min(t: Tables) -> DataFrame:
     return _ntz(layout.table("revenue_5min").read_current())
 
 
+def stream_city_revenue_5min(t: Tables) -> DataFrame:
+    layout = _layout(t, customers=False, products=False)
+    _drain(jobs.start_city_revenue(layout, trigger={"availableNow": True}))
+    return _ntz(layout.table("city_revenue_5min").read_current())
+
+
 def stream_alerts(t: Tables) -> DataFrame:
     layout = _layout(t)
     _drain(jobs.start_enrich_and_alert(layout, trigger={"availableNow": True}))
