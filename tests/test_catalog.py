@@ -86,3 +86,11 @@ def test_dashboard_refresh_in_parallel(spark, scratch):
     layout = _deployment(spark, scratch)
     out = refresh(layout, workers=4)
     assert len(out) == 16 and [r.order_id for r in out["latest_orders"]] == ["O3", "O2", "O1"]
+
+
+def test_dashboard_timeline_is_recent_only(spark, scratch):
+    from tidemark.plans.dashboard import panels
+    layout = _deployment(spark, scratch)
+    # windows exist for Jan 1 and Jan 2 (Jan 3's window is still open at the end of the stream)
+    rows = panels(layout, "2024-01-02 12:00:00", timeline_hours=24)["timeline"].collect()
+    assert rows and all(r.window_start.day == 2 for r in rows)

@@ -7,6 +7,8 @@ Every panel aggregates the whole table in Spark and returns a small result.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,10 @@ from tidemark.operators import analytics as an
 from tidemark.streaming.jobs import Layout
 
 
-def panels(layout: Layout) -> dict[str, DataFrame]:
+def panels(layout: Layout, now=None, timeline_hours: int = 24) -> dict[str, DataFrame]:
+    """All panels; each result is small by construction (top-k, grouped by a low-cardinality
+    column, or — for the timeline — the windows of the last ``timeline_hours`` before ``now``,
+    default the current time)."""
     t = {n: layout.table(n).read_current() for n in
          ["orders_enriched", "high_value_orders", "suspicious_orders", "revenue_5min",
           "city_revenue_5min", "dashboard_kpis", "customer_profile", "product_catalog"]}
@@ -30,7 +35,9 @@ def panels(layout: Layout) -> dict[str, DataFrame]:
                                          "suspicious_orders": t["suspicious_orders"]}),
         "category_rollup": an.rollup_windows(t["revenue_5min"], "category"),
         "city_rollup": an.rollup_windows(t["city_revenue_5min"], "city"),
-        "timeline": an.timeline(t["revenue_5min"]),
+        "timeline": an.timeline(an.recent_windows(
+            t["revenue_5min"], now if now is not None else _dt.datetime.now(_dt.timezone.utc)
+            .replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S"), timeline_hours)),
         "latest_orders": an.latest_orders(e, 50),
         "payment_status": an.value_counts(e, "payment_status"),
         "devices": an.value_counts(e, "device_type"),
@@ -45,12 +52,12 @@ def panels(layout: Layout) -> dict[str, DataFrame]:
     }
 
 
-def refresh(layout: Layout, workers: int = 5) -> dict[str, list]:
+def refresh(layout: Layout, workers: int = 5, now=None) -> dict[str, list]:
     """Run every panel and return its (small) rows. Panels are independent Spark jobs, so they
     are submitted from ``workers`` threads on the one session and share the cluster's slots;
     an error in any panel is raised, never turned into an empty panel."""
     from concurrent.futures import ThreadPoolExecutor
-    p = panels(layout)
+    p = panels(layout, now)
     with ThreadPoolExecutor(max_workers=workers) as pool:
         futures = {name: pool.submit(df.collect) for name, df in p.items()}
         return {name: f.result() for name, f in futures.items()}
