@@ -10,7 +10,7 @@ Layout under ``root``::
   ties, since arrival order inside a micro-batch is undefined), then overwrite that batch's
   directory — a replayed batch id rewrites the same files (idempotent sink).
 * read: snapshot rows ∪ changelog rows after the pointer, then per key the row with the
-  greatest (order_by..., epoch, batch_id): ``groupBy(keys).agg(max_by(struct, seq))``. This is
+  greatest (order_by..., epoch, batch_id, row hash): ``groupBy(keys).agg(max_by(struct, seq))``. This is
   one aggregate with partial aggregation, so a hot key is reduced map-side before the shuffle.
   Group-by treats NULL keys as equal (one row for a NULL key).
 * compact: fold the view into ``snapshot/v=K+1``, then move the pointer. Only the contiguous
@@ -142,25 +142,15 @@ class UpsertTable:
         return epoch
 
     # -- write ---------------------------------------------------------------------------
-    def _batch_rows(self, df: DataFrame) -> DataFrame:
-        cols = [f.name for f in self.schema.fields]
-        df = df.select(*[F.col(c).cast(self.schema[c].dataType) for c in cols])
-        # newest per key inside the batch; a hash of the whole row makes ties deterministic
-        ordered = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
-        return latest_per_key(ordered, self.keys, [*self.order_by, "_tie"]).select(*cols)
-
-    def write_batch(self, df: DataFrame, epoch: int, batch_id: int,
-                    unique_keys: bool = False) -> None:
+    def write_batch(self, df: DataFrame, epoch: int, batch_id: int) -> None:
         """Idempotent: the directory of (epoch, batch_id) is replaced as a whole.
 
-        unique_keys=True skips the in-batch fold for frames that are unique on the key by
-        construction (e.g. an aggregate grouped by exactly the key columns).
+        A narrow job (projection + write): rows are not folded here. Several rows for one key
+        inside a batch are resolved when read — newest by the table's order columns, then by a
+        hash of the row — so the result is deterministic and a replay writes the same files.
         """
         path = f"{self.root}/changelog/epoch={epoch}/batch_id={batch_id}"
-        if unique_keys:
-            rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        else:
-            rows = self._batch_rows(df)
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         # write time of each changelog row (for window completion delay, O3)
         w = rows.withColumn(WRITTEN_AT, F.current_timestamp()).write.mode("overwrite")
         if self.partition:
@@ -234,7 +224,9 @@ class UpsertTable:
             if snap is not None:
                 return snap.select(*cols)
             return self.spark.createDataFrame([], self.schema)
-        tail = self._tail(after, upto)
+        row_hash = F.xxhash64(*[F.col(c) for c in cols])
+        order = [*order, "_tie"]      # same-batch duplicates: the larger row hash wins
+        tail = self._tail(after, upto).withColumn("_tie", row_hash)
         if snap is None:
             return latest_per_key(tail, self.keys, order).select(*cols)
         keys = bounded_broadcast(tail.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct())
@@ -244,7 +236,8 @@ class UpsertTable:
             on = c if on is None else on & c
         touched = snap.join(keys, on, "left_semi")
         untouched = snap.join(keys, on, "left_anti")
-        base = touched.withColumn("epoch", F.lit(-1).cast("long")).withColumn("batch_id", F.lit(-1).cast("long"))
+        base = (touched.withColumn("epoch", F.lit(-1).cast("long"))
+                .withColumn("batch_id", F.lit(-1).cast("long")).withColumn("_tie", row_hash))
         folded = latest_per_key(base.unionByName(tail), self.keys, order).select(*cols)
         return untouched.select(*cols).unionByName(folded)
 

@@ -204,9 +204,8 @@ def start_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WAT
 
     def process(batch: DataFrame, batch_id: int) -> None:
         prod, small = products.get()
-        # grouped by exactly the table key (window, category): no in-batch fold needed
         target.write_batch(windows.rollup_partials(batch, prod, small, unique=True), epoch,
-                           batch_id, unique_keys=True)
+                           batch_id)
 
     partials = windows.product_window_partials(
         raw_stream(layout, max_files_per_trigger, watermark), width)
@@ -221,7 +220,7 @@ def start_city_revenue(layout: Layout, width: str = "5 minutes", watermark: str
     epoch = stream_epoch(target, ckpt)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        target.write_batch(batch, epoch, batch_id, unique_keys=True)   # grouped by the key
+        target.write_batch(batch, epoch, batch_id)
 
     agg = windows.city_revenue_by_window(raw_stream(layout, max_files_per_trigger, watermark), width)
     return _start(agg, process, ckpt, trigger, name="city_revenue_5min")
