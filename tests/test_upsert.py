@@ -113,3 +113,17 @@ def test_compaction_skips_uncommitted_batches(spark, scratch):
     t.compact()
     assert t.pointer()["folded"] == [e, 0]
     assert _rows(t) == [("a", 1), ("b", 1), ("c", 1)]   # batches 1 and 2 stay readable in the tail
+
+
+def test_expire_by_age_keeps_recent_and_current(spark, scratch):
+    from tidemark.sources.upsert import fs_list
+    t = _table(spark, scratch)
+    t.upsert(_df(spark, [("a", 1, 0)]))
+    t.compact()
+    t.upsert(_df(spark, [("a", 2, 0)]))
+    t.compact()
+    t.expire(keep_versions=1, older_than_days=90)          # v=0 is recent: kept
+    assert sorted(fs_list(spark, f"{t.root}/snapshot")) == ["v=0", "v=1"]
+    t.expire(keep_versions=1, older_than_days=0)           # now old enough: removed
+    assert sorted(fs_list(spark, f"{t.root}/snapshot")) == ["v=1"]
+    assert _rows(t) == [("a", 2)]

@@ -85,6 +85,11 @@ def fs_list(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def fs_mtime_ms(spark: SparkSession, path: str) -> int:
+    fs, p = _hadoop_fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def fs_delete(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop_fs(spark, path)
     if fs.exists(p):
@@ -296,13 +301,20 @@ class UpsertTable:
         self._save_pointer(ptr)
         return version
 
-    def expire(self, keep_versions: int = 1) -> None:
-        """Delete snapshot versions older than the newest ``keep_versions`` and the
-        changelog batches already folded into the current snapshot."""
+    def expire(self, keep_versions: int = 1, older_than_days: float | None = None) -> None:
+        """Delete snapshot versions older than the newest ``keep_versions`` (and, when
+        ``older_than_days`` is given, only those last modified that long ago — e.g. 90), plus
+        the changelog batches already folded into the current snapshot. The current snapshot
+        is never removed."""
+        import time
         ptr = self.pointer()
+        cutoff_ms = None if older_than_days is None else (time.time() - older_than_days * 86400) * 1000
         for name in fs_list(self.spark, f"{self.root}/snapshot"):
-            if name.startswith("v=") and int(name[2:]) <= ptr["version"] - keep_versions:
-                fs_delete(self.spark, f"{self.root}/snapshot/{name}")
+            if not name.startswith("v=") or int(name[2:]) > ptr["version"] - keep_versions:
+                continue
+            if cutoff_ms is not None and fs_mtime_ms(self.spark, f"{self.root}/snapshot/{name}") > cutoff_ms:
+                continue
+            fs_delete(self.spark, f"{self.root}/snapshot/{name}")
         fe, fb = ptr["folded"]
         for e in fs_list(self.spark, f"{self.root}/changelog"):
             if not e.startswith("epoch="):
