@@ -97,16 +97,18 @@ def packed(sums: pd.DataFrame, cut: pd.DataFrame, shards: int) -> pd.DataFrame:
     low = cut["k1"].to_numpy()
     left = [None if r == 0 else low[r - 1] for r in sums["range"]]
     inner = set(cut["k1"][cut["k1"].duplicated()])
-    sums = sums.assign(text=[k if k in inner else None for k in left])
-    units = [(int(sums["bytes"].iloc[i]), [i]) for i in range(len(sums)) if sums["text"].iloc[i] is None]
-    for _, same in sums[sums["text"].notna()].groupby("text"):
-        whole = (int(same["bytes"].sum()), list(same.index))
-        units += [whole] if whole[0] <= OVERFULL * share else [(int(same["bytes"][i]), [i]) for i in same.index]
+    own = [k if k in inner else None for k in left]  # the text that fills the range
+    size = sums["bytes"].tolist()
+    units = [(size[i], [i]) for i in range(len(size)) if own[i] is None]
+    for text in sorted(inner):
+        same = [i for i in range(len(size)) if own[i] == text]
+        whole = sum(size[i] for i in same)
+        units += [(whole, same)] if whole <= OVERFULL * share else [(size[i], [i]) for i in same]
     heap, shard = [(0, s) for s in range(shards)], np.zeros(len(sums), int)
-    for size, members in sorted(units, key=lambda u: (-u[0], u[1])):
+    for held, members in sorted(units, key=lambda u: (-u[0], u[1])):
         filled, s = heapq.heappop(heap)
         shard[members] = s
-        heapq.heappush(heap, (filled + size, s))
+        heapq.heappush(heap, (filled + held, s))
     sums = sums.assign(shard=shard).sort_values(["shard", "range"])
     sums["offset"] = sums.groupby("shard")["rows"].cumsum() - sums["rows"]
     return sums[["range", "shard", "offset"]]
