@@ -37,7 +37,7 @@ class Scratch:
 def input_bytes(df: DataFrame) -> int:
     """Bytes of a frame as Spark's planner sees them (file sizes, no scan). Frames without
     statistics are measured by one aggregate over their columns' text form."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size < UNKNOWN_BYTES:
         return size
     width = [F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
