@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import col, documents
+from tidemark.llm.common import col, documents, ship
 
 #: Stands for a merge that does not exist.
 NEVER = 1 << 60
@@ -249,6 +249,8 @@ def encoder(name: str = "byte_bpe_50k.tiktoken") -> PrefixEncoder:
 def encode_documents(df: DataFrame, text: str = "text", out: str = "ids",
                      vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """``df`` with the token ids of a text column as ``array<int>``."""
+    ship(df.sparkSession)
+
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(texts):
         encode = encoder(vocabulary).encode
@@ -260,6 +262,8 @@ def encode_documents(df: DataFrame, text: str = "text", out: str = "ids",
 def decode_documents(df: DataFrame, ids: str = "ids", out: str = "decoded",
                      vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """``df`` with the bytes of a column of token ids (null: empty)."""
+    ship(df.sparkSession)
+
     @F.pandas_udf(T.BinaryType())
     def data(lists):
         decode = encoder(vocabulary).decode
@@ -274,6 +278,8 @@ DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 str
 def digest_documents(df: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """One row per document: token count, digest of the ids, digest of the bytes that the ids
     decode to. Ids live for one text at a time, in the task that reads it; nothing is shuffled."""
+    ship(df.sparkSession)
+
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(vocabulary)
         names, decode, encode = one.names.__getitem__, one.decode, one.encode

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +17,26 @@ from tidemark.session import scratch_dir
 UNKNOWN_BYTES = 1 << 56
 
 
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers. Nothing to do where PYTHONPATH has it;
+    else its files go out with the job, once for each application."""
+    top, context = Path(__file__).resolve().parents[2], spark.sparkContext
+    if str(top) in os.environ.get("PYTHONPATH", "").split(":") or getattr(context, "_tidemark_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tidemark-")) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((top / "tidemark").rglob("*.py")):
+            out.write(file, file.relative_to(top))
+    context.addPyFile(str(archive))
+    context._tidemark_shipped = True
+
+
 class Scratch:
     """Written tables below ``spark.checkpoint.dir``: they cut lineage, every executor can read
     them, and a lost executor costs nothing that was finished. ``drop`` removes one table."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark, self.root, self.n = spark, scratch_dir(spark, name), 0
 
     def save(self, df: DataFrame) -> DataFrame:
