@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from tidemark.llm.bpe import op9_byte_bpe
+from tidemark.llm.fingerprint import op8_one_permutation
 from tidemark.llm.lm import op2_backoff_automaton
 from tidemark.llm.mixing import op4_temperature_mixing
 from tidemark.llm.ngram_join import op3_combination_prefixes
+from tidemark.llm.secrets import op5_ownership_secrets
 from tidemark.llm.sharding import op7_sampled_shards
 
 QUERIES = {
     "op2_backoff_automaton": op2_backoff_automaton,
     "op3_combination_prefixes": op3_combination_prefixes,
     "op4_temperature_mixing": op4_temperature_mixing,
+    "op5_ownership_secrets": op5_ownership_secrets,
     "op7_sampled_shards": op7_sampled_shards,
+    "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
