@@ -1,4 +1,5 @@
-"""Connected components by rounds of stars, with joins and grouped minima only.
+"""Connected components by rounds of stars, and links found through an index, with joins and
+grouped minima only.
 
 An edge table shrinks towards one star for each component: in the large-star step every node
 sends its larger neighbours to the smallest node it knows, in the small-star step its smaller
@@ -9,6 +10,8 @@ rounds end when no node is both a child and a parent, or a child twice.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +45,38 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         now = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select("b", F.col("b")).distinct())
+
+
+def linked_components(index: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch, fits=None) -> DataFrame:
+    """Components of the links among the members of an index: rows (entry, key) and maybe more
+    columns, to rows (node, component) for the keys that have links.
+
+    ``verify`` keeps the linked ones of pairs (a, b) of keys. All members of an entry are first
+    compared to its smallest one. Then, in entries whose members still lie in several
+    components, each is compared to the members of the other components that it was not compared
+    to before: no link between components is lost, and pairs inside one are not made.
+    ``fits``: a condition on the members' further columns (those of the second one have ``_2``
+    behind their names); pairs that do not meet it have no link."""
+    more = [c for c in index.columns if c not in ("entry", "key")]
+    fits = F.lit(True) if fits is None else F.expr(fits)
+    ends = index.groupBy("entry").agg(F.min("key").alias("p"), F.max("key").alias("q")).where("p < q").select("entry", "p")
+    index = scratch.save(index.join(ends, "entry"))
+    heads = index.where("key = p").select("entry", *[F.col(c).alias(f"{c}_2") for c in more]).dropDuplicates(["entry"])
+    tried = index.where("key <> p")
+    if more:
+        tried = tried.join(heads, "entry").where(fits)
+    tried = scratch.save(tried.select(F.col("key").alias("a"), F.col("p").alias("b")).distinct())
+    parts = scratch.save(components(scratch.save(verify(tried)), scratch))
+
+    member = index.join(parts.withColumnRenamed("node", "key"), "key", "left").select(
+        "entry", "key", *more, F.coalesce("component", "key").alias("c"))
+    several = member.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry")
+    member = scratch.save(member.join(several, "entry"))
+    kinds = member.select("entry", "c").distinct()
+    other = member.select("entry", F.col("c").alias("d"), F.col("key").alias("key_2"), *[F.col(c).alias(f"{c}_2") for c in more])
+    cross = (kinds.join(kinds.select("entry", F.col("c").alias("d")), "entry").where("c < d")
+             .join(member, ["entry", "c"]).join(other, ["entry", "d"]).where(fits)
+             .select(F.greatest("key", "key_2").alias("a"), F.least("key", "key_2").alias("b")).distinct()
+             .join(tried, ["a", "b"], "left_anti"))
+    cross = scratch.save(verify(scratch.save(cross)))
+    return components(parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(cross), scratch)

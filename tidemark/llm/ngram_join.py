@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, blocks_for, col, documents, fresh, input_bytes
-from tidemark.llm.components import components
+from tidemark.llm.components import linked_components
 from tidemark.llm.words import bucket_edges, mixed, pack, pack_sorted, unpack, unpack_sorted, words_of
 
 #: A token in up to so many sets is rare; extension of the filter's prefix; input bytes for each bucket.
@@ -305,27 +305,8 @@ def similar_sets(texts: DataFrame, narrow: DataFrame, law: Law, buckets: int, sc
         .groupBy("bucket").applyInPandas(lambda rows: _class_count(rows, buckets), CLASSES)
         .groupBy("bucket").applyInPandas(lambda rows: _index(rows, law), "entry bigint, key bigint, n bigint"))
 
-    fits = F.expr(f"{law.den} * least(n, m) >= {law.num} * greatest(n, m)")
-    pivots = (index.groupBy("entry").agg(F.min("key").alias("p"), F.max("key").alias("q")).where("p < q").select("entry", "p"))
-    size = sets.select(F.col("key").alias("p"), F.col("n").alias("m"))
-    tried = scratch.save(index.join(pivots, "entry").where("key <> p").select("key", "n", "p").distinct()
-                         .join(size, "p").where(fits).select(F.col("key").alias("a"), F.col("p").alias("b")))
-    links = scratch.save(verified(tried, sets, law))
-    parts = scratch.save(components(links, scratch))
-
-    # Entries that still hold several components: all pairs between these, once.
-    member = index.join(parts.withColumnRenamed("node", "key"), "key", "left").select(
-        "entry", "key", "n", F.coalesce("component", "key").alias("c"))
-    open_ = member.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry")
-    member = scratch.save(member.join(open_, "entry"))
-    kinds = member.select("entry", "c").distinct()
-    cross = (kinds.join(kinds.select("entry", F.col("c").alias("d")), "entry").where("c < d")
-             .join(member, ["entry", "c"])
-             .join(member.select("entry", F.col("c").alias("d"), F.col("key").alias("other"), F.col("n").alias("m")), ["entry", "d"])
-             .where(fits).select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct())
-    rest = cross.join(tried, ["a", "b"], "left_anti")
-    more = verified(rest, sets, law)
-    return components(parts.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), scratch)
+    return linked_components(index, lambda pairs: verified(pairs, sets, law), scratch,
+                             f"{law.den} * least(n, n_2) >= {law.num} * greatest(n, n_2)")
 
 
 def similar_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,

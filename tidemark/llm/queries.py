@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.bpe import op9_byte_bpe
 from tidemark.llm.fingerprint import op8_one_permutation
 from tidemark.llm.lattice import op10_lattice_near_dedup
+from tidemark.llm.lines import op6_fuzzy_lines
 from tidemark.llm.lm import op2_backoff_automaton
 from tidemark.llm.mixing import op4_temperature_mixing
 from tidemark.llm.ngram_join import op3_combination_prefixes
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_combination_prefixes": op3_combination_prefixes,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_ownership_secrets": op5_ownership_secrets,
+    "op6_fuzzy_lines": op6_fuzzy_lines,
     "op7_sampled_shards": op7_sampled_shards,
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
