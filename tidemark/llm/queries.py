@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.bpe import op9_byte_bpe
 from tidemark.llm.fingerprint import op8_one_permutation
+from tidemark.llm.langid import language_pages, op1_language_id
 from tidemark.llm.lattice import op10_lattice_near_dedup
 from tidemark.llm.lines import op6_fuzzy_lines
 from tidemark.llm.lm import op2_backoff_automaton
@@ -13,6 +14,7 @@ from tidemark.llm.secrets import op5_ownership_secrets
 from tidemark.llm.sharding import op7_sampled_shards
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_backoff_automaton": op2_backoff_automaton,
     "op3_combination_prefixes": op3_combination_prefixes,
     "op4_temperature_mixing": op4_temperature_mixing,
@@ -22,6 +24,7 @@ QUERIES = {
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lattice_near_dedup": op10_lattice_near_dedup,
+    "language_pages": language_pages,
 }
 
 ORACLE: dict[str, str] = {}
