@@ -10,9 +10,12 @@ from tidemark.llm.lines import op6_fuzzy_lines
 from tidemark.llm.lm import op2_backoff_automaton
 from tidemark.llm.mixing import op4_temperature_mixing
 from tidemark.llm.ngram_join import op3_combination_prefixes
+from tidemark.llm.oracle import ORACLE
 from tidemark.llm.secrets import op5_ownership_secrets
 from tidemark.llm.sharding import op7_sampled_shards
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_backoff_automaton": op2_backoff_automaton,
@@ -26,5 +29,3 @@ QUERIES = {
     "op10_lattice_near_dedup": op10_lattice_near_dedup,
     "language_pages": language_pages,
 }
-
-ORACLE: dict[str, str] = {}
