@@ -267,7 +267,7 @@ def decode_documents(df: DataFrame, ids: str = "ids", out: str = "decoded",
     @F.pandas_udf(T.BinaryType())
     def data(lists):
         decode = encoder(vocabulary).decode
-        return lists.map(lambda x: decode(x.tolist()) if x is not None else b"")
+        return lists.map(lambda x: decode(list(x)) if x is not None else b"")
 
     return df.withColumn(out, data(col(ids)))
 
