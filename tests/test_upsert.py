@@ -112,7 +112,9 @@ def test_compaction_skips_uncommitted_batches(spark, scratch):
     fs_delete(spark, f"{t.root}/changelog/epoch={e}/batch_id=1/_SUCCESS")   # still being written
     t.compact()
     assert t.pointer()["folded"] == [e, 0]
-    assert _rows(t) == [("a", 1), ("b", 1), ("c", 1)]   # batches 1 and 2 stay readable in the tail
+    assert _rows(t) == [("a", 1), ("c", 1)]   # batch 1 is not there until it is committed
+    t.write_batch(_df(spark, [("b", 1, 0)]), e, 1)
+    assert _rows(t) == [("a", 1), ("b", 1), ("c", 1)]
 
 
 def test_expire_by_age_keeps_recent_and_current(spark, scratch):

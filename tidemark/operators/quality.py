@@ -139,11 +139,20 @@ def invariants(enriched: DataFrame, high_value: DataFrame, suspicious: DataFrame
     return row.select(F.inline(checks)).withColumn("passed", F.col("violations") == 0)
 
 
-def mask_pii(df: DataFrame, hash_cols=("customer_id",), name_cols=("customer_name",)) -> DataFrame:
-    """Q12: ids -> SHA-256 hex (joinable, not reversible); names -> first letter + '***'."""
+def mask_pii(df: DataFrame, hash_cols=("customer_id",), name_cols=("customer_name",),
+             key: str | None = None) -> DataFrame:
+    """Q12: ids -> SHA-256 hex of key and id; names -> first letter + '***'.
+
+    Masked ids can be joined among tables masked with the same key. Ids are few and regular, so
+    only a secret ``key`` keeps them from being found by listing; without one the hash is a
+    stable pseudonym and no protection. The key is hashed around the id twice, as an HMAC is."""
     out = df
     for c in hash_cols:
-        out = out.withColumn(c, F.sha2(F.col(c), 256))
+        if key is None:
+            out = out.withColumn(c, F.sha2(F.col(c), 256))
+        else:
+            inner = F.sha2(F.concat(F.lit(f"{key}:inner:"), F.col(c)), 256)
+            out = out.withColumn(c, F.sha2(F.concat(F.lit(f"{key}:outer:"), inner), 256))
     for c in name_cols:
         out = out.withColumn(c, F.when(F.col(c).isNotNull(),
                                        F.concat(F.substring(c, 1, 1), F.lit("***"))))

@@ -57,9 +57,10 @@ def prelude() -> str:
 WITH ev AS (SELECT * FROM events),
 orders_raw AS (
   SELECT strftime(date_trunc('milliseconds', ts), '%Y%m%d') AS event_day,
-         'ORD-' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS order_id,
-         'CUS-' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS customer_id,
-         'SKU-' || lpad(CAST(event_id // {td.ORDERS_PER_PRODUCT} AS VARCHAR), 6, '0') AS product_id,
+         printf('ORD-%010d', event_id) AS order_id,
+         CASE WHEN event_id % {td.CUSTOMER_MISS} = 0 THEN printf('CUS-X%08d', user_id) ELSE printf('CUS-%08d', user_id) END AS customer_id,
+         CASE WHEN event_id % {td.PRODUCT_MISS} = 0 THEN printf('SKU-X%06d', event_id // {td.ORDERS_PER_PRODUCT})
+              ELSE printf('SKU-%06d', event_id // {td.ORDERS_PER_PRODUCT}) END AS product_id,
          CAST(CAST(CAST(round(value * 100) AS BIGINT) AS DECIMAL(10,0)) * {td.AMOUNT_FACTOR} AS DECIMAL(10,2)) AS order_amount,
          CAST(1 + event_id % 3 AS INTEGER) AS quantity,
          {slot_pick_sql('event_id % 12', r.PAYMENT_STATUS)} AS payment_status,
@@ -70,18 +71,18 @@ orders_raw AS (
          date_trunc('milliseconds', ts) AS event_time
   FROM ev),
 product_catalog AS (
-  SELECT 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS product_id, p_name AS product_name,
+  SELECT printf('SKU-%06d', p_partkey) AS product_id, p_name AS product_name,
          p_type AS category, p_brand AS brand, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
          CAST(p_size * 10 AS INTEGER) AS inventory_count,
          TIMESTAMP '{r.PRODUCT_UPDATED_AT}' AS updated_at
-  FROM part WHERE p_partkey % {td.PRODUCT_GAP} <> 0),
+  FROM part),
 customer_profile AS (
-  SELECT 'CUS-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS customer_id, c_name AS customer_name,
+  SELECT printf('CUS-%08d', c_custkey) AS customer_id, c_name AS customer_name,
          {slot_pick_sql('c_custkey % 20', r.ORDER_CITY)} AS city,
          {_tier_sql('c_custkey')} AS loyalty_tier,
          CAST(DATE '{td.SIGNUP_BASE}' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS signup_date,
          CAST(DATE '{td.SIGNUP_BASE}' + CAST(c_custkey % 365 AS INTEGER) AS TIMESTAMP) + INTERVAL '10 hours 30 minutes' AS updated_at
-  FROM customer WHERE c_custkey % {td.CUSTOMER_GAP} <> 0),
+  FROM customer),
 orders_enriched AS (
   SELECT o.event_day, o.order_id, o.customer_id, c.customer_name, c.loyalty_tier, o.product_id,
          p.product_name, p.brand, p.category, o.city, o.order_amount, o.quantity, o.payment_status,

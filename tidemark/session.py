@@ -17,8 +17,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Days that retention removed must not fail readers (explicit schemas are always given).
-    "spark.sql.files.ignoreMissingFiles": "true",
     # Streaming state: RocksDB (state larger than memory) with changelog checkpointing, so a
     # commit writes a small changelog instead of uploading state snapshots every batch.
     # Both are captured by a stateful query when it first starts.
@@ -57,16 +55,21 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Lineage cuts, stream checkpoints and scratch tables live below it so that any executor
-    (and a restarted driver) can reach them. Only when the setting is missing — local tests —
-    is a private folder chosen and registered.
+    (and a restarted driver) can reach them. Only on a local master without the setting, as in
+    tests, is a private folder chosen; elsewhere a missing setting is an error, because a folder
+    of the driver's machine is out of the executors' reach.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -1,8 +1,9 @@
 """Name resolution — a database in the session catalog and one view per table.
 
 Log tables are views over their parquet directory (explicit schema); upsert tables are views
-over their merge-on-read current state, so ``spark.sql("SELECT ... FROM orders_enriched")``
-sees the same rows as ``UpsertTable.read_current()``.
+over their merge-on-read state as of the registration: a temp view holds a resolved plan. Call
+``register_tables`` again to see later writes, and before reading after compaction with expiry;
+a view over files that are gone fails, it does not come out empty.
 """
 
 from __future__ import annotations

@@ -45,13 +45,14 @@ def append_log(df: DataFrame, path: str, partition: str = "event_day",
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType = schemas.ORDERS_RAW,
              streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Batch or streaming read with an explicit schema (partition column included)."""
+    """Batch or streaming read with an explicit schema (partition column included). Days that
+    retention removes while a read runs do not fail it; no other reader tolerates lost files."""
     if streaming:
-        reader = spark.readStream.schema(schema)
+        reader = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         return reader.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
 
 
 def start_log_writer(stream: DataFrame, path: str, checkpoint: str, partition: str = "event_day",

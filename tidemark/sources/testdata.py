@@ -3,7 +3,8 @@
 The driver ships TPC-H-like tables plus an ``events`` stream; this module maps them, with
 plain column expressions, onto generator rows, ``product_catalog`` and ``customer_profile``.
 The mapping is deterministic, so the DuckDB oracle (plans.oracle) repeats it in SQL.
-Gaps in the dimensions (every 97th part, every 53rd customer) produce lookup misses.
+The dimensions are read whole; lookup misses come from orders that refer to an id which no
+dimension has (every 97th event's product, every 53rd event's customer).
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from tidemark.operators.ingest import to_orders_raw
 # Adapter parameters (ours, not the reference's).
 ORDERS_PER_PRODUCT = 5     # the driver's tables hold 5 events per part: event_id div 5 spans
                            # every part key at every scale, so orders cover the whole catalog
-PRODUCT_GAP = 97           # parts with p_partkey % 97 = 0 are missing from the catalog
-CUSTOMER_GAP = 53          # customers with c_custkey % 53 = 0 are missing from the profile
+PRODUCT_MISS = 97          # events with event_id % 97 = 0 refer to an unknown product
+CUSTOMER_MISS = 53         # events with event_id % 53 = 0 refer to an unknown customer
 AMOUNT_FACTOR = Decimal("2.5")
 SIGNUP_BASE = "2023-01-01"
 
@@ -30,12 +31,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def padded(prefix: str, num, width: int) -> F.Column:
+    """Zero-padded to ``width`` digits; longer numbers keep all of theirs."""
+    return F.when(num.isNotNull(), F.format_string(f"{prefix}%0{width}d", num.cast("bigint")))
+
+
 def product_key(num) -> F.Column:
-    return F.concat(F.lit("SKU-"), F.lpad(num.cast("string"), 6, "0"))
+    return padded("SKU-", num, 6)
 
 
 def customer_key(num) -> F.Column:
-    return F.concat(F.lit("CUS-"), F.lpad(num.cast("string"), 8, "0"))
+    return padded("CUS-", num, 8)
 
 
 def events_as_orders(events: DataFrame) -> DataFrame:
@@ -44,9 +50,11 @@ def events_as_orders(events: DataFrame) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("bigint")
     amount = (cents.cast("decimal(10,0)") * F.lit(AMOUNT_FACTOR)).cast("decimal(10,2)")
     return events.select(
-        F.concat(F.lit("ORD-"), F.lpad(eid.cast("string"), 10, "0")).alias("order_id"),
-        customer_key(F.col("user_id")).alias("customer_id"),
-        product_key(F.expr(f"event_id div {ORDERS_PER_PRODUCT}")).alias("product_id"),
+        padded("ORD-", eid, 10).alias("order_id"),
+        F.when(eid % CUSTOMER_MISS == 0, padded("CUS-X", F.col("user_id"), 8))
+        .otherwise(customer_key(F.col("user_id"))).alias("customer_id"),
+        F.when(eid % PRODUCT_MISS == 0, padded("SKU-X", F.expr(f"event_id div {ORDERS_PER_PRODUCT}"), 6))
+        .otherwise(product_key(F.expr(f"event_id div {ORDERS_PER_PRODUCT}"))).alias("product_id"),
         amount.cast("string").alias("order_amount_str"),
         (F.lit(1) + eid % 3).cast("int").alias("quantity"),
         slot_pick(eid % 12, rules.PAYMENT_STATUS).alias("payment_status"),
@@ -63,7 +71,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
-    return (part.where(F.col("p_partkey") % PRODUCT_GAP != 0)
+    return (part
             .select(product_key(F.col("p_partkey")).alias("product_id"),
                     F.col("p_name").alias("product_name"),
                     F.col("p_type").alias("category"),
@@ -77,7 +85,7 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     signup = F.date_add(F.lit(SIGNUP_BASE).cast("date"), (key % 365).cast("int"))
-    return (cust.where(key % CUSTOMER_GAP != 0)
+    return (cust
             .select(customer_key(key).alias("customer_id"),
                     F.col("c_name").alias("customer_name"),
                     slot_pick(key % 20, rules.ORDER_CITY).alias("city"),

@@ -4,19 +4,22 @@ Layout under ``root``::
 
     snapshot/v=K/...                      folded base (one row per key)
     changelog/epoch=E/batch_id=N/...      one directory per written batch
-    _pointer.json                         {"version": K, "folded": [E, N]}  (written last)
-
-* write: one row per key within the batch (newest by ``order_by``; a hash of the row breaks
-  ties, since arrival order inside a micro-batch is undefined), then overwrite that batch's
-  directory — a replayed batch id rewrites the same files (idempotent sink).
-* read: snapshot rows ∪ changelog rows after the pointer, then per key the row with the
-  greatest (order_by..., epoch, batch_id, row hash): ``groupBy(keys).agg(max_by(struct, seq))``. This is
+    _pointer.N.json                       {"version": K, "folded": [E, N]}  (highest N counts)
+
+* write: the batch's rows go to its directory; a batch that is already committed (``_SUCCESS``)
+  is not written again, so a replay changes nothing and readers never lose it.
+* read: snapshot rows ∪ rows of committed changelog batches after the pointer, then per key the
+  row with the greatest (order_by..., epoch, batch_id, time within the batch, row hash):
+  ``groupBy(keys).agg(max_by(struct, seq))``. The time within a batch is ``updated_at`` or else
+  ``event_time``, where the table has one, so the newest of several versions in one batch wins;
+  the hash breaks the ties that are left. This is
   one aggregate with partial aggregation, so a hot key is reduced map-side before the shuffle.
   Group-by treats NULL keys as equal (one row for a NULL key).
 * compact: fold the view into ``snapshot/v=K+1``, then move the pointer. Only the contiguous
   run of committed batches (``_SUCCESS``) is folded, so a batch being written concurrently is
-  never cut in half. Old directories are only deleted by ``expire`` afterwards, so open
-  readers never lose files.
+  never cut in half. Old directories are only deleted by ``expire``, which a caller runs when
+  no reader of them is open, or with an age.
+* replace: rows that meet a condition are exchanged for others, as a new snapshot version.
 
 Epochs: a new one is taken for each seed/batch load and for every start of a streaming query
 (so a restarted stream's writes order after a rebuild done while it was stopped). One writer
@@ -50,7 +53,8 @@ def fs_exists(spark: SparkSession, path: str) -> bool:
 
 
 def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file atomically: write a temp file, then rename over the target."""
+    """Write a small file by way of a temp file. An old file of this name is replaced, which is
+    not atomic; what must survive a crash goes into a new file (``fs_add_version``)."""
     jvm = spark.sparkContext._jvm
     fs, p = _hadoop_fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
@@ -62,6 +66,26 @@ def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def _versions(spark: SparkSession, folder: str, stem: str) -> list[int]:
+    found = [n[len(stem) + 1:-5] for n in fs_list(spark, folder)
+             if n.startswith(f"{stem}.") and n.endswith(".json")]
+    return sorted(int(n) for n in found if n.isdigit())
+
+
+def fs_add_version(spark: SparkSession, folder: str, stem: str, text: str) -> None:
+    """Write ``folder/stem.N.json`` with the next N. Older versions stay until the new one is in
+    place (the two before it are kept), so a crash at any point leaves the last whole one."""
+    known = _versions(spark, folder, stem)
+    fs_write_text(spark, f"{folder}/{stem}.{(known[-1] if known else -1) + 1}.json", text)
+    for n in known[:-2]:
+        fs_delete(spark, f"{folder}/{stem}.{n}.json")
+
+
+def fs_read_version(spark: SparkSession, folder: str, stem: str) -> str | None:
+    known = _versions(spark, folder, stem)
+    return fs_read_text(spark, f"{folder}/{stem}.{known[-1]}.json") if known else None
+
+
 def fs_read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _hadoop_fs(spark, path)
     if not fs.exists(p):
@@ -90,6 +114,12 @@ def fs_mtime_ms(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(p).getModificationTime())
 
 
+def fs_rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, p = _hadoop_fs(spark, old)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def fs_delete(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop_fs(spark, path)
     if fs.exists(p):
@@ -126,15 +156,17 @@ class UpsertTable:
 
     # -- metadata ------------------------------------------------------------------------
     @property
-    def pointer_path(self) -> str:
-        return f"{self.root}/_pointer.json"
+    def within_batch(self) -> list[str]:
+        """What tells the newest of several versions of a key in one batch."""
+        names = self.schema.fieldNames()
+        return [c for c in ("updated_at", "event_time") if c in names and c not in self.order_by][:1]
 
     def pointer(self) -> dict:
-        text = fs_read_text(self.spark, self.pointer_path)
+        text = fs_read_version(self.spark, self.root, "_pointer")
         return json.loads(text) if text else {"version": -1, "folded": [-1, -1], "epochs": -1}
 
     def _save_pointer(self, ptr: dict) -> None:
-        fs_write_text(self.spark, self.pointer_path, json.dumps(ptr))
+        fs_add_version(self.spark, self.root, "_pointer", json.dumps(ptr))
 
     def new_epoch(self) -> int:
         """Reserve the next epoch number (recorded in the pointer)."""
@@ -148,13 +180,15 @@ class UpsertTable:
 
     # -- write ---------------------------------------------------------------------------
     def write_batch(self, df: DataFrame, epoch: int, batch_id: int) -> None:
-        """Idempotent: the directory of (epoch, batch_id) is replaced as a whole.
+        """Idempotent: a batch that is committed is left as it is; leftovers of one that is not
+        are replaced as a whole.
 
         A narrow job (projection + write): rows are not folded here. Several rows for one key
-        inside a batch are resolved when read — newest by the table's order columns, then by a
-        hash of the row — so the result is deterministic and a replay writes the same files.
+        inside a batch are resolved when read (see ``within_batch``).
         """
         path = f"{self.root}/changelog/epoch={epoch}/batch_id={batch_id}"
+        if fs_exists(self.spark, f"{path}/_SUCCESS"):
+            return
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         # write time of each changelog row (for window completion delay, O3)
         w = rows.withColumn(WRITTEN_AT, F.current_timestamp()).write.mode("overwrite")
@@ -188,28 +222,27 @@ class UpsertTable:
         """All changelog rows with epoch, batch_id and write time (audit, O3)."""
         return self._changelog()
 
-    def _batches(self, committed: bool = False) -> list[tuple[int, int]]:
-        """(epoch, batch_id) of every changelog directory (file listing, no job).
-        committed=True: also report whether the write job committed (``_SUCCESS`` marker)."""
+    def _batches(self, after: tuple = (-1, -1)) -> list[tuple[tuple[int, int], bool]]:
+        """((epoch, batch_id), committed) of every changelog directory behind ``after`` (file
+        listing, no job). Committed: the write job left its ``_SUCCESS`` marker."""
         out = []
         for e in fs_list(self.spark, f"{self.root}/changelog"):
-            if e.startswith("epoch="):
+            if e.startswith("epoch=") and int(e.split("=")[1]) >= after[0]:
                 for b in fs_list(self.spark, f"{self.root}/changelog/{e}"):
                     if b.startswith("batch_id="):
                         eb = (int(e.split("=")[1]), int(b.split("=")[1]))
-                        if committed:
-                            done = fs_exists(self.spark, f"{self.root}/changelog/{e}/{b}/_SUCCESS")
-                            out.append((eb, done))
-                        else:
-                            out.append(eb)
+                        if eb > after:
+                            out.append((eb, fs_exists(self.spark, f"{self.root}/changelog/{e}/{b}/_SUCCESS")))
         return sorted(out)
 
-    def _tail(self, after: tuple, upto: tuple | None = None) -> DataFrame:
+    def _tail(self, after: tuple, upto: tuple | None, uncommitted: list[tuple[int, int]]) -> DataFrame:
         fe, fb = after
         cond = (F.col("epoch") > fe) | ((F.col("epoch") == fe) & (F.col("batch_id") > fb))
         if upto is not None:
             ue, ub = upto
             cond = cond & ((F.col("epoch") < ue) | ((F.col("epoch") == ue) & (F.col("batch_id") <= ub)))
+        for e, b in uncommitted:   # batches being written: a few at most
+            cond = cond & ~((F.col("epoch") == e) & (F.col("batch_id") == b))
         return self._changelog().drop(WRITTEN_AT).where(cond)   # partition filters: pruned
 
     def _merge(self, ptr: dict, upto: tuple | None = None) -> DataFrame:
@@ -222,16 +255,17 @@ class UpsertTable:
         from tidemark.operators.enrich import bounded_broadcast
         cols = [f.name for f in self.schema.fields]
         after = tuple(ptr["folded"])
-        pending = [b for b in self._batches() if b > after and (upto is None or b <= upto)]
+        batches = self._batches(after)
+        pending = [b for b, done in batches if done and (upto is None or b <= upto)]
         snap = self._snapshot(ptr["version"])
-        order = [*self.order_by, "epoch", "batch_id"]
+        order = [*self.order_by, "epoch", "batch_id", *self.within_batch]
         if not pending:
             if snap is not None:
                 return snap.select(*cols)
             return self.spark.createDataFrame([], self.schema)
         row_hash = F.xxhash64(*[F.col(c) for c in cols])
-        order = [*order, "_tie"]      # same-batch duplicates: the larger row hash wins
-        tail = self._tail(after, upto).withColumn("_tie", row_hash)
+        order = [*order, "_tie"]      # equally new versions: the larger row hash wins
+        tail = self._tail(after, upto, [b for b, done in batches if not done]).withColumn("_tie", row_hash)
         if snap is None:
             return latest_per_key(tail, self.keys, order).select(*cols)
         keys = bounded_broadcast(tail.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct())
@@ -246,15 +280,24 @@ class UpsertTable:
         folded = latest_per_key(base.unionByName(tail), self.keys, order).select(*cols)
         return untouched.select(*cols).unionByName(folded)
 
+    def written(self) -> DataFrame:
+        """All stored rows, unfolded: snapshot (epoch and batch -1) and committed changelog rows."""
+        ptr = self.pointer()
+        after = tuple(ptr["folded"])
+        rows = self._tail(after, None, [b for b, done in self._batches(after) if not done])
+        snap = self._snapshot(ptr["version"])
+        if snap is None:
+            return rows
+        return rows.unionByName(snap.withColumn("epoch", F.lit(-1).cast("long")).withColumn("batch_id", F.lit(-1).cast("long")))
+
     def read_current(self) -> DataFrame:
         """The table as of now: newest row per key."""
         return self._merge(self.pointer())
 
     def signature(self) -> tuple:
-        """Cheap change detector (file listing only, no job): pointer + changelog batches."""
-        batches = tuple(sorted(f"{e}/{b}" for e in fs_list(self.spark, f"{self.root}/changelog")
-                               for b in fs_list(self.spark, f"{self.root}/changelog/{e}")))
-        return (fs_read_text(self.spark, self.pointer_path), batches)
+        """Cheap change detector (file listing only, no job): pointer + committed batches."""
+        ptr = self.pointer()
+        return (json.dumps(ptr), tuple(b for b, done in self._batches(tuple(ptr["folded"])) if done))
 
     def lookup(self, **key) -> DataFrame:
         """Key filter applied to the merged view (pushed below the fold for key columns)."""
@@ -281,9 +324,7 @@ class UpsertTable:
         # fold only the contiguous run of committed batches: a batch still being written (or
         # anything after it) stays in the tail, so a concurrent writer never loses rows
         upto = tuple(ptr["folded"])
-        for eb, done in self._batches(committed=True):
-            if eb <= upto:
-                continue
+        for eb, done in self._batches(upto):
             if not done:
                 break
             upto = eb
@@ -297,15 +338,39 @@ class UpsertTable:
         if self.partition:
             w = w.partitionBy(self.partition)
         w.parquet(f"{self.root}/snapshot/v={version}")
-        ptr.update(version=version, folded=list(upto))
-        self._save_pointer(ptr)
+        now = self.pointer()   # an epoch may have been reserved meanwhile
+        now.update(version=version, folded=list(upto))
+        self._save_pointer(now)
+        return version
+
+    def replace(self, outdated, rows: DataFrame | None = None) -> int:
+        """Rows of the current view that meet the condition ``outdated`` go, ``rows`` come, as a
+        new snapshot version; with an upsert nothing could be taken away. Run it while the
+        table's writers are stopped."""
+        ptr = self.pointer()
+        batches = self._batches(tuple(ptr["folded"]))
+        upto = max([tuple(ptr["folded"]), *[b for b, done in batches if done]])
+        kept = self._merge(ptr).where(~F.coalesce(outdated, F.lit(False)))
+        if rows is not None:
+            rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+            tied = rows.withColumn("_tie", F.xxhash64(*rows.columns))
+            order = [*self.order_by, *self.within_batch, "_tie"]
+            kept = kept.unionByName(latest_per_key(tied, self.keys, order).select(*rows.columns))
+        version = ptr["version"] + 1
+        w = kept.write.mode("overwrite")
+        if self.partition:
+            w = w.partitionBy(self.partition)
+        w.parquet(f"{self.root}/snapshot/v={version}")
+        now = self.pointer()
+        now.update(version=version, folded=list(upto))
+        self._save_pointer(now)
         return version
 
     def expire(self, keep_versions: int = 1, older_than_days: float | None = None) -> None:
         """Delete snapshot versions older than the newest ``keep_versions`` (and, when
         ``older_than_days`` is given, only those last modified that long ago — e.g. 90), plus
-        the changelog batches already folded into the current snapshot. The current snapshot
-        is never removed."""
+        the changelog batches already folded into the current snapshot, under the same age. The
+        current snapshot is never removed."""
         import time
         ptr = self.pointer()
         cutoff_ms = None if older_than_days is None else (time.time() - older_than_days * 86400) * 1000
@@ -321,5 +386,7 @@ class UpsertTable:
                 continue
             ep = int(e.split("=")[1])
             for b in fs_list(self.spark, f"{self.root}/changelog/{e}"):
-                if b.startswith("batch_id=") and (ep < fe or (ep == fe and int(b.split("=")[1]) <= fb)):
+                path = f"{self.root}/changelog/{e}/{b}"
+                if (b.startswith("batch_id=") and (ep < fe or (ep == fe and int(b.split("=")[1]) <= fb))
+                        and (cutoff_ms is None or fs_mtime_ms(self.spark, path) <= cutoff_ms)):
                     fs_delete(self.spark, f"{self.root}/changelog/{e}/{b}")

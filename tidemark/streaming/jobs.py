@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import rules
-from tidemark.operators import alerts, enrich, quality, windows
+from tidemark.operators import alerts, dedup, enrich, quality, windows
 from tidemark.operators.ingest import to_orders_raw
 from tidemark.sources.log import read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
@@ -146,8 +146,9 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     """X5/X6 (+Q7 when ``validate_now``): one query over orders_raw; per micro-batch the batch
     is enriched once and written to orders_enriched, high_value_orders, suspicious_orders.
 
-    dedup_within (X11), e.g. "1 hour": a re-delivered order_id arriving within that event-time
-    horizon of its first copy is dropped (state bounded by the horizon)."""
+    dedup_within (X11), e.g. "1 hour": an order_id whose earlier copy lies within that event-time
+    horizon is dropped. Copies are looked up in the days of orders_enriched that the horizon
+    reaches, so an order that merely comes late is kept (no watermark drops it)."""
     ckpt = layout.checkpoint("enrich_alert")
     names = ["orders_enriched", "high_value_orders", "suspicious_orders"]
     tables = {n: layout.table(n) for n in names}
@@ -157,6 +158,11 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     products = DimensionCache(layout.table("product_catalog"), ["product_id", *enrich.PRODUCT_COLS])
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        if dedup_within:
+            own = epochs_of(tables["orders_enriched"], ckpt)
+            seen = tables["orders_enriched"].written().where(
+                ~((F.col("batch_id") == batch_id) & F.col("epoch").isin(own)))   # this batch, if it is run again
+            batch = dedup.first_copies(batch, seen, "order_id", dedup_within)
         if validate_now:   # the batch feeds two outputs: read it once
             batch = batch.persist()
             tagged = quality.tag_errors(batch, F.current_timestamp().cast("timestamp_ntz")).persist()
@@ -185,9 +191,6 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
             batch.unpersist()
 
     src = raw_stream(layout, max_files_per_trigger, watermark=None)
-    if dedup_within:
-        from tidemark.operators.dedup import dedup_orders
-        src = dedup_orders(src, ["order_id"], within=dedup_within)
     return _start(src, process, ckpt, trigger, name="enrich_alert")
 
 
@@ -263,13 +266,14 @@ def start_all(layout: Layout, generator_rows: DataFrame | None = None,
 
 
 def rebuild(layout: Layout, start, end, on_miss: str = "null",
-            windows_too: bool = True) -> dict:
+            windows_too: bool = True, width: str = "5 minutes") -> dict:
     """Recompute the derived tables for event times in [start, end) from the raw log
-    with the dimensions as they are now, and upsert them in a fresh epoch.
+    with the dimensions as they are now. The range's old rows are replaced: alerts, windows and
+    orders that no longer come out of the log are gone. For the windowed tables the range is
+    widened to whole windows. Lookup misses go to error_events with on_miss="dlq".
 
-    Run it while the streaming writers are stopped (one writer per table); streams restarted
-    afterwards take a newer epoch, so their later writes still win. Windows are recomputed
-    only when whole: the range should be aligned to the window width.
+    Returns each table's snapshot version. Run it while the streaming writers are stopped (one
+    writer per table); streams restarted afterwards take a newer epoch, so their writes win.
     """
     from tidemark.operators.analytics import between_times
     spark = layout.spark
@@ -277,19 +281,30 @@ def rebuild(layout: Layout, start, end, on_miss: str = "null",
     customers = layout.table("customer_profile").read_current()
     products = layout.table("product_catalog").read_current()
     enriched = enrich.enrich(raw, customers, products, on_miss=on_miss).persist()
+    cached = enriched
     if on_miss == "dlq":
-        enriched, _ = quality.split_misses(enriched, F.current_timestamp())
+        enriched, misses = quality.split_misses(cached, F.current_timestamp())
+        epoch = layout.table("orders_enriched").new_epoch()
+        misses.write.mode("overwrite").parquet(f"{layout.errors_path}/epoch={epoch}/batch_id=0/kind=lookup")
+    bounds = [F.lit(str(x)).cast("timestamp") for x in (start, end)]
+    within = (F.col("event_time") >= bounds[0]) & (F.col("event_time") < bounds[1])
     written = {}
     for name, rows in [("orders_enriched", enriched),
                        ("high_value_orders", alerts.high_value(enriched)),
                        ("suspicious_orders", alerts.suspicious(enriched))]:
-        written[name] = layout.table(name).upsert(rows)
+        written[name] = layout.table(name).replace(within, rows)
     if windows_too:
-        written["revenue_5min"] = layout.table("revenue_5min").upsert(
-            windows.revenue_by_window(raw, products))
-        written["city_revenue_5min"] = layout.table("city_revenue_5min").upsert(
-            windows.city_revenue_by_window(raw))
-    enriched.unpersist()
+        whole = spark.range(1).select(bounds[0].alias("a"), (bounds[1] - F.expr("INTERVAL 1 MICROSECOND")).alias("b"))
+        low = whole.groupBy(F.window("a", width)).count().select(F.col("window.start").cast("string")).first()[0]
+        high = whole.groupBy(F.window("b", width)).count().select(F.col("window.end").cast("string")).first()[0]
+        raw = between_times(read_log(spark, layout.raw_path), low, high)
+        covered = ((F.col("window_start") >= F.lit(low).cast("timestamp"))
+                   & (F.col("window_start") < F.lit(high).cast("timestamp")))
+        written["revenue_5min"] = layout.table("revenue_5min").replace(
+            covered, windows.revenue_by_window(raw, products, width))
+        written["city_revenue_5min"] = layout.table("city_revenue_5min").replace(
+            covered, windows.city_revenue_by_window(raw, width))
+    cached.unpersist()
     return written
 
 
