@@ -173,3 +173,27 @@ def test_union_keeps_rows_without_a_day_and_months_are_ranges(spark):
 def test_missing_files_fail_a_read_and_checkpoints_are_registered(spark):
     assert spark.conf.get("spark.sql.files.ignoreMissingFiles", "false") == "false"
     assert shared_root(spark) and spark.sparkContext.getCheckpointDir()
+
+
+@pytest.mark.parametrize("hot", ["C1", None])
+def test_a_hot_key_is_split_in_the_shuffled_lookup(spark, hot):
+    from tidemark.operators import enrich
+    names = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    try:
+        customers = spark.range(2000).select(F.concat(F.lit("C"), F.col("id")).alias("customer_id"), F.lit("n").alias("customer_name"),
+                                             F.lit("GOLD").alias("loyalty_tier"), F.lit("2024-01-01").cast("timestamp_ntz").alias("updated_at"))
+        key = F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.concat(F.lit("C"), F.col("id") % 2000))
+        facts = spark.range(0, 60000, 1, 8).select(key.alias("customer_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        out = enrich.lookup(facts, customers, "customer_id", ["customer_name"], small=False)
+        assert out.count() == 60000 and out.where("customer_name is null").count() == (0 if hot else 30000)
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.groupBy(F.spark_partition_id()).count()
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString() and rows.count() > 1
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)

@@ -5,7 +5,9 @@ dimension is read once (per query, or per micro-batch in streaming) and joined:
 
 * broadcast hash join when the dimension is provably small — ``bounded_broadcast`` counts its
   rows (a distributed count) before hinting;
-* otherwise a shuffled join; AQE re-plans at runtime and splits skewed order partitions.
+* otherwise a shuffled join with the reduced dimension written out first. Then nothing but the
+  exchanges stands below the join, and AQE splits the orders of a hot or NULL key; a grouping
+  between exchange and join would keep it from doing so.
 """
 
 from __future__ import annotations
@@ -53,8 +55,7 @@ def one_per_key(dim: DataFrame, key: str, columns: list[str],
     (``order_col``, then a row hash for ties).
 
     Besides guaranteeing that a lookup never multiplies facts, the grouping tells Catalyst the
-    key is unique: a LEFT JOIN whose dimension columns are never used is removed from the plan,
-    and a shuffled join reuses the grouping's hash partitioning on the key.
+    key is unique: a LEFT JOIN whose dimension columns are never used is removed from the plan.
     """
     from tidemark.sources.upsert import latest_per_key
     cols = [key, *columns]
@@ -63,11 +64,23 @@ def one_per_key(dim: DataFrame, key: str, columns: list[str],
     return latest_per_key(side, [key], [*order, "_tie"]).select(*cols)
 
 
+def written(dim: DataFrame) -> DataFrame:
+    """A reduced dimension as a table below the shared folder, for shuffled joins."""
+    from tidemark.session import scratch_dir
+    path = scratch_dir(dim.sparkSession, "dimension")
+    dim.write.parquet(path)
+    return dim.sparkSession.read.schema(dim.schema).parquet(path)
+
+
 def lookup(facts: DataFrame, dim: DataFrame, key: str, columns: list[str],
            small: bool | None = None, unique: bool = False) -> DataFrame:
     """LEFT JOIN facts to the latest dimension version on ``key`` (one dim row per key).
     ``unique=True``: the caller already holds one row per key (e.g. a cached folded view)."""
     side = dim.select(key, *columns) if unique else one_per_key(dim, key, columns)
+    if small is None:
+        small = fits_broadcast(side)
+    if not small and not unique:
+        side = written(side)
     return facts.join(bounded_broadcast(side, small), on=key, how="left")
 
 

@@ -76,6 +76,9 @@ class DimensionCache:
             view = enrich.one_per_key(self.table.read_current(), key, cols)
             self._df = view.select(*self.columns, tag).drop("_snapshot").persist()
             self._small = enrich.fits_broadcast(self._df)
+            if not self._small:   # a table, so that AQE can split the orders of a hot key
+                cached, self._df = self._df, enrich.written(self._df)
+                cached.unpersist()
             self._sig = sig
         return self._df, self._small
 
