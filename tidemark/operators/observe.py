@@ -35,6 +35,12 @@ def lag_seconds(tables: dict[str, DataFrame], now, col: str = "event_time") -> D
         for name, df in tables.items()])
 
 
+def lag_of(newest: DataFrame, now) -> DataFrame:
+    """O1 from rows (table_name, newest)."""
+    return newest.select("table_name", seconds_between(
+        F.col("newest").cast("timestamp_ntz"), _now(now)).alias("lag_seconds"))
+
+
 def freshness_seconds(tables: dict[str, DataFrame], now, col: str = "window_end") -> DataFrame:
     """O2: TIMESTAMPDIFF(SECOND, MAX(window_end), now) per aggregate table."""
     return _union([df.agg(F.max(col).alias("m")).select(

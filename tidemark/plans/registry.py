@@ -129,10 +129,8 @@ def _(t): return an.customer_history(t.enriched, 20)
 
 @register("table_counts")
 def _(t):
-    return an.table_counts({"orders_raw": t.raw, "orders_enriched": t.enriched,
-                            "high_value_orders": t.high_value,
-                            "suspicious_orders": t.suspicious,
-                            "customer_profile": t.customers, "product_catalog": t.products})
+    return an.order_tables(t.enriched).select("table_name", "row_count").unionByName(
+        an.table_counts({"customer_profile": t.customers, "product_catalog": t.products}))
 
 
 @register("category_rollup")
@@ -238,10 +236,9 @@ def _(t):
     """Dashboard tiles; a missing metric shows 0.0."""
     latest = latest_per_key(t.kpis_1min, ["metric_key"], ["updated_at"]) \
         .select("metric_key", "metric_value")
-    counts = an.table_counts({"high_value_alerts": t.high_value,
-                              "suspicious_alerts": t.suspicious}) \
-        .select(F.col("table_name").alias("metric_key"),
-                F.col("row_count").cast("double").alias("metric_value"))
+    counts = an.order_tables(t.enriched).where("table_name in ('high_value_orders', 'suspicious_orders')").select(
+        F.regexp_replace("table_name", "_orders$", "_alerts").alias("metric_key"),
+        F.col("row_count").cast("double").alias("metric_value"))
     keys = [*rules.KPI_KEYS, "high_value_alerts", "suspicious_alerts"]
     board = t.spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in keys])).alias("metric_key"))
     values = latest.unionByName(counts)
@@ -341,9 +338,7 @@ def _(t): return observe.input_rate(t.raw, "1 minute")
 
 @register("lag_seconds")
 def _(t):
-    return observe.lag_seconds({"orders_raw": t.raw, "orders_enriched": t.enriched,
-                                "high_value_orders": t.high_value,
-                                "suspicious_orders": t.suspicious}, NOW)
+    return observe.lag_of(an.order_tables(t.enriched), NOW)
 
 
 @register("freshness_seconds")
@@ -374,9 +369,7 @@ def _(t):
 
 @register("validate_run")
 def _(t):
-    counts = an.table_counts({"orders_raw": t.raw, "orders_enriched": t.enriched,
-                              "high_value_orders": t.high_value,
-                              "suspicious_orders": t.suspicious})
+    counts = an.order_tables(t.enriched).select("table_name", "row_count")
     span = t.raw.agg(observe.seconds_between(F.min("event_time"), F.max("event_time"))
                      .alias("seconds"))
     return observe.validate_run(counts, span)
