@@ -47,7 +47,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         now.select("b", F.col("b")).distinct())
 
 
-def linked_components(index: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch, fits=None) -> DataFrame:
+def linked_components(index: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: Scratch, fits: str | None = None,
+                      loosest: dict[str, str] | None = None) -> DataFrame:
     """Components of the links among the members of an index: rows (entry, key) and maybe more
     columns, to rows (node, component) for the keys that have links.
 
@@ -55,16 +56,19 @@ def linked_components(index: DataFrame, verify: Callable[[DataFrame], DataFrame]
     compared to its smallest one. Then, in entries whose members still lie in several
     components, each is compared to the members of the other components that it was not compared
     to before: no link between components is lost, and pairs inside one are not made.
-    ``fits``: a condition on the members' further columns (those of the second one have ``_2``
-    behind their names); pairs that do not meet it have no link."""
-    more = [c for c in index.columns if c not in ("entry", "key")]
-    fits = F.lit(True) if fits is None else F.expr(fits)
+
+    ``fits``: a condition that linked members meet, on their further columns (those of the second
+    one have ``_2`` behind their names). ``loosest`` names for each of these columns the end,
+    "min" or "max", at which the condition is most easily met; components of an entry that do not
+    meet it with these ends are not taken up."""
+    more, fit = dict(loosest or {}), F.expr(fits or "true")
+    renamed = lambda frame: frame.select("entry", *[F.col(c).alias(f"{c}_2") for c in frame.columns if c != "entry"])
     ends = index.groupBy("entry").agg(F.min("key").alias("p"), F.max("key").alias("q")).where("p < q").select("entry", "p")
     index = scratch.save(index.join(ends, "entry"))
-    heads = index.where("key = p").select("entry", *[F.col(c).alias(f"{c}_2") for c in more]).dropDuplicates(["entry"])
+    heads = renamed(index.where("key = p").select("entry", *more).dropDuplicates(["entry"]))
     tried = index.where("key <> p")
     if more:
-        tried = tried.join(heads, "entry").where(fits)
+        tried = tried.join(heads, "entry").where(fit)
     tried = scratch.save(tried.select(F.col("key").alias("a"), F.col("p").alias("b")).distinct())
     parts = scratch.save(components(scratch.save(verify(tried)), scratch))
 
@@ -72,10 +76,9 @@ def linked_components(index: DataFrame, verify: Callable[[DataFrame], DataFrame]
         "entry", "key", *more, F.coalesce("component", "key").alias("c"))
     several = member.groupBy("entry").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("entry")
     member = scratch.save(member.join(several, "entry"))
-    kinds = member.select("entry", "c").distinct()
-    other = member.select("entry", F.col("c").alias("d"), F.col("key").alias("key_2"), *[F.col(c).alias(f"{c}_2") for c in more])
-    cross = (kinds.join(kinds.select("entry", F.col("c").alias("d")), "entry").where("c < d")
-             .join(member, ["entry", "c"]).join(other, ["entry", "d"]).where(fits)
+    kinds = member.groupBy("entry", "c").agg(F.count("*").alias("members"), *[F.expr(f"{end}({c})").alias(c) for c, end in more.items()])
+    met = kinds.join(renamed(kinds), "entry").where(F.expr("c < c_2") & fit).select("entry", "c", "c_2")
+    cross = (met.join(member, ["entry", "c"]).join(renamed(member), ["entry", "c_2"]).where(fit)
              .select(F.greatest("key", "key_2").alias("a"), F.least("key", "key_2").alias("b")).distinct()
              .join(tried, ["a", "b"], "left_anti"))
     cross = scratch.save(verify(scratch.save(cross)))

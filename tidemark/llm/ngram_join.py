@@ -19,7 +19,8 @@ the tokens, the j-th common token of two sets stands among the first n - t + j o
    is indexed as a combination. With g in proportion to the set's size (a power of two, that of
    the smaller set; a set uses the g of every size it may join), a set has combinations in
    proportion to its size, not to the square.
-4. Verify. All sets of an index entry are first compared to the entry's smallest set only, and
+4. Verify. Pairs that cannot link by their sizes, or by how many of their tokens no other set
+   has, are left out. All sets of an index entry are first compared to the entry's smallest set only, and
    linked ones become components. Then, for entries whose sets lie in several components, each
    set is compared to the sets of the other components that it was not compared to before.
    So no link between components is lost, and a large group of near copies costs comparisons in
@@ -47,7 +48,7 @@ from tidemark.llm.components import linked_components
 from tidemark.llm.words import bucket_edges, mixed, pack, pack_sorted, unpack, unpack_sorted, words_of
 
 #: A token in up to so many sets is rare; extension of the filter's prefix; input bytes for each bucket.
-RARE, EXTENSION, BUCKET_BYTES = 16, 0.15, 1 << 22
+RARE, EXTENSION, BUCKET_BYTES = 8, 0.15, 1 << 22
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -256,15 +257,16 @@ def _index(rows: pd.DataFrame, law: Law) -> pd.DataFrame:
     order = np.argsort(keys, kind="stable")
     keys, tokens, both = keys[order], tokens[order], both[order]
     edges = np.append(np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0), len(keys))
-    entry, key, size = [], [], []
+    entry, key, size, several = [], [], [], []
     for i, j in zip(edges[:-1], edges[1:]):
         n = int(both[i] & np.uint64(0xFFFFFFFF))
         found = entries(law, n, tokens[i:j], (both[i:j] >> np.uint64(32)).astype(np.int64))
         entry.append(found)
         key.append(np.full(len(found), keys[i]))
         size.append(np.full(len(found), n))
+        several.append(np.full(len(found), j - i))
     join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-    return pd.DataFrame({"entry": signed(join(entry, np.uint64)), "key": signed(join(key, np.uint64)), "n": join(size, np.int64)})
+    return pd.DataFrame({"entry": signed(join(entry, np.uint64)), "key": signed(join(key, np.uint64)), "n": join(size, np.int64), "several": join(several, np.int64)})
 
 
 def _verify(batches, law):
@@ -303,10 +305,12 @@ def similar_sets(texts: DataFrame, narrow: DataFrame, law: Law, buckets: int, sc
     index = scratch.save(
         sets.mapInArrow(lambda rows: _class_send(rows, buckets), CLASSES)
         .groupBy("bucket").applyInPandas(lambda rows: _class_count(rows, buckets), CLASSES)
-        .groupBy("bucket").applyInPandas(lambda rows: _index(rows, law), "entry bigint, key bigint, n bigint"))
+        .groupBy("bucket").applyInPandas(lambda rows: _index(rows, law), "entry bigint, key bigint, n bigint, several bigint"))
 
+    # Two sets have at most as many tokens in common as either has that are in several sets.
     return linked_components(index, lambda pairs: verified(pairs, sets, law), scratch,
-                             f"{law.den} * least(n, n_2) >= {law.num} * greatest(n, n_2)")
+                             f"{law.den} * least(several, several_2) >= {law.num} * (n + n_2 - least(several, several_2))",
+                             {"n": "min", "several": "max"})
 
 
 def similar_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,
