@@ -87,8 +87,8 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
 
 
 def followers(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (doc_id, k, n), k naming equal rows, to one row for each k with its number of rows
-    ``copies``, the next row's ``next_k``, and ``before_k``, ``before_n`` of the one before."""
+    """Rows (doc_id, k, n), k naming equal rows, to one row for each k with its id, its number of
+    rows ``copies``, the next row's ``next_k``, and ``before_k``, ``before_n`` of the one before."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = rows.groupBy("doc_id", "k", "n").agg(F.count("*").alias("copies"))
     line = scratch.save(each.repartitionByRange(parts, "doc_id", "k").withColumn("part", F.spark_partition_id()))
@@ -102,7 +102,7 @@ def followers(rows: DataFrame, scratch: Scratch) -> DataFrame:
                        F.coalesce(F.lag("last").over(circle), F.last("last").over(whole)).alias("ahead"))
     stepped = line.select("*", F.lead("k").over(inside).alias("nk"), F.lag("k").over(inside).alias("bk"), F.lag("n").over(inside).alias("bn"))
     return stepped.join(F.broadcast(ends), "part").select(  # one row for each shuffle partition
-        "k", "n", "copies", F.coalesce("nk", "after_k").alias("next_k"), F.coalesce("bk", "ahead.k").alias("before_k"),
+        "doc_id", "k", "n", "copies", F.coalesce("nk", "after_k").alias("next_k"), F.coalesce("bk", "ahead.k").alias("before_k"),
         F.coalesce("bn", "ahead.n").alias("before_n"))
 
 
@@ -114,8 +114,8 @@ def fingerprint_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     rows = rows.withColumn("k", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
     line = scratch.save(followers(rows.select("doc_id", "k", F.char_length("text").cast("bigint").alias("n")), scratch))
 
-    found = rows.join(line, "k")
-    quarter = lambda n: F.floor(n / 4).cast("int")
+    # Ids come from the narrow rows, so that both uses of the texts move the same two columns, once.
+    found = rows.select("k", "text").join(line, "k")
     lent = found.select("k", F.col("before_k").alias("to"), F.expr("left(text, int(floor(before_n / 4)))").alias("piece"))
     lent = lent.dropDuplicates(["to"])
     nth = F.row_number().over(Window.partitionBy("k").orderBy("doc_id"))
