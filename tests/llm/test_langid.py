@@ -79,3 +79,29 @@ def test_odd_rows(spark, odd, none):
     assert identify(clash).columns[:5] == clash.columns
     assert identify(none).collect() == []
     assert {r.language for r in identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {langid.NONE}
+
+
+def test_every_language_is_a_class_and_regions_share_one(spark):
+    """Eighty languages of twelve rows each, with words of their own, every third row with a region."""
+    rng = np.random.default_rng(5)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "pqrstuvwxy"]
+    words = {x: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for x in names}
+    rows = [(k * 100 + i, " ".join(rng.choice(words[x], 20)), (x, f"{x}-US", f"{x.upper()}_gb")[i % 3], "h", 1) for k, x in enumerate(names) for i in range(12)]
+    df = spark.createDataFrame(rows, DOCS)
+    classes, table = fit(df, "text", "lang")
+    assert classes == [*sorted(names), langid.NONE]
+    got = identify(df).collect()
+    assert len(got) == len(rows) and all(r.accepted and r.language == r.text_language == r.lang[:2].lower() for r in got)
+
+
+def test_only_seen_slots_are_stored_beyond_a_bound(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    seen = np.unique(rng.integers(0, 70 * langid.SLOTS, 20000))
+    of, slot, n = seen // langid.SLOTS, seen % langid.SLOTS, rng.integers(1, 50, len(seen))
+    full = langid.table_of(slot, of, n, 71)
+    monkeypatch.setattr(langid, "DENSE", 0)
+    monkeypatch.setattr(langid, "AT_ONCE", 71 * 7)
+    few = langid.table_of(slot, of, n, 71)
+    assert isinstance(full, np.ndarray) and sum(x.nbytes for x in few) < full.nbytes / 10
+    slots, bounds = rng.choice(slot, 500).astype(np.uint32), np.array([0, 1, 40, 41, 300, 500])
+    assert np.allclose(langid.text_sums(slots, bounds, full, 71), langid.text_sums(slots, bounds, few, 71), atol=1e-3)

@@ -1,7 +1,8 @@
 """Language identification by fusing evidence with Bayes' rule.
 
-The classes are the languages of the labelled rows, and ``und``, for which every letter group is
-as likely as any other. Evidence on a row:
+The classes are all languages of the labelled rows (``en`` for the labels en, en-US and EN_gb; no
+number of them is set), and ``und``, for which every letter group is as likely as any other.
+Evidence on a row:
 
 * its text: letter trigrams (bytes of the small letters within a word, word ends included) under
   one multinomial per language, in logarithms, divided by 3 as each letter is in three trigrams;
@@ -9,10 +10,10 @@ as likely as any other. Evidence on a row:
 * its address: the prior of its host, smoothed towards that of its domain, this one towards that
   of its suffix (the last part of the host's name), and this one towards the whole corpus.
 
-The text model is fitted on about ``SAMPLE`` labelled rows for each of at most ``LANGUAGES``
-languages (those with the most rows), drawn by a hash. All else comes from all rows: each row's
-text gives it a probability for every class; sums of these by declaration, host, domain, suffix
-and overall, with ``PRIOR`` rows' weight for the level above, are the priors and the chances. A
+The text model is fitted on about ``SAMPLE`` labelled rows for each language, drawn by a hash. Its
+table has a row for each slot up to ``DENSE`` bytes, and beyond that only what was seen. All else
+comes from all rows: each row's text gives it a probability for every class; sums of these by
+declaration, host, domain, suffix and overall, with ``PRIOR`` rows' weight for the level above, are the priors and the chances. A
 row's own share is taken out of its host's and declaration's sums before they judge it. Sums are
 aggregated in each task before they move, so that one host may hold any share of the rows.
 
@@ -35,9 +36,12 @@ from pyspark.sql import types as T
 from tidemark.llm.common import Scratch, col, documents, fresh, ship
 from tidemark.llm.words import SLICE_BYTES, sliced, texts_of
 
-#: Labelled rows for each language, languages, trigram slots, weight of a level above, its weight
-#: for declarations and the chance that a declaration is right, before any evidence.
-SAMPLE, LANGUAGES, SLOTS, PRIOR, DECLARED, RIGHT = 1_000, 64, 1 << 16, 10.0, 20.0, 0.9
+#: Labelled rows for each language, trigram slots, weight of a level above, its weight for
+#: declarations and the chance that a declaration is right, before any evidence.
+SAMPLE, SLOTS, PRIOR, DECLARED, RIGHT = 1_000, 1 << 16, 10.0, 20.0, 0.9
+
+#: Bytes up to which the text model is a full table (slot, class); values worked on at once beyond.
+DENSE, AT_ONCE = 32 << 20, 4_000_000
 
 #: Hosts up to which their table is broadcast.
 FEW_HOSTS = 100_000
@@ -68,38 +72,64 @@ def runs(column: pa.Array):
         yield i, *trigrams(data[at[i] : at[j]], at[i : j + 1] - at[i])
 
 
-def fit(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
-    """Classes, and the table of log probabilities (slot, class); the last class is NONE."""
-    rows = df.select(col(label).cast("string").alias("label"), col(text).alias("text")).where("label is not null and text is not null")
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()}
+def fit(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray | tuple]:
+    """Classes, and the log probabilities (slot, class) as ``table_of`` has them; the last class is
+    NONE."""
+    rows = df.select(primary(col(label).cast("string")).alias("label"), col(text).alias("text")).where("label is not null and text is not null")
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     names = sorted(x for x in sizes if x != NONE)
-    counts = np.zeros((len(names) + 1, SLOTS))
+    slot = of = n = np.zeros(0, np.int64)
     if names:
-        share = F.create_map(*[F.lit(x) for n in names for x in (n, SAMPLE / sizes[n])])
+        kinds = df.sparkSession.createDataFrame([(x, i, SAMPLE / sizes[x]) for i, x in enumerate(names)], "label string, of bigint, share double")
         unit = F.xxhash64(F.lit("sample"), "text").bitwiseAND((1 << 52) - 1) / float(1 << 52)
 
         def count(batches):
             for batch in batches:
-                found: dict[str, np.ndarray] = {}
-                labels = np.array(batch.column(0).to_pylist(), object)
+                kind = batch.column(0).to_numpy()
                 for i, slots, bounds in runs(batch.column(1)):
-                    of = np.repeat(labels[i : i + len(bounds) - 1], np.diff(bounds))
-                    for name in set(of):
-                        found[name] = found.get(name, 0) + np.bincount(slots[of == name], minlength=SLOTS)
-                for name, sums in found.items():
-                    slot = np.flatnonzero(sums)
-                    yield pa.RecordBatch.from_pydict({"label": [name] * len(slot), "slot": slot, "n": sums[slot]},
-                                                     schema=pa.schema([("label", pa.string()), ("slot", pa.int64()), ("n", pa.int64())]))
-
-        drawn = rows.where(unit < F.element_at(share, F.col("label"))).mapInArrow(count, "label string, slot bigint, n bigint")
-        for name, part in drawn.groupBy("label", "slot").agg(F.sum("n").alias("n")).toPandas().groupby("label"):
-            counts[names.index(name)][part["slot"]] = part["n"]
-    smooth = 0.02
-    table = np.log((counts + smooth) / (counts.sum(1, keepdims=True) + smooth * SLOTS))
-    return [*names, NONE], np.ascontiguousarray(table.T.astype(np.float32))
+                    of = np.repeat(kind[i : i + len(bounds) - 1], np.diff(bounds))
+                    seen, n = np.unique(of * SLOTS + slots, return_counts=True)
+                    yield pa.RecordBatch.from_pydict({"seen": seen, "n": n}, schema=pa.schema([("seen", pa.int64()), ("n", pa.int64())]))
 
+        drawn = rows.join(F.broadcast(kinds), "label").where(unit < F.col("share")).select("of", "text").mapInArrow(count, "seen bigint, n bigint")
+        part = drawn.groupBy("seen").agg(F.sum("n").alias("n")).toPandas()
+        of, slot, n = part["seen"].to_numpy() // SLOTS, part["seen"].to_numpy() % SLOTS, part["n"].to_numpy()
+    return [*names, NONE], table_of(slot, of, n, len(names) + 1)
 
-def text_evidence(df: DataFrame, text: str, classes: list[str], table: np.ndarray, out: str) -> DataFrame:
+
+def table_of(slot: np.ndarray, of: np.ndarray, n: np.ndarray, classes: int) -> np.ndarray | tuple:
+    """Log probabilities from the counts that are not zero: a full table (slot, class), or, if this
+    were over ``DENSE`` bytes, (bounds of the slots, classes, what is added for them, and each
+    class's value for a slot that it has not seen)."""
+    smooth = 0.02
+    total = np.bincount(of, n, classes) + smooth * SLOTS
+    if SLOTS * classes * 4 <= DENSE:
+        table = np.tile(np.log(smooth / total).astype(np.float32), (SLOTS, 1))
+        table[slot, of] = np.log((n + smooth) / total[of])
+        return table
+    order = np.lexsort((of, slot))
+    at = np.searchsorted(slot[order], np.arange(SLOTS + 1))
+    return at, of[order].astype(np.int32), np.log((n + smooth) / smooth)[order].astype(np.float32), np.log(smooth / total)
+
+
+def text_sums(slots: np.ndarray, bounds: np.ndarray, table: np.ndarray | tuple, classes: int) -> np.ndarray:
+    """Sums of the log probabilities (text, class) of texts that each have some slots."""
+    if isinstance(table, np.ndarray):
+        return np.add.reduceat(table[slots].astype(np.float64), bounds[:-1], axis=0)
+    at, of, more, unseen = table
+    n = np.diff(bounds)
+    sums, text = n[:, None] * unseen, np.repeat(np.arange(len(n)), n)
+    step = max(1, AT_ONCE // classes)
+    for i in range(0, len(slots), step):
+        part, where = slots[i : i + step], text[i : i + step]
+        long = at[part + 1] - at[part]
+        entry = np.arange(long.sum()) + np.repeat(at[part] - np.cumsum(long) + long, long)
+        first, last = where[0], where[-1] + 1
+        sums[first:last] += np.bincount((np.repeat(where, long) - first) * classes + of[entry], more[entry], (last - first) * classes).reshape(-1, classes)
+    return sums
+
+
+def text_evidence(df: DataFrame, text: str, classes: list[str], table: np.ndarray | tuple, out: str) -> DataFrame:
     """Adds the text's log likelihood of each class; null where the text has no letters."""
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(table)
@@ -111,7 +141,7 @@ def text_evidence(df: DataFrame, text: str, classes: list[str], table: np.ndarra
             n = np.diff(bounds)
             some = np.flatnonzero(n)
             if len(some):
-                scores[i + some] = np.add.reduceat(shared.value[slots].astype(np.float64), bounds[some], axis=0) / 3.0
+                scores[i + some] = text_sums(slots, np.append(bounds[some], bounds[-1]), shared.value, len(classes)) / 3.0
                 has[i + some] = True
         offsets = np.arange(len(texts) + 1, dtype=np.int32) * len(classes)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores.ravel()), mask=pa.array(~has))
@@ -119,11 +149,16 @@ def text_evidence(df: DataFrame, text: str, classes: list[str], table: np.ndarra
     return df.withColumn(out, evidence(F.coalesce(col(text), F.lit(""))))
 
 
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, also where ``use`` has it within a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def normal(logs: Column) -> Column:
     """Log values of classes to probabilities that sum to one."""
-    top = F.array_max(logs)
-    parts = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(parts, lambda x: x / F.aggregate(parts, F.lit(0.0), lambda a, b: a + b))
+    parts = once(logs, lambda v: once(F.array_max(v), lambda top: F.transform(v, lambda x: F.exp(x - top))))
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda a, b: a + b)
+    return once(parts, lambda v: once(total(v), lambda t: F.transform(v, lambda x: x / t)))
 
 
 def levels(host: Column) -> tuple[Column, Column]:
@@ -204,13 +239,12 @@ def identify(df: DataFrame, text: str = "text", declared: str | None = "lang", h
     small = lambda t: F.broadcast(t) if t.count() <= FEW_HOSTS else t
     out = scored(df).join(small(hosts), F.col(h) == F.col(hh), "left").join(small(said), F.col(d) == F.col(hd), "left")
 
-    own = lambda i: F.get(F.col(p), F.lit(i))
-    tiny = F.lit(1e-9)
-    prior = [F.coalesce((F.greatest(F.lit(0.0), F.get(F.col(sums), F.lit(i)) - own(i)) + PRIOR * F.get(F.col(above), F.lit(i)))
-                        / (F.greatest(F.lit(0), F.col(rows) - 1) + PRIOR), F.lit(corpus[i])) for i in range(n)]
-    chance = [F.coalesce(F.greatest(tiny, F.get(F.col(hits), F.lit(i)) - own(i)) / F.greatest(tiny, F.get(F.col(totals), F.lit(i)) - own(i)), F.lit(1.0))
-              for i in range(n)]
-    logs = F.array(*[F.get(F.col(ll), F.lit(i)) + F.log(F.greatest(tiny, prior[i])) + F.log(F.greatest(tiny, chance[i])) for i in range(n)])
+    tiny, at = F.lit(1e-9), lambda name, i: F.get(F.col(name), i)
+    flat = F.array(*[F.lit(x) for x in corpus])
+    prior = lambda i: F.coalesce((F.greatest(F.lit(0.0), at(sums, i) - at(p, i)) + PRIOR * at(above, i))
+                                 / (F.greatest(F.lit(0), F.col(rows) - 1) + PRIOR), F.get(flat, i))
+    chance = lambda i: F.coalesce(F.greatest(tiny, at(hits, i) - at(p, i)) / F.greatest(tiny, at(totals, i) - at(p, i)), F.lit(1.0))
+    logs = F.transform(ll, lambda x, i: x + F.log(F.greatest(tiny, prior(i))) + F.log(F.greatest(tiny, chance(i))))
     out = out.withColumn(post, F.when(F.col(ll).isNotNull(), normal(logs)))
     best = lambda x: F.coalesce(F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position(x, F.array_max(x)).cast("int")), F.lit(NONE))
     out = (out.withColumn(names[0], best(F.col(post))).withColumn(names[1], F.coalesce(F.array_max(F.col(post)), F.lit(0.0)))
