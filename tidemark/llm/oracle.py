@@ -101,4 +101,26 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN told USING (doc_id)
 """
 
-ORACLE = {"op3_combination_prefixes": OP3, "op5_ownership_secrets": OP5, "op10_lattice_near_dedup": OP10}
+OP12 = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+  ),
+  numbers AS (
+    SELECT doc_id, t, n, ('0x' || h[1:8])::UBIGINT % (n + 1) AS x, ('0x' || h[9:16])::UBIGINT % (n + 1) AS y,
+           ('0x' || h[17:24])::UBIGINT % 100 AS r, ('0x' || h[25:32])::UBIGINT % 100 AS k
+    FROM drawn
+  ),
+  cuts AS (
+    SELECT doc_id, t, n, least(x, y)::BIGINT AS a, greatest(x, y)::BIGINT AS b,
+           CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r >= 90 THEN 'plain' WHEN k < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+  )
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+                        ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cuts
+"""
+
+ORACLE = {"op3_combination_prefixes": OP3, "op5_ownership_secrets": OP5, "op10_lattice_near_dedup": OP10, "op12_piece_table": OP12}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.bpe import op9_byte_bpe
+from tidemark.llm.fim import op12_piece_table
 from tidemark.llm.fingerprint import op8_one_permutation
 from tidemark.llm.langid import language_pages, op1_language_id
 from tidemark.llm.lattice import op10_lattice_near_dedup
@@ -27,5 +28,6 @@ QUERIES = {
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lattice_near_dedup": op10_lattice_near_dedup,
+    "op12_piece_table": op12_piece_table,
     "language_pages": language_pages,
 }
