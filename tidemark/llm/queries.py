@@ -12,6 +12,7 @@ from tidemark.llm.lm import op2_backoff_automaton
 from tidemark.llm.mixing import op4_temperature_mixing
 from tidemark.llm.ngram_join import op3_combination_prefixes
 from tidemark.llm.oracle import ORACLE
+from tidemark.llm.resample import op13_line_resampling
 from tidemark.llm.secrets import op5_ownership_secrets
 from tidemark.llm.sharding import op7_sampled_shards
 
@@ -29,5 +30,6 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lattice_near_dedup": op10_lattice_near_dedup,
     "op12_piece_table": op12_piece_table,
+    "op13_line_resampling": op13_line_resampling,
     "language_pages": language_pages,
 }
