@@ -24,5 +24,5 @@ def test_query_matches_its_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in (*range(1, 11), 12, 13)} == {q.split("_")[0] for q in QUERIES if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES if q.startswith("op")}
     assert "pipeline" in entry.queries() and set(ORACLE) <= set(QUERIES)

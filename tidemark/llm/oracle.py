@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.licenses import BASE, TEMPLATES, Templates
+
 # Smallest reachable id over the links (a, b); both directions are walked, each step taking the
 # smallest id seen so far along the links.
 _COMPONENTS = """
@@ -123,4 +125,46 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS pre
 FROM cuts
 """
 
-ORACLE = {"op3_combination_prefixes": OP3, "op5_ownership_secrets": OP5, "op10_lattice_near_dedup": OP10, "op12_piece_table": OP12}
+
+def _licenses() -> str:
+    """Blocks against all templates: words of both counted, phrases looked for word by word."""
+    known, places, listed = Templates(TEMPLATES), [], []
+    for k, w in enumerate(known.words):
+        rows = [f"({k}, '{known.labels[k]}', '{x}', {known.half[k]}, {known.m[k]}, {known.need[k]})" for x in sorted(set(w))]
+        if known.phrase[k]:
+            more = "".join(f" JOIN hits h{i} ON h{i}.doc_id = h.doc_id AND h{i}.pos = h.pos + {i} AND h{i}.word = '{x}'" for i, x in enumerate(w[1:], 1))
+            places.append(f"SELECT h.doc_id, {k} AS template, '{known.labels[k]}' AS label, h.pos FROM hits h{more} WHERE h.word = '{w[0]}'")
+        else:
+            listed += rows
+    vocabulary = ", ".join(f"('{x}')" for x in known.vocabulary)
+    return f"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+  ),
+  hits AS MATERIALIZED (
+    SELECT doc_id, pos, word FROM (SELECT doc_id, unnest(range(0, len(w))) AS pos, unnest(w) AS word FROM texts) SEMI JOIN (VALUES {vocabulary}) v(word) USING (word)
+  ),
+  templates(template, label, word, half, m, need) AS (VALUES {", ".join(listed)}),
+  blocks AS (SELECT doc_id, template, label, word, m, need, unnest([pos // half, pos // half - 1]) AS block FROM hits JOIN templates USING (word)),
+  notices AS (
+    SELECT doc_id, label, count(DISTINCT word) / m AS containment FROM blocks WHERE block >= 0
+    GROUP BY doc_id, template, label, block, m, need HAVING count(DISTINCT word) >= need
+  ),
+  phrases AS ({" UNION ALL ".join(places)}),
+  base AS (
+    SELECT doc_id, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM phrases WHERE template < {len(BASE)} GROUP BY doc_id
+  ),
+  matched AS (
+    SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(containment) AS score
+    FROM (SELECT doc_id, label, containment FROM notices UNION ALL SELECT doc_id, label, 1.0::DOUBLE FROM phrases) GROUP BY doc_id
+  )
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(b.labels, '') AS base_labels,
+       coalesce(m.labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM texts t LEFT JOIN base b ON b.doc_id = t.doc_id LEFT JOIN matched m ON m.doc_id = t.doc_id
+"""
+
+
+ORACLE = {"op3_combination_prefixes": OP3, "op5_ownership_secrets": OP5, "op10_lattice_near_dedup": OP10,
+          "op11_template_containment": _licenses(), "op12_piece_table": OP12}

@@ -7,6 +7,7 @@ from tidemark.llm.fim import op12_piece_table
 from tidemark.llm.fingerprint import op8_one_permutation
 from tidemark.llm.langid import language_pages, op1_language_id
 from tidemark.llm.lattice import op10_lattice_near_dedup
+from tidemark.llm.licenses import op11_template_containment
 from tidemark.llm.lines import op6_fuzzy_lines
 from tidemark.llm.lm import op2_backoff_automaton
 from tidemark.llm.mixing import op4_temperature_mixing
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_one_permutation": op8_one_permutation,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lattice_near_dedup": op10_lattice_near_dedup,
+    "op11_template_containment": op11_template_containment,
     "op12_piece_table": op12_piece_table,
     "op13_line_resampling": op13_line_resampling,
     "language_pages": language_pages,
