@@ -8,11 +8,12 @@ group small and lets partial aggregation work, no matter how long the series is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules
 from tidemark.functions.exprs import seconds_between
+from tidemark.operators.ordered import nearest_rank, running_total
 from tidemark.operators.windows import window_seconds
 
 
@@ -66,17 +67,19 @@ def input_rate(raw: DataFrame, width: str = "1 minute") -> DataFrame:
 
 def throughput_timeline(raw: DataFrame, start, interval: str = "1 hour",
                         time_col: str = "event_time", weight_col: str | None = None) -> DataFrame:
-    """Records per interval since ``start``, elapsed seconds and throughput.
+    """Records per interval since ``start``, elapsed seconds, throughput, and the running
+    total of records up to the end of each interval (a distributed prefix sum over intervals).
     ``weight_col``: rows already carry a count (e.g. input rows of a micro-batch)."""
     secs = float(window_seconds(interval))
     records = F.sum(weight_col).cast("long") if weight_col else F.count(F.lit(1))
-    return (raw.where(F.col(time_col) >= F.lit(start).cast(raw.schema[time_col].dataType))
-            .groupBy(F.window(time_col, interval).alias("w"))
-            .agg(records.alias("records"))
-            .select(F.col("w.start").alias("interval_start"),
-                    seconds_between(_now(start), F.col("w.start").cast("timestamp_ntz"))
-                    .alias("elapsed_seconds"),
-                    "records", (F.col("records") / F.lit(secs)).alias("events_per_second")))
+    intervals = (raw.where(F.col(time_col) >= F.lit(start).cast(raw.schema[time_col].dataType))
+                 .groupBy(F.window(time_col, interval).alias("w"))
+                 .agg(records.alias("records"))
+                 .select(F.col("w.start").alias("interval_start"),
+                         seconds_between(_now(start), F.col("w.start").cast("timestamp_ntz"))
+                         .alias("elapsed_seconds"),
+                         "records", (F.col("records") / F.lit(secs)).alias("events_per_second")))
+    return running_total(intervals, [F.col("interval_start").asc()], "records", "cumulative_records")
 
 
 PROGRESS_SCHEMA = ("batch_id long, ts string, input_rows long, input_rows_per_second double, "
@@ -168,29 +171,20 @@ def ingestion_latency_samples(raw: DataFrame, trigger: str = "1 minute") -> Data
 
 def slo_report(samples: DataFrame, objectives: dict[str, float],
                percentile: float = rules.SLO_PERCENTILE) -> DataFrame:
-    """Per metric — samples, exact nearest-rank percentile, share within objective.
-
-    The percentile comes from a histogram of distinct values (quantised to 1 ms): the ordered
-    running count runs per metric over distinct values only, whose number is bounded by
-    range / resolution, not by the number of samples.
-    """
-    obj = F.create_map(*[x for k, v in objectives.items() for x in (F.lit(k), F.lit(float(v)))])
-    q = samples.where(F.col("metric").isin(list(objectives))) \
-               .select("metric", F.round(F.col("value"), 3).alias("value"))
-    hist = q.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("metric").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = hist.withColumn("cum", F.sum("n").over(w)) \
-              .withColumn("total", F.sum("n").over(Window.partitionBy("metric")))
-    rank = F.ceil(F.col("total") * F.lit(percentile))
-    pct = (cum.where(F.col("cum") >= rank).groupBy("metric")
-           .agg(F.min("value").alias("p_value")))
-    summary = (hist.withColumn("objective", obj[F.col("metric")])
-               .groupBy("metric")
-               .agg(F.sum("n").alias("samples"),
-                    F.sum(F.when(F.col("value") < F.col("objective"), F.col("n")).otherwise(0))
-                    .alias("within"),
-                    F.max("objective").alias("objective")))
-    return (summary.join(pct, "metric")
+    """Per metric — samples, exact nearest-rank percentile (``ordered.nearest_rank``: counts
+    in value ranges, no sorted series), share within the objective."""
+    known = samples.where(F.col("metric").isin(list(objectives)) & F.col("value").isNotNull())
+    ranks = nearest_rank(known, "metric", "value", percentile)
+
+    def per_metric(values: dict) -> F.Column:
+        pairs = [x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))]
+        return (F.create_map(*pairs) if pairs else F.create_map(F.lit(""), F.lit(0.0)))[F.col("metric")]
+
+    objective = per_metric(objectives)
+    return (known.groupBy("metric")
+            .agg(F.count(F.lit(1)).alias("samples"),
+                 F.sum(F.when(F.col("value") < objective, 1).otherwise(0)).cast("long").alias("within"))
+            .withColumn("objective", objective).withColumn("p_value", per_metric(ranks))
             .withColumn("compliance", F.col("within").cast("double") / F.col("samples"))
             .withColumn("met", F.col("p_value") < F.col("objective")))
 

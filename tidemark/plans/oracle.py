@@ -307,8 +307,8 @@ def _payload_sql() -> str:
 SAMPLES = """
 , samples AS (
   SELECT 'ingestion_latency' AS metric, event_time AS ts,
-         round(CAST(epoch_us(time_bucket(INTERVAL '5 seconds', event_time) + INTERVAL '5 seconds')
-                    - epoch_us(event_time) AS DOUBLE) / 1000000.0, 3) AS value
+         CAST(epoch_us(time_bucket(INTERVAL '5 seconds', event_time) + INTERVAL '5 seconds')
+                    - epoch_us(event_time) AS DOUBLE) / 1000000.0 AS value
   FROM orders_raw)
 """
 
@@ -413,7 +413,8 @@ UNION ALL SELECT 'city_revenue_5min', date_sub('second', MAX(window_end), TIMEST
     "throughput_timeline": _q(f"""
 SELECT {bucket('1 hour')} AS interval_start,
        date_sub('second', TIMESTAMP '2024-01-01 00:00:00', {bucket('1 hour')}) AS elapsed_seconds,
-       COUNT(*) AS records, CAST(COUNT(*) AS DOUBLE) / 3600.0 AS events_per_second
+       COUNT(*) AS records, CAST(COUNT(*) AS DOUBLE) / 3600.0 AS events_per_second,
+       CAST(SUM(COUNT(*)) OVER (ORDER BY {bucket('1 hour')} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_records
 FROM orders_raw WHERE event_time >= TIMESTAMP '2024-01-01 00:00:00' GROUP BY 1, 2"""),
     "slo_report": _q(SAMPLES + f"""
 , hist AS (SELECT metric, value, COUNT(*) AS n FROM samples GROUP BY 1, 2),
