@@ -197,3 +197,18 @@ def test_a_hot_key_is_split_in_the_shuffled_lookup(spark, hot):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v)
+
+
+def test_a_stream_may_start_on_an_empty_log(spark, scratch):
+    layout = jobs.Layout(spark, scratch)
+    layout.table("customer_profile").upsert(customers_df(spark, [("C1", "Asha", "GOLD")]))
+    layout.table("product_catalog").upsert(products_df(spark, [("P1", "Phone", "toys")]))
+    append_log(raw_df(spark, []), layout.raw_path)
+    q = jobs.start_enrich_and_alert(layout, trigger={"processingTime": "0 seconds"})
+    try:
+        append_log(raw_df(spark, [raw_row("O1", "20000.00")]), layout.raw_path)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    row = layout.table("orders_enriched").read_current().first()
+    assert (row.order_id, row.event_day, row.customer_name, row.category) == ("O1", "20240101", "Asha", "toys")

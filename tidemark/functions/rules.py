@@ -144,9 +144,12 @@ FAILED_RATE_ALERT = 0.25          # failed/total above this ...
 FAILED_RATE_ALERT_WINDOWS = 2     # ... for 10 minutes = two 5-minute windows
 SPIKE_FACTOR = 3.0                # suspicious count above 3x baseline
 SPIKE_BASELINE_WINDOWS = 12       # ours: the reference leaves the baseline undefined
-# name, objective (seconds), fast-burn bad share over 1 h, slow-burn bad share over 6 h
+# name, objective (seconds; failed_batches: 1 for a failed batch, else 0, none may fail),
+# fast-burn bad share over 1 h, slow-burn bad share over 6 h (None: no such alert)
 SLO_BURN = [
     ("ingestion_latency", 5.0, 0.02, 0.005),
+    ("failed_batches", 0.5, 0.0, None),
+    ("query_latency", 3.0, 0.05, 0.02),
     ("processing_lag", 60.0, 0.10, 0.05),
     ("data_freshness", 10.0, 0.10, 0.05),
 ]

@@ -209,6 +209,26 @@ def burn_rate(samples: DataFrame, metric: str, objective: float, fast_share: flo
     return per("1 hour", "fast_1h", fast_share).unionByName(per("6 hours", "slow_6h", slow_share))
 
 
+def burn_rates(samples: DataFrame, slos=tuple(rules.SLO_BURN)) -> DataFrame:
+    """O10 for several objectives in one scan: samples are summed by metric and hour, and the
+    hours into six; a metric without a slow threshold has no slow alerts."""
+    def per_metric(k: int) -> F.Column:
+        return F.create_map(*[x for slo in slos for x in (F.lit(slo[0]), F.lit(slo[k]).cast("double"))])[F.col("metric")]
+
+    known = samples.where(F.col("metric").isin([s[0] for s in slos]) & F.col("value").isNotNull())
+    hours = (known.groupBy("metric", F.window("ts", "1 hour").alias("w"))
+             .agg(F.count(F.lit(1)).alias("samples"), F.sum(F.when(F.col("value") > per_metric(1), 1).otherwise(0)).cast("long").alias("bad")))
+    six = (hours.groupBy("metric", F.window(F.col("w.start"), "6 hours").alias("w"))
+           .agg(F.sum("samples").alias("samples"), F.sum("bad").alias("bad")))
+
+    def judged(df: DataFrame, label: str, k: int) -> DataFrame:
+        return (df.select("metric", F.lit(label).alias("burn_window"), F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          "samples", "bad", (F.col("bad").cast("double") / F.col("samples")).alias("bad_share"), per_metric(k).alias("threshold"))
+                .where("threshold is not null").withColumn("alert", F.col("bad_share") > F.col("threshold")))
+
+    return judged(hours, "fast_1h", 2).unionByName(judged(six, "slow_6h", 3))
+
+
 def validate_run(counts: DataFrame, seconds_col: DataFrame) -> DataFrame:
     """Load-run checks from (table_name, row_count) rows and a one-row duration frame.
 

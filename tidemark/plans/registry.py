@@ -387,3 +387,6 @@ register("stream_revenue_5min")(streams.stream_revenue_5min)
 register("stream_city_revenue_5min")(streams.stream_city_revenue_5min)
 register("stream_alerts")(streams.stream_alerts)
 register("stream_kpis")(streams.stream_kpis)
+register("stream_slo_report")(streams.stream_slo_report)
+register("stream_burn_rate")(streams.stream_burn_rate)
+MEASURED.update(("stream_slo_report", "stream_burn_rate"))

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import rules
+from tidemark.operators import analytics as an, observe
 from tidemark.plans.frames import Tables
 from tidemark.session import scratch_dir
 from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, telemetry
 
 
 def _layout(t: Tables, customers: bool = True, products: bool = True) -> jobs.Layout:
@@ -70,3 +72,47 @@ def stream_kpis(t: Tables) -> DataFrame:
     layout = _layout(t, customers=False, products=False)
     _drain(jobs.start_kpis(layout, trigger={"availableNow": True}))
     return _ntz(layout.table("dashboard_kpis").read_current())
+
+
+def measured(t: Tables, slices: int = 4) -> jobs.Layout:
+    """A deployment that the given orders were replayed through while its jobs ran: enrichment,
+    windows and timed dashboard reads, with their progress stored."""
+    layout = jobs.Layout(t.spark, scratch_dir(t.spark, "measured"))
+    layout.table("customer_profile").upsert(t.customers)
+    layout.table("product_catalog").upsert(t.products)
+    append_log(t.raw.limit(0).withColumn("event_time", F.col("event_time").cast("timestamp")), layout.raw_path)
+    recorder = layout.recorder()
+    t.spark.streams.addListener(recorder)
+    try:
+        often = {"processingTime": "0 seconds"}
+        queries = [jobs.start_enrich_and_alert(layout, trigger=often), jobs.start_revenue(layout, trigger=often)]
+
+        def after(i: int) -> None:
+            for query in queries:
+                query.processAllAvailable()
+            revenue = layout.table("revenue_5min").read_current()
+            telemetry.timed_queries(t.spark, layout.root, {"latest_windows": an.latest_windows(revenue, "category", 30),
+                                                          "category_rollup": an.rollup_windows(revenue, "category")})
+
+        try:
+            jobs.replay(layout, t.raw, slices, after=after)
+        finally:
+            for query in queries:
+                query.stop()
+        recorder.wait(*queries)
+    finally:
+        t.spark.streams.removeListener(recorder)
+    return layout
+
+
+def stream_slo_report(t: Tables) -> DataFrame:
+    """O9 over measured times: five objectives, whose samples the replay stored."""
+    layout = measured(t)
+    samples = telemetry.slo_samples(t.spark, layout.root, layout.raw_path)
+    return observe.slo_report(samples, {slo[0]: slo[1] for slo in rules.SLO_BURN})
+
+
+def stream_burn_rate(t: Tables) -> DataFrame:
+    """O10 over measured times, all objectives."""
+    layout = measured(t)
+    return observe.burn_rates(telemetry.slo_samples(t.spark, layout.root, layout.raw_path))

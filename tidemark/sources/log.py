@@ -44,15 +44,20 @@ def append_log(df: DataFrame, path: str, partition: str = "event_day",
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType = schemas.ORDERS_RAW,
-             streaming: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+             streaming: bool = False, max_files_per_trigger: int | None = None,
+             partition: str = "event_day") -> DataFrame:
     """Batch or streaming read with an explicit schema (partition column included). Days that
-    retention removes while a read runs do not fail it; no other reader tolerates lost files."""
-    if streaming:
-        reader = spark.readStream.schema(schema).option("ignoreMissingFiles", "true")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(path)
-    return spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
+    retention removes while a read runs do not fail it; no other reader tolerates lost files.
+
+    The reader gets the partition column last: that is where it puts the columns that it finds
+    in paths, and a stream that starts on an empty log finds them only later."""
+    columns = schema.fieldNames()
+    fields = sorted(schema.fields, key=lambda f: f.name == partition)
+    reader = (spark.readStream if streaming else spark.read).schema(T.StructType(fields)).option("ignoreMissingFiles", "true")
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    out = reader.parquet(path)
+    return out if [f.name for f in fields] == columns else out.select(*columns)
 
 
 def start_log_writer(stream: DataFrame, path: str, checkpoint: str, partition: str = "event_day",

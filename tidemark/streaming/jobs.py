@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +26,12 @@ from tidemark import schemas
 from tidemark.functions import rules
 from tidemark.operators import alerts, dedup, enrich, quality, windows
 from tidemark.operators.ingest import to_orders_raw
-from tidemark.sources.log import read_log, start_log_writer
+from tidemark.sources.log import append_log, read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
+from tidemark.streaming.telemetry import ProgressRecorder, observed
 
 WATERMARK = "5 seconds"
+JOBS = ("enrich_alert", "revenue_5min", "city_revenue_5min", "dashboard_kpis")
 
 
 @dataclass
@@ -51,6 +54,15 @@ class Layout:
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/_checkpoints/{job}"
 
+    def query_name(self, job: str) -> str:
+        """Unique for each deployment: several layouts may run in one session."""
+        return f"{job}_{hashlib.sha1(self.checkpoint(job).encode()).hexdigest()[:8]}"
+
+    def recorder(self) -> ProgressRecorder:
+        """A listener that stores the progress of this deployment's queries; the caller adds it
+        to ``spark.streams`` and removes it."""
+        return ProgressRecorder(self.spark, self.root, {self.query_name(j): j for j in JOBS})
+
 
 class DimensionCache:
     """Per-query cache of a dimension's current view for foreachBatch lookups.
@@ -118,8 +130,8 @@ def _start(df: DataFrame, process, checkpoint: str, trigger: dict | None, mode:
     spark = df.sparkSession
     w = (df.writeStream.outputMode(mode).foreachBatch(process)
          .option("checkpointLocation", checkpoint))
-    if name:   # unique per deployment: several layouts may run in one session
-        w = w.queryName(f"{name}_{hashlib.sha1(checkpoint.encode()).hexdigest()[:8]}")
+    if name:
+        w = w.queryName(name)
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
@@ -134,6 +146,7 @@ def raw_stream(layout: Layout, max_files_per_trigger: int | None = None,
     """The log as a stream, event time watermarked (bounded out-of-orderness)."""
     df = read_log(layout.spark, layout.raw_path, streaming=True,
                   max_files_per_trigger=max_files_per_trigger)
+    df = observed(df, "input", "event_time")
     return df.withWatermark("event_time", watermark) if watermark else df
 
 
@@ -194,7 +207,7 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
             batch.unpersist()
 
     src = raw_stream(layout, max_files_per_trigger, watermark=None)
-    return _start(src, process, ckpt, trigger, name="enrich_alert")
+    return _start(src, process, ckpt, trigger, name=layout.query_name("enrich_alert"))
 
 
 def start_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WATERMARK,
@@ -215,7 +228,7 @@ def start_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WAT
 
     partials = windows.product_window_partials(
         raw_stream(layout, max_files_per_trigger, watermark), width)
-    return _start(partials, process, ckpt, trigger, name=table)
+    return _start(observed(partials, "output", "w.end"), process, ckpt, trigger, name=layout.query_name(table))
 
 
 def start_city_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WATERMARK,
@@ -229,7 +242,7 @@ def start_city_revenue(layout: Layout, width: str = "5 minutes", watermark: str
         target.write_batch(batch, epoch, batch_id)
 
     agg = windows.city_revenue_by_window(raw_stream(layout, max_files_per_trigger, watermark), width)
-    return _start(agg, process, ckpt, trigger, name="city_revenue_5min")
+    return _start(observed(agg, "output", "window_end"), process, ckpt, trigger, name=layout.query_name("city_revenue_5min"))
 
 
 def start_kpis(layout: Layout, width: str = "1 minute", watermark: str = WATERMARK,
@@ -244,7 +257,7 @@ def start_kpis(layout: Layout, width: str = "1 minute", watermark: str = WATERMA
         target.write_batch(batch, epoch, batch_id)
 
     rows = windows.kpis(raw_stream(layout, max_files_per_trigger, watermark), width)
-    return _start(rows, process, ckpt, trigger, name="dashboard_kpis")
+    return _start(observed(rows, "output", "updated_at"), process, ckpt, trigger, name=layout.query_name("dashboard_kpis"))
 
 
 def start_all(layout: Layout, generator_rows: DataFrame | None = None,
@@ -312,9 +325,30 @@ def rebuild(layout: Layout, start, end, on_miss: str = "null",
 
 
 def dropped_late_rows(query) -> int:
-    """Rows the stateful operators dropped as late, summed over recent progress."""
+    """Rows the stateful operators dropped as late, over the recent progress that Spark
+    keeps; ``telemetry.dropped_rows`` has the count over all batches of a recorded query."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
             total += int(op.get("numRowsDroppedByWatermark", 0))
     return total
+
+
+def replay(layout: Layout, orders: DataFrame, slices: int = 4, span: float = 15.0, after=None) -> None:
+    """Feed recorded orders into the log as if they came in now: slice after slice of their time,
+    each slice's event times spread over the ``span`` seconds before it is written (sources
+    deliver events up to that old). ``after(i)`` runs when slice i is in the log."""
+    micros = F.unix_micros(F.col("event_time").cast("timestamp"))
+    low, high = orders.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        return
+    edges = [low + (high + 1 - low) * i // slices for i in range(slices + 1)]
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        if a == b:
+            continue
+        now = int(time.time() * 1e6)
+        moved = F.timestamp_micros((F.lit(now) - (F.lit(b) - micros) * F.lit(span * 1e6 / (b - a))).cast("bigint"))
+        rows = orders.where((micros >= a) & (micros < b)).withColumn("event_time", moved)
+        append_log(rows.withColumn("event_day", F.date_format("event_time", "yyyyMMdd")), layout.raw_path)
+        if after:
+            after(i)
