@@ -52,7 +52,7 @@ def test_generated_documents(spark):
     assert sum(r[4] is not None for r in want) >= 20
 
 
-LINES = ["The cat\nsat on\n\n the mat", "a\n", "\na", "a\nb\nc", " \n . \n", "One line of words, and more words: 1\r\n2\x0b3", "the cat\nsat on", "the cat",
+LINES = ["ABC\nDEF\n\nGhI", "The cat\nsat on\n\n the mat", "a\n", "\na", "a\nb\nc", " \n . \n", "One line of words, and more words: 1\r\n2\x0b3", "the cat\nsat on", "the cat",
          "İstanbul K KELVIN\nÉTÉ été", "x-y\n--\nz \n\n\n w", "word " * 25 + "\n" + "word " * 25, "漢字\U0001f642 b\n漢字", "a" * 3000 + "\n" + "b" * 3000, "tail \n"]
 
 

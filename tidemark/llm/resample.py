@@ -7,9 +7,10 @@ without replacement keeps the highest sums of weight and Gumbel noise.
 1. Segments. Newlines cut texts into lines, and no word crosses one. Lines are grouped over the
    whole corpus (partial sums first, so that a line in a third of all texts is one row of each
    task); the buckets of each distinct line are worked out once and written, with the number of
-   its occurrences.
+   its occurrences. A document is written as the digests of its lines, and the buckets of the
+   pairs of words that stand across newlines.
 2. Counts. A bucket's count is the sum over distinct lines of its features times the line's
-   occurrences, plus the pairs of words that stand across newlines, which are counted on their own.
+   occurrences, plus the pairs across newlines, which are counted on their own.
 3. Gains. One number for each bucket: a bounded table.
 4. Weights. Features and gains are summed once for each distinct line; documents then add up the
    sums of their lines (a join on the line's 128-bit digest, which Spark splits where a line is
@@ -26,65 +27,124 @@ an empty table gives no rows, an empty target counts 0; extra columns are not re
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, col, documents, fresh
+from tidemark.llm.common import Scratch, col, documents, fresh, ship
+from tidemark.llm.words import SLICE_BYTES, sliced, texts_of
 from tidemark.operators.ordered import running_total
 
-#: A word's characters, and other ones but the newline, by code points.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-GAP = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]"
+#: Fixed value: a word's characters by code points, and the capitals that count as small letters.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Hash buckets of the features; percent of the documents drawn; least words of these; the seed.
 BUCKETS, PERCENT, LEAST, SEED = 10000, 25, 20, 7
 
-#: The last word before newlines, and the first one after them (seen, not taken).
-ACROSS = f"(?<!{WORD})({WORD}++){GAP}*+\\n(?:{GAP}|\\n)*+(?=({WORD}++))"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Equal rows are given out in runs of so many.
 RUN = 1 << 16
 
 
-def lowered(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-
-
 def bucket(feature: Column, buckets: int) -> Column:
     return (F.crc32(feature) % buckets).cast("int")
 
 
 def segments(text: Column) -> Column:
     """The lines of a text that have words."""
-    return F.filter(F.split(text, "\n", -1), lambda line: F.regexp_like(line, F.lit(WORD)))
-
-
-def across(df: DataFrame, text: str, name: str, buckets: int) -> DataFrame:
-    """``df`` with the buckets of the pairs of words that stand across newlines."""
-    left, right = fresh(df, "left", "right")
-    found = lambda group: F.regexp_extract_all(F.col(text), F.lit(ACROSS), F.lit(group))
-    df = df.withColumn(left, found(1)).withColumn(right, found(2))
-    return df.withColumn(name, F.zip_with(left, right, lambda a, b: bucket(F.concat_ws(" ", a, b), buckets))).drop(left, right)
+    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line: F.regexp_like(line, F.lit(WORD)))
 
 
 def digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
+def skeletons(df: DataFrame, text: Column, buckets: int) -> DataFrame:
+    """``df`` with the digests of its lines, and the buckets of the pairs of words across them."""
+    lines, first, last = fresh(df, "lines", "first", "last")
+    word = lambda line: F.translate(F.regexp_extract(line, f"{WORD}+", 0), UPPER, LOWER)
+    df = df.withColumn(lines, segments(text))
+    df = df.withColumn(first, F.transform(lines, word)).withColumn(last, F.transform(lines, lambda line: F.reverse(word(F.reverse(line)))))
+    ends = F.slice(last, F.lit(1), F.greatest(F.size(last) - 1, F.lit(0)))
+    pairs = F.zip_with(ends, F.slice(first, F.lit(2), F.size(first)), lambda a, b: bucket(F.concat_ws(" ", a, b), buckets))
+    return df.withColumn("lines", F.transform(lines, digest)).withColumn("pairs", pairs).drop(lines, first, last)
+
+
+# ---- features of many lines at once ------------------------------------------------------------
+
+# Bytes to what they count as: letters to small ones, all that is in no word to spaces.
+_AS = np.full(256, 32, np.uint8)
+_AS[48:58], _AS[97:123], _AS[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
+_AS[65:91] = np.arange(97, 123)
+#: The checksum of each byte after a checksum of zeros, by its rule (reflected polynomial).
+_TABLE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _TABLE = np.where(_TABLE & 1, _TABLE >> 1 ^ np.uint32(0xEDB88320), _TABLE >> 1).astype(np.uint32)
+#: Longer words are summed one by one.
+LONG = 48
+
+
+def checksums(data: np.ndarray, start: np.ndarray, size: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    """crc32 of data[start : start + size], each going on from the checksum ``ahead``."""
+    order = np.argsort(-size, kind="stable")
+    at, left = start[order], size[order]
+    state = ~ahead[order]
+    some = int(np.searchsorted(-left, -LONG, "left"))  # the ones over LONG stand first
+    now, at = state[some:], at[some:]
+    for j in range(int(left[some]) if some < len(left) else 0):
+        k = int(np.searchsorted(-left[some:], -j, "left"))
+        now[:k] = _TABLE[(now[:k] ^ data[at[:k] + j]) & 255] ^ now[:k] >> 8
+    out = np.empty(len(order), np.uint32)
+    out[order] = ~state
+    for i in order[:some]:
+        out[i] = zlib.crc32(data[start[i] : start[i] + size[i]], int(ahead[i]))
+    return out
+
+
+def features(data: np.ndarray, bounds: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words and pairs of neighbours in lines that begin and end at ``bounds``,
+    line by line, and how many each line has."""
+    data = _AS[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    word = data != 32
+    start = np.flatnonzero(word & (np.append(True, ~word[:-1]) | edge[:-1]))
+    end = np.flatnonzero(word & (np.append(~word[1:], True) | edge[1:])) + 1
+    line = np.searchsorted(bounds, start, "right") - 1
+    one = checksums(data, start, end - start, np.zeros(len(start), np.uint32))
+    pair = np.flatnonzero(line[1:] == line[:-1])
+    space = ~(_TABLE[(~one[pair] ^ 32) & 255] ^ ~one[pair] >> 8)
+    two = checksums(data, start[pair + 1], (end - start)[pair + 1], space)
+    of = np.concatenate([line, line[pair]])
+    order = np.argsort(of, kind="stable")
+    return (np.concatenate([one, two]) % buckets)[order].astype(np.int32), np.bincount(of, minlength=len(bounds) - 1)
+
+
+def _features(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, at = texts_of(batch.column(2))
+        for i, j in sliced(at, SLICE_BYTES):
+            found, many = features(data[at[i] : at[j]], at[i : j + 1] - at[i], buckets)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32()), pa.array(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], lists], names=["line", "times", "buckets"])
+
+
 def lines_of(texts: DataFrame, buckets: int) -> DataFrame:
-    """Distinct lines of ``texts`` (a column ``text``, lowered): digest, occurrences, buckets of
-    all their features, repeats included."""
+    """Distinct lines of ``texts`` (a column ``text``): digest, occurrences, buckets of all their
+    features, repeats included."""
+    ship(texts.sparkSession)
     lines = texts.select(F.explode(segments(F.col("text"))).alias("line")).groupBy("line").agg(F.count("*").alias("times"))
-    words = lines.select("times", digest(F.col("line")).alias("line"), F.regexp_extract_all("line", F.lit(f"{WORD}+"), F.lit(0)).alias("w"))
-    single = F.transform("w", lambda w: bucket(w, buckets))
-    double = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w")),
-                        lambda a, b: bucket(F.concat_ws(" ", a, b), buckets))
-    return words.select("line", "times", F.concat(single, double).alias("buckets"))
+    return (lines.select(digest(F.col("line")).alias("digest"), "times", "line")
+            .mapInArrow(lambda rows: _features(rows, buckets), "line binary, times bigint, buckets array<int>"))
 
 
-def counts(lines: DataFrame, texts: DataFrame, buckets: int) -> DataFrame:
+def counts(lines: DataFrame, skeleton: DataFrame) -> DataFrame:
     """(bucket, n) over all texts: lines times their occurrences, and pairs across lines."""
     inside = lines.select("times", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.sum("times").alias("n"))
-    between = across(texts, "text", "pairs", buckets).select(F.explode("pairs").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    between = skeleton.select(F.explode("pairs").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
     return inside.union(between).groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -119,16 +179,17 @@ def importance(df: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: s
     drawn: how many of its copies are among the draw."""
     spark = df.sparkSession
     scratch = Scratch(spark, "resample")
-    texts = df.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("hash"), lowered(col(text)).alias("text"))
+    texts = df.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("hash"), col(text).alias("text"))
     lines = scratch.save(lines_of(texts, buckets))
-    wanted = target.select(lowered(col(target_text)).alias("text"))
-    table = gains(counts(lines, texts, buckets), counts(lines_of(wanted, buckets), wanted, buckets), buckets)
+    skeleton = scratch.save(skeletons(texts, F.col("text"), buckets).drop("text"))
+    wanted = target.select(col(target_text).alias("text"))
+    table = gains(counts(lines, skeleton), counts(lines_of(wanted, buckets), skeletons(wanted, F.col("text"), buckets)), buckets)
 
     known = scratch.save(lines.select("line", F.size("buckets").alias("f"), gained("buckets", table).alias("g")))
     scratch.drop(lines)
-    inside = (texts.select("doc_id", "hash", F.explode(segments(F.col("text"))).alias("line")).select("doc_id", "hash", digest(F.col("line")).alias("line"))
-              .join(known, "line").select("doc_id", "hash", "f", "g", F.lit(0).alias("copies")))
-    between = across(texts, "text", "pairs", buckets).select("doc_id", "hash", F.size("pairs").alias("f"), gained("pairs", table).alias("g"), F.lit(1).alias("copies"))
+    inside = (skeleton.select("doc_id", "hash", F.explode("lines").alias("line")).join(known, "line")
+              .select("doc_id", "hash", "f", "g", F.lit(0).alias("copies")))
+    between = skeleton.select("doc_id", "hash", F.size("pairs").alias("f"), gained("pairs", table).alias("g"), F.lit(1).alias("copies"))
     summed = inside.union(between).groupBy("doc_id", "hash").agg(F.sum("f").alias("f"), F.sum("g").alias("g"), F.sum("copies").alias("copies"))
     weight = F.when(F.col("f") > 0, F.expr("(g - pmod(g, f)) div f")).otherwise(0)
     each = summed.select("doc_id", "hash", "copies", F.expr("f div copies").alias("f"), F.expr("g div copies").alias("g"))
