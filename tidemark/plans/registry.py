@@ -224,7 +224,7 @@ from tidemark.operators import dedup, observe, quality  # noqa: E402
 from tidemark.sources import lifecycle  # noqa: E402
 from tidemark.sources.upsert import latest_per_key  # noqa: E402
 
-TIER_BOUNDARY = "20240115"   # days before it are in the cold tier
+REPLAYED_DAY = "20240115"
 RETENTION_TODAY = "20240130"
 PURGED_CUSTOMER = "CUS-00000007"
 
@@ -255,7 +255,7 @@ def _(t):
 @register("dedup_orders")
 def _(t):
     """X11: the log plus a re-delivered day (at-least-once replay), de-duplicated by order_id."""
-    replay = t.raw.where(F.col("event_day") == TIER_BOUNDARY)
+    replay = t.raw.where(F.col("event_day") == REPLAYED_DAY)
     return dedup.dedup_orders(t.raw.unionByName(replay), ["order_id"])
 
 
@@ -287,37 +287,12 @@ def _(t): return quality.mask_pii(t.enriched)
 
 # --- lifecycle ------------------------------------------------------------------------------
 
-def _tiers(df, day_col="event_day"):
-    """Hot and cold tiers as they stand during a copy: the boundary day is in both."""
-    return (df.where(F.col(day_col) >= TIER_BOUNDARY), df.where(F.col(day_col) <= TIER_BOUNDARY))
-
-
 @register("retention_keep")
 def _(t):
     return (lifecycle.retained(t.raw, RETENTION_TODAY, rules.RETENTION_DAYS)
             .groupBy("event_day").agg(F.count(F.lit(1)).alias("row_count")))
 
 
-@register("union_read")
-def _(t):
-    """Revenue by category over hot + cold orders_enriched."""
-    hot, cold = _tiers(t.enriched)
-    return (lifecycle.union_read(hot, cold, TIER_BOUNDARY).groupBy("category")
-            .agg(F.count(F.lit(1)).alias("total_orders"), an.money_sum().alias("total_revenue")))
-
-
-@register("cold_read")
-def _(t):
-    _, cold = _tiers(t.raw)
-    return lifecycle.cold_read(cold, TIER_BOUNDARY)
-
-
-@register("cold_trend")
-def _(t):
-    _, cold = _tiers(t.revenue_5min, "window_day")
-    return an.oldest_windows(lifecycle.cold_read(cold, TIER_BOUNDARY, "window_day"), 100)
-
-
 @register("purge_keep")
 def _(t): return lifecycle.purge(t.enriched, "customer_id", PURGED_CUSTOMER)
 
@@ -379,9 +354,13 @@ def _(t):
     return observe.validate_run(counts, span)
 
 
-# --- streaming jobs drained with availableNow -----------------------------------------------
+# --- stored tiers, streaming jobs drained with availableNow ---------------------------------
+
+from tidemark.plans import streams, tiers  # noqa: E402
 
-from tidemark.plans import streams  # noqa: E402
+register("union_read")(tiers.union_read)
+register("cold_read")(tiers.cold_read)
+register("cold_trend")(tiers.cold_trend)
 
 register("stream_revenue_5min")(streams.stream_revenue_5min)
 register("stream_city_revenue_5min")(streams.stream_city_revenue_5min)

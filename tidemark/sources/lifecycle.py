@@ -137,12 +137,22 @@ def _data_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f for f in fs_list(spark, folder) if not f.startswith(("_", ".")))
 
 
+def _committed(spark: SparkSession, path: str) -> set[str] | None:
+    """The files that a streaming file sink has committed to a folder; None where no sink writes
+    (then all files count). Others may be left over from tasks or batches that failed."""
+    if not fs_exists(spark, f"{path}/_spark_metadata"):
+        return None
+    names = spark.read.schema("event_time timestamp").parquet(path).inputFiles()
+    return {n.rsplit("/", 1)[1] for n in names}
+
+
 def _late_files(spark: SparkSession, hot_path: str, state: dict, below: str, day_col: str) -> dict:
     """Hot files of days below a boundary that are not in cold yet, by day."""
-    out = {}
+    out, committed = {}, _committed(spark, hot_path)
     for d in day_dirs(spark, hot_path, day_col):
         if d < below:
-            new = [f for f in _data_files(spark, f"{hot_path}/{day_col}={d}") if f not in set(state["copied"].get(d, []))]
+            copied = set(state["copied"].get(d, []))
+            new = [f for f in _data_files(spark, f"{hot_path}/{day_col}={d}") if f not in copied and (committed is None or f in committed)]
             if new:
                 out[d] = new
     return out
