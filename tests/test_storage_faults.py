@@ -212,3 +212,57 @@ def test_a_stream_may_start_on_an_empty_log(spark, scratch):
         q.stop()
     row = layout.table("orders_enriched").read_current().first()
     assert (row.order_id, row.event_day, row.customer_name, row.category) == ("O1", "20240101", "Asha", "toys")
+
+
+def test_replace_keeps_one_row_for_each_key(spark, scratch):
+    from tidemark.operators import alerts, enrich
+    dims = customers_df(spark, [("C1", "Asha", "GOLD")]), products_df(spark, [("P1", "Phone", "toys")])
+    rows = lambda *r: alerts.high_value(enrich.enrich(raw_df(spark, [raw_row(o, a, time=t) for o, a, t in r]), *dims))
+    t = UpsertTable.named(spark, scratch, "high_value_orders")
+    t.upsert(rows(("A", "20000", "2024-01-01 10:00:00"), ("B", "20000", "2024-01-01 10:00:00")))
+    t.upsert(rows(("A", "30000", "2024-01-02 10:00:00")))
+    day_one = (F.col("event_time") >= "2024-01-01") & (F.col("event_time") < "2024-01-02")
+    t.replace(day_one, rows(("A", "20000", "2024-01-01 10:00:00"), ("B", "21000", "2024-01-01 10:00:00")))
+    got = lambda: sorted((r.order_id, float(r.order_amount)) for r in t.read_current().collect())
+    assert got() == [("A", 30000.0), ("B", 21000.0)]
+    t.upsert(rows(("C", "20000", "2024-01-03 10:00:00")))
+    assert got() == [("A", 30000.0), ("B", 21000.0), ("C", 20000.0)]
+    t.replace(F.lit(False), rows(("A", "1", "2024-01-02 10:00:00"), ("A", "40000", "2024-01-02 10:00:00")))
+    assert got()[0] == ("A", 40000.0)
+
+
+def test_errors_of_a_batch_that_runs_again_after_a_restart(spark, scratch):
+    layout = jobs.Layout(spark, scratch)
+    layout.table("customer_profile").upsert(customers_df(spark, [("C1", "Asha", "GOLD")]))
+    layout.table("product_catalog").upsert(products_df(spark, [("P1", "Phone", "toys")]))
+    append_log(raw_df(spark, [raw_row("O1", "10.00", product="P9"), raw_row("O2", "10.00", customer="C9"), raw_row("O3", "10.00")]), layout.raw_path)
+    for _ in range(2):
+        q = jobs.start_enrich_and_alert(layout, trigger={"availableNow": True}, on_miss="dlq", validate_now=False)
+        q.awaitTermination()
+        for name in fs_list(spark, f"{layout.checkpoint('enrich_alert')}/commits"):
+            fs_delete(spark, f"{layout.checkpoint('enrich_alert')}/commits/{name}")     # the last batch runs again
+    assert sorted(r.original_order_id for r in spark.read.parquet(layout.errors_path).collect()) == ["O1", "O2"]
+    assert [r.order_id for r in layout.table("orders_enriched").read_current().collect()] == ["O3"]
+
+
+def test_a_null_attribute_is_no_miss(spark, scratch):
+    from tidemark.operators import enrich, quality
+    raw = raw_df(spark, [raw_row("O1", "10.00"), raw_row("O2", "10.00", product="P9"), raw_row("O3", "10.00", customer="C9", product="P9")])
+    dims = customers_df(spark, [("C1", None, "GOLD")]), products_df(spark, [("P1", None, "toys")])
+    for small in (True, False):
+        good, misses = quality.split_misses(enrich.enrich(raw, *dims, on_miss="dlq", small_customers=small, small_products=small, flags=True), "2024-01-01")
+        assert [(r.order_id, r.category) for r in good.collect()] == [("O1", "toys")] and good.columns == enrich.ENRICHED_COLUMNS
+        assert sorted((r.original_order_id, r.error_type) for r in misses.collect()) == [("O2", "UNKNOWN_PRODUCT"), ("O3", "UNKNOWN_CUSTOMER_AND_PRODUCT")]
+    rate = quality.join_miss_rate(enrich.enrich(raw, *dims, flags=True)).first()
+    assert (rate.customer_misses, rate.product_misses, rate.any_misses) == (1, 2, 2)
+
+
+def test_run_checks_count_the_stored_tables(spark):
+    from conftest import SF_SMALL
+    from tidemark.plans import streams
+    from tidemark.plans.frames import Tables
+    tables = streams.stored_orders(Tables(spark, SF_SMALL))
+    passed = {r.check_name: r.passed for r in streams.run_checks(tables).collect()}
+    assert passed["enriched_ratio"]
+    lost = {**tables, "orders_enriched": tables["orders_enriched"].where("not endswith(order_id, '7')")}
+    assert not {r.check_name: r.passed for r in streams.run_checks(lost).collect()}["enriched_ratio"]

@@ -87,20 +87,25 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def order_tables(enriched: DataFrame) -> DataFrame:
-    """Rows (table_name, row_count, newest event_time) of the log and of the tables that are
-    filters of the enriched orders, by one conditional aggregate over one scan."""
+def newest_rows(tables: dict[str, DataFrame], time_col: str = "event_time") -> DataFrame:
+    """Rows (table_name, row_count, newest time), each from a scan of its own table."""
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count"), F.max(time_col).alias("newest")).select(F.lit(name).alias("table_name"), "row_count", "newest")
+             for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def alert_counts(enriched: DataFrame) -> DataFrame:
+    """Rows (table_name, row_count) of the alert tables, which are filters of the enriched
+    orders, by one conditional aggregate over one scan."""
     from tidemark.functions import rules
     from tidemark.functions.exprs import any_match
-    member = {"orders_raw": F.lit(True), "orders_enriched": F.lit(True),
-              "high_value_orders": F.col("order_amount") >= rules.HIGH_VALUE_THRESHOLD,
+    member = {"high_value_orders": F.col("order_amount") >= rules.HIGH_VALUE_THRESHOLD,
               "suspicious_orders": any_match(rules.SUSPICIOUS_RULES)}
-    row = enriched.agg(*[x for name, cond in member.items() for x in (
-        F.count(F.when(cond, 1)).alias(f"{name}_n"),
-        F.max(F.when(cond, F.col("event_time"))).alias(f"{name}_t"))])
-    return row.select(F.inline(F.array(*[F.struct(
-        F.lit(name).alias("table_name"), F.col(f"{name}_n").alias("row_count"), F.col(f"{name}_t").alias("newest"))
-        for name in member])))
+    row = enriched.agg(*[F.count(F.when(cond, 1)).alias(name) for name, cond in member.items()])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(name).alias("table_name"), F.col(name).alias("row_count")) for name in member])))
 
 
 def rollup_windows(windows_df: DataFrame, key: str) -> DataFrame:

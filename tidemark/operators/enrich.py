@@ -20,6 +20,7 @@ DEFAULT_BROADCAST_ROWS = 500_000   # narrow projections (<= 4 short strings): we
 CUSTOMER_COLS = ["customer_name", "loyalty_tier"]
 PRODUCT_COLS = ["product_name", "brand", "category"]
 UNKNOWN = "UNKNOWN"
+FOUND_COLUMNS = ["_customer_found", "_product_found"]
 
 ENRICHED_COLUMNS = ["event_day", "order_id", "customer_id", "customer_name", "loyalty_tier",
                     "product_id", "product_name", "brand", "category", "city", "order_amount",
@@ -73,34 +74,41 @@ def written(dim: DataFrame) -> DataFrame:
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, columns: list[str],
-           small: bool | None = None, unique: bool = False) -> DataFrame:
+           small: bool | None = None, unique: bool = False, found: str | None = None) -> DataFrame:
     """LEFT JOIN facts to the latest dimension version on ``key`` (one dim row per key).
-    ``unique=True``: the caller already holds one row per key (e.g. a cached folded view)."""
+    ``unique=True``: the caller already holds one row per key (e.g. a cached folded view).
+    ``found``: a column that tells whether the dimension has the key (its attributes may be
+    NULL all the same)."""
     side = dim.select(key, *columns) if unique else one_per_key(dim, key, columns)
     if small is None:
         small = fits_broadcast(side)
     if not small and not unique:
         side = written(side)
+    if found:
+        out = facts.join(bounded_broadcast(side.withColumn(found, F.lit(True)), small), on=key, how="left")
+        return out.withColumn(found, F.coalesce(F.col(found), F.lit(False)))
     return facts.join(bounded_broadcast(side, small), on=key, how="left")
 
 
 def enrich(orders: DataFrame, customers: DataFrame, products: DataFrame,
            on_miss: str = "null", small_customers: bool | None = None,
-           small_products: bool | None = None, unique_dims: bool = False) -> DataFrame:
+           small_products: bool | None = None, unique_dims: bool = False, flags: bool = False) -> DataFrame:
     """orders_raw -> orders_enriched (17 columns; the city is the order's, not the customer's).
 
     on_miss: "null" keeps NULL attributes (reference code), "unknown" writes "UNKNOWN"
-    (documented data-quality rule). Rows for the dead-letter table: ``operators.quality``.
+    (documented data-quality rule). Rows for the dead-letter table: ``operators.quality``, which
+    needs ``flags``: two more columns that tell which lookups found a row.
     """
-    out = lookup(orders, customers, "customer_id", CUSTOMER_COLS, small_customers, unique_dims)
-    out = lookup(out, products, "product_id", PRODUCT_COLS, small_products, unique_dims)
+    flagged = FOUND_COLUMNS if flags else [None, None]
+    out = lookup(orders, customers, "customer_id", CUSTOMER_COLS, small_customers, unique_dims, flagged[0])
+    out = lookup(out, products, "product_id", PRODUCT_COLS, small_products, unique_dims, flagged[1])
     if on_miss == "unknown":
         for c in CUSTOMER_COLS + PRODUCT_COLS:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(UNKNOWN)))
     elif on_miss not in ("null", "dlq"):
         raise ValueError(f"on_miss must be 'null', 'unknown' or 'dlq', got {on_miss!r}")
-    # "dlq": callers split the NULL-attribute rows off with quality.split_misses
-    return out.select(*ENRICHED_COLUMNS)
+    # "dlq": callers split the rows without a match off with quality.split_misses
+    return out.select(*ENRICHED_COLUMNS, *(FOUND_COLUMNS if flags else []))
 
 
 def unknown_keys(facts: DataFrame, dim: DataFrame, key: str, small: bool | None = None) -> DataFrame:

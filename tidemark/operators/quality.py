@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import rules
+from tidemark.operators.enrich import FOUND_COLUMNS
 from tidemark.operators.ingest import RAW_COLUMNS
 
 
@@ -74,9 +75,13 @@ def validate(df: DataFrame, now, max_age: str = rules.MAX_EVENT_AGE):
 
 
 def join_miss_rate(enriched: DataFrame) -> DataFrame:
-    """Q8: share of orders whose customer or product lookup returned nothing."""
-    cmiss = F.col("customer_name").isNull()
-    pmiss = F.col("product_name").isNull()
+    """Q8: share of orders whose customer or product lookup returned nothing, by the flags of
+    ``enrich(flags=True)``: an attribute that is NULL in the dimension is no miss. Stored rows
+    have no flags; there a NULL name counts as a miss."""
+    if set(FOUND_COLUMNS) <= set(enriched.columns):
+        cmiss, pmiss = (~F.col(c) for c in FOUND_COLUMNS)
+    else:
+        cmiss, pmiss = F.col("customer_name").isNull(), F.col("product_name").isNull()
     agg = enriched.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum(F.when(cmiss, 1).otherwise(0)).cast("long").alias("customer_misses"),
@@ -160,13 +165,13 @@ def mask_pii(df: DataFrame, hash_cols=("customer_id",), name_cols=("customer_nam
 
 
 def split_misses(enriched: DataFrame, failed_at):
-    """C14 on_miss="dlq": (rows with both lookups found, error_events rows for the misses)."""
-    miss = F.col("customer_name").isNull() | F.col("product_name").isNull()
-    kind = F.when(F.col("customer_name").isNull() & F.col("product_name").isNull(), "UNKNOWN_CUSTOMER_AND_PRODUCT") \
-            .when(F.col("customer_name").isNull(), "UNKNOWN_CUSTOMER").otherwise("UNKNOWN_PRODUCT")
+    """C14 on_miss="dlq", for rows of ``enrich(flags=True)``: (rows with both lookups found,
+    error_events rows for the misses)."""
+    customer, product = (F.col(c) for c in FOUND_COLUMNS)
+    kind = F.when(~customer & ~product, "UNKNOWN_CUSTOMER_AND_PRODUCT").when(~customer, "UNKNOWN_CUSTOMER").otherwise("UNKNOWN_PRODUCT")
     ts = failed_at if isinstance(failed_at, F.Column) else F.lit(failed_at).cast("timestamp_ntz")
-    misses = enriched.where(miss).select(
+    misses = enriched.where(~customer | ~product).select(
         F.col("order_id").alias("original_order_id"), kind.alias("error_type"),
         F.lit("dimension lookup found no row").alias("error_message"),
         payload(RAW_COLUMNS).alias("raw_payload"), ts.alias("failed_at"))
-    return enriched.where(~miss), misses
+    return enriched.where(customer & product).drop(*FOUND_COLUMNS), misses

@@ -51,10 +51,10 @@ class Tables:
         return self._small("customers", self.customers.select("customer_id", "customer_name",
                                                               "loyalty_tier"))
 
-    def enriched_with(self, on_miss: str = "null") -> DataFrame:
+    def enriched_with(self, on_miss: str = "null", flags: bool = False) -> DataFrame:
         return enrich.enrich(self.raw, self.customers, self.products, on_miss=on_miss,
                              small_customers=self.small_customers,
-                             small_products=self.small_products)
+                             small_products=self.small_products, flags=flags)
 
     @cached_property
     def enriched(self) -> DataFrame:

@@ -312,6 +312,24 @@ SAMPLES = """
   FROM orders_raw)
 """
 
+FAILED_RATE_ALERTS = f"""
+, pw AS (SELECT window_start, window_end,
+                CAST(SUM(failed_payments) AS DOUBLE) / CAST(SUM(total_orders) AS DOUBLE) AS failed_rate
+         FROM revenue_5min GROUP BY 1, 2)
+SELECT a.window_start, a.window_end, a.failed_rate FROM pw a
+JOIN pw b ON b.window_start = a.window_start - INTERVAL '5 minutes'
+WHERE a.failed_rate > {rules.FAILED_RATE_ALERT} AND b.failed_rate > {rules.FAILED_RATE_ALERT}"""
+
+SPIKE_ALERTS = f"""
+, c AS (SELECT {bucket('5 minutes')} AS window_start, {bucket('5 minutes')} + INTERVAL '5 minutes' AS window_end,
+               COUNT(*) AS alerts FROM suspicious_orders GROUP BY 1, 2),
+b AS (SELECT c.window_start, CAST(SUM(p.alerts) AS DOUBLE) / CAST({rules.SPIKE_BASELINE_WINDOWS} AS DOUBLE) AS baseline
+      FROM c JOIN c p ON p.window_start >= c.window_start - INTERVAL '{5 * rules.SPIKE_BASELINE_WINDOWS} minutes'
+                     AND p.window_start < c.window_start
+      GROUP BY 1)
+SELECT c.window_start, c.window_end, c.alerts, b.baseline FROM c JOIN b ON c.window_start = b.window_start
+WHERE b.baseline > 0 AND c.alerts > {rules.SPIKE_FACTOR} * b.baseline"""
+
 _KEYS_VALUES = ", ".join(f"('{k}')" for k in [*rules.KPI_KEYS, "high_value_alerts", "suspicious_alerts"])
 LATEST_KPIS = """
 , latest_kpis AS (
@@ -382,22 +400,8 @@ SELECT * FROM revenue_5min WHERE window_day < '20240115'
 ORDER BY window_start, category ASC NULLS FIRST LIMIT 100"""),
     "purge_keep": _q("SELECT * FROM orders_enriched WHERE customer_id IS DISTINCT FROM 'CUS-00000007'"),
     "export_month": _q("SELECT * FROM revenue_5min WHERE strftime(window_start, '%Y-%m') = '2024-01'"),
-    "alert_failed_rate": _q(f"""
-, pw AS (SELECT window_start, window_end,
-                CAST(SUM(failed_payments) AS DOUBLE) / CAST(SUM(total_orders) AS DOUBLE) AS failed_rate
-         FROM revenue_5min GROUP BY 1, 2)
-SELECT a.window_start, a.window_end, a.failed_rate FROM pw a
-JOIN pw b ON b.window_start = a.window_start - INTERVAL '5 minutes'
-WHERE a.failed_rate > {rules.FAILED_RATE_ALERT} AND b.failed_rate > {rules.FAILED_RATE_ALERT}"""),
-    "alert_spike": _q(f"""
-, c AS (SELECT {bucket('5 minutes')} AS window_start, {bucket('5 minutes')} + INTERVAL '5 minutes' AS window_end,
-               COUNT(*) AS alerts FROM suspicious_orders GROUP BY 1, 2),
-b AS (SELECT c.window_start, CAST(SUM(p.alerts) AS DOUBLE) / CAST({rules.SPIKE_BASELINE_WINDOWS} AS DOUBLE) AS baseline
-      FROM c JOIN c p ON p.window_start >= c.window_start - INTERVAL '{5 * rules.SPIKE_BASELINE_WINDOWS} minutes'
-                     AND p.window_start < c.window_start
-      GROUP BY 1)
-SELECT c.window_start, c.window_end, c.alerts, b.baseline FROM c JOIN b ON c.window_start = b.window_start
-WHERE b.baseline > 0 AND c.alerts > {rules.SPIKE_FACTOR} * b.baseline"""),
+    "alert_failed_rate": _q(FAILED_RATE_ALERTS),
+    "alert_spike": _q(SPIKE_ALERTS),
     "input_rate": _q(f"""
 SELECT {bucket('1 minute')} AS window_start, {bucket('1 minute')} + INTERVAL '1 minute' AS window_end,
        COUNT(*) AS events, CAST(COUNT(*) AS DOUBLE) / 60.0 AS events_per_second
@@ -472,3 +476,21 @@ SELECT 'suspicious', order_id, customer_id, order_amount, city, event_time, reas
 SELECT k.* FROM closed k JOIN (SELECT metric_key, MAX(updated_at) AS m FROM closed GROUP BY 1) x
 ON k.metric_key = x.metric_key AND k.updated_at = x.m"""),
 })
+
+# --- chained windows: the wide or sliding window has to be closed -----------------------------
+
+ORACLE.update({
+    "stream_city_rollup": _q(f"""
+SELECT {bucket('1 hour', 'window_start')} AS window_start, {bucket('1 hour', 'window_start')} + INTERVAL '1 hour' AS window_end, city,
+       CAST(SUM(total_revenue) AS DECIMAL(20,2)) AS revenue, CAST(SUM(total_orders) AS BIGINT) AS orders, COUNT(*) AS windows
+FROM city_revenue_5min WHERE {bucket('1 hour', 'window_start')} + INTERVAL '1 hour' <= {CLOSED} GROUP BY 1, 2, 3"""),
+    "stream_alert_rate": _q(f"""
+, narrow AS (
+  SELECT {bucket('1 minute')} AS m, 'high_value_orders' AS alert_type, COUNT(*) AS n FROM high_value_orders GROUP BY 1
+  UNION ALL SELECT {bucket('1 minute')}, 'suspicious_orders', COUNT(*) FROM suspicious_orders GROUP BY 1)
+SELECT {bucket('5 minutes', 'm')} AS window_start, {bucket('5 minutes', 'm')} + INTERVAL '5 minutes' AS window_end, alert_type,
+       CAST(SUM(n) AS BIGINT) AS alerts, MAX(n) AS most
+FROM narrow WHERE {bucket('5 minutes', 'm')} + INTERVAL '5 minutes' <= {CLOSED} GROUP BY 1, 2, 3"""),
+    "stream_failed_rate_alerts": _q(f"{FAILED_RATE_ALERTS} AND a.window_end <= {CLOSED}"),
+    "stream_spike_alerts": _q(f"{SPIKE_ALERTS} AND c.window_end <= {CLOSED}"),
+})

@@ -131,12 +131,6 @@ def _(t): return an.inventory_board(t.products, 50)
 def _(t): return an.customer_history(t.enriched, 20)
 
 
-@register("table_counts")
-def _(t):
-    return an.order_tables(t.enriched).select("table_name", "row_count").unionByName(
-        an.table_counts({"customer_profile": t.customers, "product_catalog": t.products}))
-
-
 @register("category_rollup")
 def _(t): return an.rollup_windows(t.revenue_5min, "category")
 
@@ -240,7 +234,7 @@ def _(t):
     """Dashboard tiles; a missing metric shows 0.0."""
     latest = latest_per_key(t.kpis_1min, ["metric_key"], ["updated_at"]) \
         .select("metric_key", "metric_value")
-    counts = an.order_tables(t.enriched).where("table_name in ('high_value_orders', 'suspicious_orders')").select(
+    counts = an.alert_counts(t.enriched).select(
         F.regexp_replace("table_name", "_orders$", "_alerts").alias("metric_key"),
         F.col("row_count").cast("double").alias("metric_value"))
     keys = [*rules.KPI_KEYS, "high_value_alerts", "suspicious_alerts"]
@@ -274,7 +268,7 @@ def _(t): return quality.rejection_rate(quality.tag_errors(t.raw, NOW))
 
 
 @register("join_miss_rate")
-def _(t): return quality.join_miss_rate(t.enriched)
+def _(t): return quality.join_miss_rate(t.enriched_with(flags=True))
 
 
 @register("invariants")
@@ -315,11 +309,6 @@ def _(t): return observe.alert_spike(t.suspicious)
 def _(t): return observe.input_rate(t.raw, "1 minute")
 
 
-@register("lag_seconds")
-def _(t):
-    return observe.lag_of(an.order_tables(t.enriched), NOW)
-
-
 @register("freshness_seconds")
 def _(t):
     return observe.freshness_seconds({"revenue_5min": t.revenue_5min,
@@ -346,18 +335,13 @@ def _(t):
     return observe.burn_rate(samples, name, objective, fast, slow)
 
 
-@register("validate_run")
-def _(t):
-    counts = an.order_tables(t.enriched).select("table_name", "row_count")
-    span = t.raw.agg(observe.seconds_between(F.min("event_time"), F.max("event_time"))
-                     .alias("seconds"))
-    return observe.validate_run(counts, span)
-
-
 # --- stored tiers, streaming jobs drained with availableNow ---------------------------------
 
 from tidemark.plans import streams, tiers  # noqa: E402
 
+register("table_counts")(streams.table_counts)
+register("lag_seconds")(lambda t: streams.lag_seconds(t, NOW))
+register("validate_run")(streams.validate_run)
 register("union_read")(tiers.union_read)
 register("cold_read")(tiers.cold_read)
 register("cold_trend")(tiers.cold_trend)
@@ -366,6 +350,8 @@ register("stream_revenue_5min")(streams.stream_revenue_5min)
 register("stream_city_revenue_5min")(streams.stream_city_revenue_5min)
 register("stream_alerts")(streams.stream_alerts)
 register("stream_kpis")(streams.stream_kpis)
+for _name in streams.jobs.CHAINED:
+    register(f"stream_{_name}")(lambda t, name=_name: streams.stream_chained(t, name))
 register("stream_slo_report")(streams.stream_slo_report)
 register("stream_burn_rate")(streams.stream_burn_rate)
 MEASURED.update(("stream_slo_report", "stream_burn_rate"))

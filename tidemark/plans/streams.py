@@ -16,7 +16,7 @@ from tidemark.functions import rules
 from tidemark.operators import analytics as an, observe
 from tidemark.plans.frames import Tables
 from tidemark.session import scratch_dir
-from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log
+from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log, read_log
 from tidemark.streaming import jobs, telemetry
 
 
@@ -68,12 +68,50 @@ def stream_alerts(t: Tables) -> DataFrame:
     return _ntz(out)
 
 
+ORDER_TABLES = ["orders_raw", "orders_enriched", "high_value_orders", "suspicious_orders"]
+
+
+def stored_orders(t: Tables) -> dict[str, DataFrame]:
+    """The log and the tables that the enrichment job has stored from it."""
+    layout = _layout(t)
+    _drain(jobs.start_enrich_and_alert(layout, trigger={"availableNow": True}))
+    log = read_log(t.spark, layout.raw_path)
+    return {name: log if name == "orders_raw" else layout.table(name).read_current() for name in ORDER_TABLES}
+
+
+def table_counts(t: Tables) -> DataFrame:
+    """Rows of each stored table, counted by itself."""
+    return an.table_counts({**stored_orders(t), "customer_profile": t.customers, "product_catalog": t.products})
+
+
+def lag_seconds(t: Tables, now: str) -> DataFrame:
+    """O1: lag of each stored table."""
+    return observe.lag_of(an.newest_rows(stored_orders(t)), now)
+
+
+def validate_run(t: Tables) -> DataFrame:
+    """Checks of a load run, from the rows of the stored tables."""
+    return run_checks(stored_orders(t))
+
+
+def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    span = tables["orders_raw"].agg(observe.seconds_between(F.min("event_time").cast("timestamp_ntz"), F.max("event_time").cast("timestamp_ntz")).alias("seconds"))
+    return observe.validate_run(an.table_counts(tables), span)
+
+
 def stream_kpis(t: Tables) -> DataFrame:
     layout = _layout(t, customers=False, products=False)
     _drain(jobs.start_kpis(layout, trigger={"availableNow": True}))
     return _ntz(layout.table("dashboard_kpis").read_current())
 
 
+def stream_chained(t: Tables, name: str) -> DataFrame:
+    """Windows over windows, drained from the log by one query."""
+    layout = _layout(t, customers=False, products=False)
+    _drain(jobs.start_chained(layout, name, trigger={"availableNow": True}))
+    return _ntz(jobs.read_emitted(layout, name))
+
+
 def measured(t: Tables, slices: int = 4) -> jobs.Layout:
     """A deployment that the given orders were replayed through while its jobs ran: enrichment,
     windows and timed dashboard reads, with their progress stored."""

@@ -345,17 +345,22 @@ class UpsertTable:
 
     def replace(self, outdated, rows: DataFrame | None = None) -> int:
         """Rows of the current view that meet the condition ``outdated`` go, ``rows`` come, as a
-        new snapshot version; with an upsert nothing could be taken away. Run it while the
-        table's writers are stopped."""
+        new snapshot version; with an upsert nothing could be taken away. Where a key of ``rows``
+        is among the kept rows, too, the newest version stays (the given one among equally new
+        ones). Run it while the table's writers are stopped."""
         ptr = self.pointer()
         batches = self._batches(tuple(ptr["folded"]))
         upto = max([tuple(ptr["folded"]), *[b for b, done in batches if done]])
         kept = self._merge(ptr).where(~F.coalesce(outdated, F.lit(False)))
         if rows is not None:
             rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-            tied = rows.withColumn("_tie", F.xxhash64(*rows.columns))
-            order = [*self.order_by, *self.within_batch, "_tie"]
-            kept = kept.unionByName(latest_per_key(tied, self.keys, order).select(*rows.columns))
+            from tidemark.operators.enrich import bounded_broadcast
+            keys = bounded_broadcast(rows.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct())
+            same = [kept[k].eqNullSafe(keys[f"_k_{k}"]) for k in self.keys]
+            known = kept.join(keys, same, "left_semi").withColumn("_given", F.lit(0)).unionByName(rows.withColumn("_given", F.lit(1)))
+            tied = known.withColumn("_tie", F.xxhash64(*rows.columns))
+            order = [*self.order_by, *self.within_batch, "_given", "_tie"]
+            kept = kept.join(keys, same, "left_anti").unionByName(latest_per_key(tied, self.keys, order).select(*rows.columns))
         version = ptr["version"] + 1
         w = kept.write.mode("overwrite")
         if self.partition:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +25,15 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import rules
-from tidemark.operators import alerts, dedup, enrich, quality, windows
+from tidemark.operators import alerts, chained, dedup, enrich, quality, windows
 from tidemark.operators.ingest import to_orders_raw
 from tidemark.sources.log import append_log, read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
 from tidemark.streaming.telemetry import ProgressRecorder, observed
 
 WATERMARK = "5 seconds"
-JOBS = ("enrich_alert", "revenue_5min", "city_revenue_5min", "dashboard_kpis")
+JOBS = ("enrich_alert", "revenue_5min", "city_revenue_5min", "dashboard_kpis",
+        "city_rollup", "alert_rate", "failed_rate_alerts", "spike_alerts")
 
 
 @dataclass
@@ -113,6 +115,22 @@ def stream_epoch(table: UpsertTable, checkpoint: str) -> int:
     return epoch
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """What tells a checkpoint from another one in its place: batch ids start again with it."""
+    marker = f"{checkpoint}/tidemark_id"
+    known = fs_read_text(spark, marker)
+    if not known:
+        known = uuid.uuid4().hex[:12]
+        fs_write_text(spark, marker, known)
+    return known
+
+
+def write_errors(layout: Layout, rows: DataFrame, source: str, batch_id: int, kind: str) -> None:
+    """Dead letters of a batch, in its own folder: a batch that is run again, also by a later
+    start of the query, replaces what it wrote."""
+    rows.write.mode("overwrite").parquet(f"{layout.errors_path}/source={source}/batch_id={batch_id}/kind={kind}")
+
+
 def epochs_of(table: UpsertTable, checkpoint: str) -> list[int]:
     text = fs_read_text(table.spark, f"{checkpoint}.epochs.json")
     return (json.loads(text) if text else {}).get(table.root, [])
@@ -169,6 +187,7 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     names = ["orders_enriched", "high_value_orders", "suspicious_orders"]
     tables = {n: layout.table(n) for n in names}
     epochs = {n: stream_epoch(t, ckpt) for n, t in tables.items()}
+    source = checkpoint_id(layout.spark, ckpt)
     customers = DimensionCache(layout.table("customer_profile"),
                                ["customer_id", *enrich.CUSTOMER_COLS])
     products = DimensionCache(layout.table("product_catalog"), ["product_id", *enrich.PRODUCT_COLS])
@@ -182,20 +201,17 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
         if validate_now:   # the batch feeds two outputs: read it once
             batch = batch.persist()
             tagged = quality.tag_errors(batch, F.current_timestamp().cast("timestamp_ntz")).persist()
-            (quality.error_rows(tagged, F.current_timestamp())
-             .write.mode("overwrite").parquet(
-                 f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}/kind=validation"))
+            write_errors(layout, quality.error_rows(tagged, F.current_timestamp()), source, batch_id, "validation")
             good = quality.valid_rows(tagged)
         else:
             tagged, good = None, batch
         (cust, small_c), (prod, small_p) = customers.get(), products.get()
         cached = enrich.enrich(good, cust, prod, on_miss=on_miss, small_customers=small_c,
-                               small_products=small_p, unique_dims=True).persist()
+                               small_products=small_p, unique_dims=True, flags=on_miss == "dlq").persist()
         enriched = cached
         if on_miss == "dlq":
             enriched, misses = quality.split_misses(cached, F.current_timestamp())
-            misses.write.mode("overwrite").parquet(
-                f"{layout.errors_path}/epoch={epochs[names[0]]}/batch_id={batch_id}/kind=lookup")
+            write_errors(layout, misses, source, batch_id, "lookup")
         tables["orders_enriched"].write_batch(enriched, epochs["orders_enriched"], batch_id)
         tables["high_value_orders"].write_batch(alerts.high_value(enriched),
                                                 epochs["high_value_orders"], batch_id)
@@ -260,6 +276,29 @@ def start_kpis(layout: Layout, width: str = "1 minute", watermark: str = WATERMA
     return _start(observed(rows, "output", "updated_at"), process, ckpt, trigger, name=layout.query_name("dashboard_kpis"))
 
 
+CHAINED = {"city_rollup": lambda orders: chained.rollup(orders, "city"), "alert_rate": chained.alert_rate,
+           "failed_rate_alerts": chained.failed_rate_alerts, "spike_alerts": chained.spike_alerts}
+
+
+def start_chained(layout: Layout, name: str, watermark: str = WATERMARK, trigger: dict | None = None,
+                  max_files_per_trigger: int | None = None):
+    """Two chained event-time aggregates in one query; what each batch emits
+    goes to its own folder of the table ``name`` (see ``read_emitted``)."""
+    ckpt = layout.checkpoint(name)
+    source = checkpoint_id(layout.spark, ckpt)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{layout.root}/{name}/source={source}/batch_id={batch_id}")
+
+    rows = CHAINED[name](raw_stream(layout, max_files_per_trigger, watermark))
+    return _start(rows, process, ckpt, trigger, name=layout.query_name(name))
+
+
+def read_emitted(layout: Layout, name: str) -> DataFrame:
+    """The closed windows that ``start_chained`` has emitted, each once."""
+    return layout.spark.read.parquet(f"{layout.root}/{name}").drop("source", "batch_id")
+
+
 def start_all(layout: Layout, generator_rows: DataFrame | None = None,
               trigger: dict | None = None, watermark: str = WATERMARK, on_miss: str = "null",
               revenue_width: str = "5 minutes", kpi_width: str = "1 minute",
@@ -296,12 +335,11 @@ def rebuild(layout: Layout, start, end, on_miss: str = "null",
     raw = between_times(read_log(spark, layout.raw_path), start, end)
     customers = layout.table("customer_profile").read_current()
     products = layout.table("product_catalog").read_current()
-    enriched = enrich.enrich(raw, customers, products, on_miss=on_miss).persist()
+    enriched = enrich.enrich(raw, customers, products, on_miss=on_miss, flags=on_miss == "dlq").persist()
     cached = enriched
     if on_miss == "dlq":
         enriched, misses = quality.split_misses(cached, F.current_timestamp())
-        epoch = layout.table("orders_enriched").new_epoch()
-        misses.write.mode("overwrite").parquet(f"{layout.errors_path}/epoch={epoch}/batch_id=0/kind=lookup")
+        write_errors(layout, misses, f"rebuild-{layout.table('orders_enriched').new_epoch()}", 0, "lookup")
     bounds = [F.lit(str(x)).cast("timestamp") for x in (start, end)]
     within = (F.col("event_time") >= bounds[0]) & (F.col("event_time") < bounds[1])
     written = {}
