@@ -494,3 +494,10 @@ FROM narrow WHERE {bucket('5 minutes', 'm')} + INTERVAL '5 minutes' <= {CLOSED}
     "stream_failed_rate_alerts": _q(f"{FAILED_RATE_ALERTS} AND a.window_end <= {CLOSED}"),
     "stream_spike_alerts": _q(f"{SPIKE_ALERTS} AND c.window_end <= {CLOSED}"),
 })
+
+ORACLE.update({
+    "stored_lookup": ORACLE["point_lookup"],
+    "live_purge": _q("""
+SELECT event_day, COUNT(*) AS orders, COUNT(customer_id) AS with_customer
+FROM orders_raw WHERE customer_id IS DISTINCT FROM 'CUS-00000007' GROUP BY 1"""),
+})

@@ -345,6 +345,8 @@ register("validate_run")(streams.validate_run)
 register("union_read")(tiers.union_read)
 register("cold_read")(tiers.cold_read)
 register("cold_trend")(tiers.cold_trend)
+register("stored_lookup")(tiers.stored_lookup)
+register("live_purge")(tiers.live_purge)
 
 register("stream_revenue_5min")(streams.stream_revenue_5min)
 register("stream_city_revenue_5min")(streams.stream_city_revenue_5min)

@@ -16,11 +16,12 @@ from tidemark.operators import analytics as an
 from tidemark.plans.frames import Tables
 from tidemark.plans.streams import _ntz
 from tidemark.session import scratch_dir
-from tidemark.sources import lifecycle, tiering
-from tidemark.sources.log import append_log
+from tidemark.sources import keyed, lifecycle, purge, tiering
+from tidemark.sources.log import append_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable
 
 BOUNDARY = "20240115"   # days before it are tiered
+PURGED = "CUS-00000007"
 
 
 def _arrival(*columns: str) -> F.Column:
@@ -70,3 +71,25 @@ def cold_trend(t: Tables) -> DataFrame:
     table, cold = _two_tiers(t, "revenue_5min", t.revenue_5min, {"total_revenue": 0, "total_orders": 0})
     tiering.tier_table(table, cold, BOUNDARY)   # late windows and corrections
     return an.oldest_windows(_ntz(tiering.read_cold(table, cold)), 100)
+
+
+def stored_lookup(t: Tables) -> DataFrame:
+    """One order by its id, from orders_enriched stored by the key."""
+    path = f"{scratch_dir(t.spark, 'keyed')}/orders_enriched"
+    keyed.write_keyed(t.enriched, path, "order_id", buckets=16)
+    return keyed.lookup(t.spark, path, t.enriched.schema, "order_id", "ORD-0000000042")
+
+
+def live_purge(t: Tables) -> DataFrame:
+    """Orders by day after a customer was purged from a log that a stream wrote, over both
+    tiers (the purge came before a tier run; later orders of the customer are joined away)."""
+    root = scratch_dir(t.spark, "purge")
+    source, log, cold, listed = (f"{root}/{n}" for n in ("source", "log", "cold", "purged_keys"))
+    t.raw.withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(source)
+    query = start_log_writer(t.spark.readStream.schema(schemas.ORDERS_RAW).parquet(source), log, f"{root}/checkpoint")
+    query.awaitTermination()
+    purge.purge(t.spark, listed, "customer_id", [PURGED])
+    lifecycle.tier(t.spark, log, cold, schemas.ORDERS_RAW, BOUNDARY, keep=lambda rows: purge.without(rows, listed))
+    lifecycle.hot_ttl(t.spark, log, cold, keep_days=0)
+    rows = purge.without(lifecycle.read_union(t.spark, log, cold, schemas.ORDERS_RAW), listed)
+    return rows.groupBy("event_day").agg(F.count(F.lit(1)).alias("orders"), F.count("customer_id").alias("with_customer"))

@@ -166,12 +166,14 @@ def _read_files(spark: SparkSession, path: str, schema: T.StructType, files: dic
 
 
 def tier(spark: SparkSession, hot_path: str, cold_path: str, schema: T.StructType, until,
-         day_col: str = "event_day", rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> str:
+         day_col: str = "event_day", rows_per_file: int = DEFAULT_ROWS_PER_FILE,
+         keep=lambda rows: rows) -> str:
     """Copy closed days (< ``until``) from hot to cold, compacted to about
     ``rows_per_file`` rows per file. The state names the hot files that were copied, so that
     rows which arrive for a day after its copy are copied by the next run (and read from hot
     until then). Re-running after a crash is safe: the cold files of the days to be written are
-    noted first, and whatever else lies there is removed before the copy is made again."""
+    noted first, and whatever else lies there is removed before the copy is made again.
+    ``keep`` takes the rows to copy and returns those that shall be (``purge.without``)."""
     state = tier_state(spark, cold_path)
     for day, before in state["pending"].items():   # an earlier run did not finish
         for name in _data_files(spark, f"{cold_path}/{day_col}={day}"):
@@ -182,7 +184,7 @@ def tier(spark: SparkSession, hot_path: str, cold_path: str, schema: T.StructTyp
     if todo:
         state["pending"] = {d: _data_files(spark, f"{cold_path}/{day_col}={d}") for d in todo}
         fs_add_version(spark, cold_path, "_tier", json.dumps(state))
-        rows = _read_files(spark, hot_path, schema, todo, day_col)
+        rows = keep(_read_files(spark, hot_path, schema, todo, day_col))
         spread_by_day(rows, day_col, rows_per_file).write.mode("append").partitionBy(day_col).parquet(cold_path)
         for d, names in todo.items():
             state["copied"][d] = sorted({*state["copied"].get(d, []), *names})
@@ -232,7 +234,8 @@ def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
 
 
 def _swap_day(spark: SparkSession, path: str, staged: str, day: str, day_col: str) -> None:
-    """Put a day's staged folder (or nothing, if it has none) in the place of the old one."""
+    """Put a day's staged folder (or nothing, if it has none) in the place of the old one. What a
+    crash between the two renames leaves is put right by ``recover``."""
     old, new, aside = f"{path}/{day_col}={day}", f"{staged}/{day_col}={day}", f"{staged}/.old-{day}"
     fs_rename(spark, old, aside)
     if fs_exists(spark, new):
@@ -240,6 +243,21 @@ def _swap_day(spark: SparkSession, path: str, staged: str, day: str, day_col: st
     fs_delete(spark, aside)
 
 
+def recover(spark: SparkSession, path: str, day_col: str = "event_day") -> list[str]:
+    """Finish or take back day rewrites that a crash cut short: a day that was set aside and not
+    replaced gets its old folder again. Every rewriting job calls it first."""
+    restored = []
+    for name in fs_list(spark, path):
+        if name.startswith(".rewrite-"):
+            for aside in fs_list(spark, f"{path}/{name}"):
+                day = aside.removeprefix(".old-")
+                if aside.startswith(".old-") and not fs_exists(spark, f"{path}/{day_col}={day}"):
+                    fs_rename(spark, f"{path}/{name}/{aside}", f"{path}/{day_col}={day}")
+                    restored.append(day)
+            fs_delete(spark, f"{path}/{name}")
+    return sorted(restored)
+
+
 def compact_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str],
                  day_col: str = "event_day", rows_per_file: int = DEFAULT_ROWS_PER_FILE,
                  min_files: int = 5) -> list[str]:
@@ -250,6 +268,7 @@ def compact_days(spark: SparkSession, path: str, schema: T.StructType, days: lis
     files are written next to it and then take its place. The cold tier's copied files are
     those of the hot side, so compaction does not touch its state."""
     _refuse_stream_sink(spark, path)
+    recover(spark, path, day_col)
     todo = [d for d in days
             if len([f for f in fs_list(spark, f"{path}/{day_col}={d}") if f.endswith(".parquet")])
             >= min_files]
@@ -264,33 +283,52 @@ def compact_days(spark: SparkSession, path: str, schema: T.StructType, days: lis
     return todo
 
 
+def rewrite_days(spark: SparkSession, path: str, schema: T.StructType, days: list[str], keep,
+                 day_col: str = "event_day") -> None:
+    """Rewrite whole days with those of their rows that ``keep`` (frame -> frame) returns: written
+    next to them first, then put in their place; a day without rows is removed."""
+    _refuse_stream_sink(spark, path)
+    recover(spark, path, day_col)
+    if not days:
+        return
+    staged = f"{path}/.rewrite-{uuid.uuid4().hex[:12]}"
+    rows = keep(spark.read.schema(schema).parquet(path).where(F.col(day_col).isin(days)))
+    spread_by_day(rows, day_col).write.partitionBy(day_col).parquet(staged)
+    for d in days:
+        _swap_day(spark, path, staged, d, day_col)
+    fs_delete(spark, staged)
+    spark.catalog.refreshByPath(path)
+
+
 def purge_files(spark: SparkSession, path: str, schema: T.StructType, column: str, value,
                 day_col: str = "event_day") -> list[str]:
     """Rewrite only the day partitions that contain the key, found by a distributed aggregate
-    (one row per day). Their other rows are written next to them and then take their place; a
-    day without other rows is removed. Returns the days, after a check that the key is gone."""
+    (one row per day). Returns the days, after a check that the key is gone. For a log that a
+    stream writes see ``sources.purge``."""
     _refuse_stream_sink(spark, path)
+    recover(spark, path, day_col)
 
     def holding() -> list[str]:
         df = spark.read.schema(schema).parquet(path)
         return sorted(r[0] for r in df.where(F.col(column) == F.lit(value)).select(day_col).distinct().collect())
 
     days = holding()
-    if not days:
-        return []
-    staged = f"{path}/.rewrite-{uuid.uuid4().hex[:12]}"
-    df = spark.read.schema(schema).parquet(path)
-    keep = purge(df.where(F.col(day_col).isin(days)), column, value)
-    spread_by_day(keep, day_col).write.partitionBy(day_col).parquet(staged)
-    for d in days:
-        _swap_day(spark, path, staged, d, day_col)
-    fs_delete(spark, staged)
-    spark.catalog.refreshByPath(path)
+    rewrite_days(spark, path, schema, days, lambda df: purge(df, column, value), day_col)
     if left := [d for d in holding() if d in days]:
         raise RuntimeError(f"rows of the purged key are left in {left}")
     return days
 
 
+def purge_cold(spark: SparkSession, path: str, schema: T.StructType, list_path: str,
+               column: str = "customer_id", day_col: str = "event_day") -> list[str]:
+    """L8 for all keys of a purge list: the cold days that hold rows of them are rewritten."""
+    from tidemark.sources import purge as lists
+    rows = spark.read.schema(schema).parquet(path)
+    days = sorted(r[0] for r in lists.remaining(rows, list_path, column, day_col).collect())
+    rewrite_days(spark, path, schema, days, lambda df: lists.without(df, list_path, column), day_col)
+    return days
+
+
 def purge_table(table: UpsertTable, column: str, value) -> int:
     """L8 on a keyed table: a new snapshot without the key's rows, and the older files removed."""
     version = table.replace(F.col(column) == F.lit(value))

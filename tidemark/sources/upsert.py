@@ -300,12 +300,17 @@ class UpsertTable:
         return (json.dumps(ptr), tuple(b for b, done in self._batches(tuple(ptr["folded"])) if done))
 
     def lookup(self, **key) -> DataFrame:
-        """Key filter applied to the merged view (pushed below the fold for key columns)."""
+        """Rows by column values. Key columns are filtered before the fold, in snapshot and
+        changelog alike, with no job ahead of the read; others after it."""
         cond = None
         for col, value in key.items():
             c = F.col(col).eqNullSafe(F.lit(value))
             cond = c if cond is None else cond & c
-        return self.read_current().where(cond)
+        if not set(key) <= set(self.keys):
+            return self.read_current().where(cond)
+        cols = self.schema.fieldNames()
+        rows = self.written().where(cond).withColumn("_tie", F.xxhash64(*cols))
+        return latest_per_key(rows, self.keys, [*self.order_by, "epoch", "batch_id", *self.within_batch, "_tie"]).select(*cols)
 
     def tail(self) -> DataFrame:
         """The changelog as a stream (at-least-once; consumers de-duplicate by key)."""

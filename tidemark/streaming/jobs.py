@@ -27,6 +27,7 @@ from tidemark import schemas
 from tidemark.functions import rules
 from tidemark.operators import alerts, chained, dedup, enrich, quality, windows
 from tidemark.operators.ingest import to_orders_raw
+from tidemark.sources import purge
 from tidemark.sources.log import append_log, read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
 from tidemark.streaming.telemetry import ProgressRecorder, observed
@@ -50,6 +51,14 @@ class Layout:
     def errors_path(self) -> str:
         return f"{self.root}/error_events"
 
+    @property
+    def purged_path(self) -> str:
+        return f"{self.root}/purged_keys"
+
+    def log(self) -> DataFrame:
+        """The log without purged customers."""
+        return purge.without(read_log(self.spark, self.raw_path), self.purged_path)
+
     def table(self, name: str) -> UpsertTable:
         return UpsertTable.named(self.spark, self.root, name)
 
@@ -193,6 +202,7 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     products = DimensionCache(layout.table("product_catalog"), ["product_id", *enrich.PRODUCT_COLS])
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        batch = purge.without(batch, layout.purged_path)
         if dedup_within:
             own = epochs_of(tables["orders_enriched"], ckpt)
             seen = tables["orders_enriched"].written().where(
@@ -332,7 +342,7 @@ def rebuild(layout: Layout, start, end, on_miss: str = "null",
     """
     from tidemark.operators.analytics import between_times
     spark = layout.spark
-    raw = between_times(read_log(spark, layout.raw_path), start, end)
+    raw = between_times(layout.log(), start, end)
     customers = layout.table("customer_profile").read_current()
     products = layout.table("product_catalog").read_current()
     enriched = enrich.enrich(raw, customers, products, on_miss=on_miss, flags=on_miss == "dlq").persist()
