@@ -501,3 +501,6 @@ ORACLE.update({
 SELECT event_day, COUNT(*) AS orders, COUNT(customer_id) AS with_customer
 FROM orders_raw WHERE customer_id IS DISTINCT FROM 'CUS-00000007' GROUP BY 1"""),
 })
+
+ORACLE["stream_late_rows"] = _q(f"""
+SELECT window_start, window_end, city, total_orders AS orders FROM city_revenue_5min WHERE window_end <= {CLOSED}""")

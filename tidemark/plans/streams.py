@@ -17,7 +17,7 @@ from tidemark.operators import analytics as an, observe
 from tidemark.plans.frames import Tables
 from tidemark.session import scratch_dir
 from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log, read_log
-from tidemark.streaming import jobs, telemetry
+from tidemark.streaming import jobs, lateness, telemetry
 
 
 def _layout(t: Tables, customers: bool = True, products: bool = True) -> jobs.Layout:
@@ -112,6 +112,25 @@ def stream_chained(t: Tables, name: str) -> DataFrame:
     return _ntz(jobs.read_emitted(layout, name))
 
 
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Orders by window and city, from the published windows and the side output of late
+    rows. Orders come in by their time, but for some, which come after all others."""
+    layout = jobs.Layout(t.spark, scratch_dir(t.spark, "late"))
+    raw = t.raw.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    late = F.pmod(F.xxhash64("order_id"), F.lit(10)) == 0
+    day = F.to_date("event_time")
+    low, high = raw.agg(F.min(day), F.max(day)).first()
+    middle = low + (high - low) / 2 if low else None
+    for part in (raw.where(~late & (day < F.lit(middle))), raw.where(~late & (day >= F.lit(middle))), raw.where(late)):
+        append_log(part, layout.raw_path)
+    _drain(jobs.start_city_revenue(layout, trigger={"availableNow": True}, max_files_per_trigger=8, side_output=True))
+    published = layout.table("city_revenue_5min").read_current().select("window_start", "window_end", "city", F.col("total_orders").alias("n"))
+    side = lateness.late_orders(t.spark, layout.root, "city_revenue_5min").select(
+        F.window("event_time", "5 minutes").alias("w"), "city").select("w.start", "w.end", "city", F.lit(1).alias("n"))
+    both = published.union(side).groupBy("window_start", "window_end", "city").agg(F.sum("n").cast("bigint").alias("orders"))
+    return _ntz(both)
+
+
 def measured(t: Tables, slices: int = 4) -> jobs.Layout:
     """A deployment that the given orders were replayed through while its jobs ran: enrichment,
     windows and timed dashboard reads, with their progress stored."""

@@ -30,6 +30,7 @@ from tidemark.operators.ingest import to_orders_raw
 from tidemark.sources import purge
 from tidemark.sources.log import append_log, read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
+from tidemark.streaming import lateness
 from tidemark.streaming.telemetry import ProgressRecorder, observed
 
 WATERMARK = "5 seconds"
@@ -236,39 +237,55 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     return _start(src, process, ckpt, trigger, name=layout.query_name("enrich_alert"))
 
 
+def _start_windows(layout: Layout, table: str, aggregate, publish, time_col: str, width: str, watermark: str,
+                   trigger: dict | None, max_files: int | None, side_output: bool):
+    """A windowed query: ``aggregate(orders)`` in append mode, ``publish(windows, batch_id)`` for
+    what has closed; with ``side_output`` late rows go to their table (``lateness``)."""
+    ckpt, name = layout.checkpoint(table), layout.query_name(table)
+    if not side_output:
+        rows = aggregate(raw_stream(layout, max_files, watermark))
+        return _start(observed(rows, "output", time_col), publish, ckpt, trigger, name=name)
+    late = lateness.LateSplitter(layout.spark, layout.root, table, checkpoint_id(layout.spark, ckpt), width, watermark)
+    orders = raw_stream(layout, max_files, None)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        publish(batch.where("window is not null").select("window.*"), batch_id)
+        late.split(batch.where("row is not null").select("row.*"), batch_id)
+        batch.unpersist()
+
+    rows = lateness.with_rows(aggregate(orders.withWatermark("event_time", watermark)), orders)
+    return _start(rows, process, ckpt, trigger, name=name)
+
+
 def start_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WATERMARK,
                   trigger: dict | None = None, max_files_per_trigger: int | None = None,
-                  table: str = "revenue_5min"):
+                  table: str = "revenue_5min", side_output: bool = False):
     """State per (window, product) partial sums; a closed window is rolled up to
     categories in foreachBatch against the catalog as of now (all of a closed window's groups
     leave in the same micro-batch, so the roll-up is complete)."""
-    ckpt = layout.checkpoint(table)
     target = layout.table(table)
-    epoch = stream_epoch(target, ckpt)
+    epoch = stream_epoch(target, layout.checkpoint(table))
     products = DimensionCache(layout.table("product_catalog"), ["product_id", "category"])
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def publish(batch: DataFrame, batch_id: int) -> None:
         prod, small = products.get()
         target.write_batch(windows.rollup_partials(batch, prod, small, unique=True), epoch,
                            batch_id)
 
-    partials = windows.product_window_partials(
-        raw_stream(layout, max_files_per_trigger, watermark), width)
-    return _start(observed(partials, "output", "w.end"), process, ckpt, trigger, name=layout.query_name(table))
+    return _start_windows(layout, table, lambda orders: windows.product_window_partials(orders, width), publish, "w.end",
+                          width, watermark, trigger, max_files_per_trigger, side_output)
 
 
 def start_city_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WATERMARK,
-                       trigger: dict | None = None, max_files_per_trigger: int | None = None):
+                       trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                       side_output: bool = False):
     """Windowed revenue by order city."""
-    ckpt = layout.checkpoint("city_revenue_5min")
     target = layout.table("city_revenue_5min")
-    epoch = stream_epoch(target, ckpt)
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        target.write_batch(batch, epoch, batch_id)
-
-    agg = windows.city_revenue_by_window(raw_stream(layout, max_files_per_trigger, watermark), width)
-    return _start(observed(agg, "output", "window_end"), process, ckpt, trigger, name=layout.query_name("city_revenue_5min"))
+    epoch = stream_epoch(target, layout.checkpoint("city_revenue_5min"))
+    return _start_windows(layout, "city_revenue_5min", lambda orders: windows.city_revenue_by_window(orders, width),
+                          lambda batch, batch_id: target.write_batch(batch, epoch, batch_id), "window_end",
+                          width, watermark, trigger, max_files_per_trigger, side_output)
 
 
 def start_kpis(layout: Layout, width: str = "1 minute", watermark: str = WATERMARK,
