@@ -504,3 +504,6 @@ FROM orders_raw WHERE customer_id IS DISTINCT FROM 'CUS-00000007' GROUP BY 1""")
 
 ORACLE["stream_late_rows"] = _q(f"""
 SELECT window_start, window_end, city, total_orders AS orders FROM city_revenue_5min WHERE window_end <= {CLOSED}""")
+
+ORACLE["stream_dedup"] = _q("""
+SELECT event_day, COUNT(*) AS orders, CAST(SUM(order_amount) AS DECIMAL(20,2)) AS revenue FROM orders_raw GROUP BY 1""")

@@ -352,6 +352,7 @@ register("stream_revenue_5min")(streams.stream_revenue_5min)
 register("stream_city_revenue_5min")(streams.stream_city_revenue_5min)
 register("stream_alerts")(streams.stream_alerts)
 register("stream_kpis")(streams.stream_kpis)
+register("stream_dedup")(streams.stream_dedup)
 register("stream_late_rows")(streams.stream_late_rows)
 for _name in streams.jobs.CHAINED:
     register(f"stream_{_name}")(lambda t, name=_name: streams.stream_chained(t, name))

@@ -25,17 +25,17 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import rules
-from tidemark.operators import alerts, chained, dedup, enrich, quality, windows
+from tidemark.operators import alerts, chained, enrich, quality, windows
 from tidemark.operators.ingest import to_orders_raw
 from tidemark.sources import purge
 from tidemark.sources.log import append_log, read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable, fs_read_text, fs_write_text
-from tidemark.streaming import lateness
+from tidemark.streaming import keyed, lateness
 from tidemark.streaming.telemetry import ProgressRecorder, observed
 
 WATERMARK = "5 seconds"
 JOBS = ("enrich_alert", "revenue_5min", "city_revenue_5min", "dashboard_kpis",
-        "city_rollup", "alert_rate", "failed_rate_alerts", "spike_alerts")
+        "city_rollup", "alert_rate", "failed_rate_alerts", "spike_alerts", "orders_unique")
 
 
 @dataclass
@@ -191,8 +191,8 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
     is enriched once and written to orders_enriched, high_value_orders, suspicious_orders.
 
     dedup_within (X11), e.g. "1 hour": an order_id whose earlier copy lies within that event-time
-    horizon is dropped. Copies are looked up in the days of orders_enriched that the horizon
-    reaches, so an order that merely comes late is kept (no watermark drops it)."""
+    horizon is dropped, by keyed state (``keyed.first_copies``); an order that merely comes late
+    is kept (no watermark drops it)."""
     ckpt = layout.checkpoint("enrich_alert")
     names = ["orders_enriched", "high_value_orders", "suspicious_orders"]
     tables = {n: layout.table(n) for n in names}
@@ -204,11 +204,6 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = purge.without(batch, layout.purged_path)
-        if dedup_within:
-            own = epochs_of(tables["orders_enriched"], ckpt)
-            seen = tables["orders_enriched"].written().where(
-                ~((F.col("batch_id") == batch_id) & F.col("epoch").isin(own)))   # this batch, if it is run again
-            batch = dedup.first_copies(batch, seen, "order_id", dedup_within)
         if validate_now:   # the batch feeds two outputs: read it once
             batch = batch.persist()
             tagged = quality.tag_errors(batch, F.current_timestamp().cast("timestamp_ntz")).persist()
@@ -234,6 +229,8 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
             batch.unpersist()
 
     src = raw_stream(layout, max_files_per_trigger, watermark=None)
+    if dedup_within:
+        src = keyed.first_copies(src, "order_id", dedup_within)
     return _start(src, process, ckpt, trigger, name=layout.query_name("enrich_alert"))
 
 
@@ -303,6 +300,12 @@ def start_kpis(layout: Layout, width: str = "1 minute", watermark: str = WATERMA
     return _start(observed(rows, "output", "updated_at"), process, ckpt, trigger, name=layout.query_name("dashboard_kpis"))
 
 
+def start_dedup(layout: Layout, within: str = "1 hour", trigger: dict | None = None,
+                max_files_per_trigger: int | None = None):
+    """X11: the log's orders without copies, emitted batch by batch (``read_emitted``)."""
+    return _start_emitting(layout, "orders_unique", keyed.first_copies(raw_stream(layout, max_files_per_trigger, None), "order_id", within), trigger)
+
+
 CHAINED = {"city_rollup": lambda orders: chained.rollup(orders, "city"), "alert_rate": chained.alert_rate,
            "failed_rate_alerts": chained.failed_rate_alerts, "spike_alerts": chained.spike_alerts}
 
@@ -311,18 +314,21 @@ def start_chained(layout: Layout, name: str, watermark: str = WATERMARK, trigger
                   max_files_per_trigger: int | None = None):
     """Two chained event-time aggregates in one query; what each batch emits
     goes to its own folder of the table ``name`` (see ``read_emitted``)."""
+    return _start_emitting(layout, name, CHAINED[name](raw_stream(layout, max_files_per_trigger, watermark)), trigger)
+
+
+def _start_emitting(layout: Layout, name: str, rows: DataFrame, trigger: dict | None):
     ckpt = layout.checkpoint(name)
     source = checkpoint_id(layout.spark, ckpt)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{layout.root}/{name}/source={source}/batch_id={batch_id}")
 
-    rows = CHAINED[name](raw_stream(layout, max_files_per_trigger, watermark))
     return _start(rows, process, ckpt, trigger, name=layout.query_name(name))
 
 
 def read_emitted(layout: Layout, name: str) -> DataFrame:
-    """The closed windows that ``start_chained`` has emitted, each once."""
+    """What a query that emits batch by batch has put out, each row once."""
     return layout.spark.read.parquet(f"{layout.root}/{name}").drop("source", "batch_id")
 
 
