@@ -85,3 +85,10 @@ def test_one_scan_of_the_orders_for_both_alert_counts(spark):
     from tidemark.plans.registry import QUERIES
     plan = QUERIES["kpi_board"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Relation" in line and "event_id#" in line for line in plan.splitlines()) <= 2
+
+
+def test_stored_ranges_prune_days(spark):
+    from tidemark.plans.registry import QUERIES
+    for name, day in (("log_range", "event_day"), ("stored_recent_windows", "window_day"), ("stored_city_since", "window_day")):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert day in plan.split("PartitionFilters: [")[1].split("]")[0], name

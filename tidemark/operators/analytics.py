@@ -154,7 +154,7 @@ def top_products_panel(df: DataFrame, n: int = 15) -> DataFrame:
 
 def city_revenue_since(city_windows: DataFrame, since) -> DataFrame:
     """Revenue and orders per city over windows starting at or after ``since``."""
-    return (city_windows.where(F.col("window_start") >= ts_lit(city_windows, "window_start", since))
+    return (since_time(city_windows, ts_lit(city_windows, "window_start", since))
             .groupBy("city")
             .agg(F.sum("total_revenue").cast("decimal(20,2)").alias("total_revenue"),
                  F.sum("total_orders").alias("total_orders")))
@@ -238,8 +238,12 @@ def between_times(df: DataFrame, start, end, time_col: str = "event_time",
 
 def recent_windows(windows_df: DataFrame, now, hours: int = 1) -> DataFrame:
     """windows that started within the last ``hours`` before ``now`` (now is a parameter)."""
-    since = ts_lit(windows_df, "window_start", now) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return windows_df.where(F.col("window_start") >= since)
+    return since_time(windows_df, ts_lit(windows_df, "window_start", now) - F.expr(f"INTERVAL {int(hours)} HOURS"))
+
+
+def since_time(windows_df: DataFrame, since: F.Column) -> DataFrame:
+    """Windows from a time on; their day is bounded, too, so that a stored table's scan prunes."""
+    return windows_df.where((F.col("window_day") >= day_key(since)) & (F.col("window_start") >= since))
 
 
 def point_lookup(df: DataFrame, **key) -> DataFrame:

@@ -68,6 +68,25 @@ def error_rows(tagged: DataFrame, failed_at) -> DataFrame:
         payload(RAW_COLUMNS).alias("raw_payload"), ts.alias("failed_at"))
 
 
+def broken(orders: DataFrame) -> DataFrame:
+    """Orders with faults put in by the digits of their id: amounts that are zero, negative or
+    missing, an unknown status, quantities out of range. (To see the rules at work on data that
+    keeps them.)"""
+    n = F.substring("order_id", 5, 30).cast("bigint")
+    amount = F.when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, F.lit(0)).when(n % 17 == 0, -F.col("order_amount")).otherwise(F.col("order_amount"))
+    status = F.when(n % 7 == 0, "REFUNDED").when(n % 19 == 0, F.lit(None)).otherwise(F.col("payment_status"))
+    quantity = F.when(n % 3 == 0, 500).when(n % 5 == 0, -2).otherwise(F.col("quantity"))
+    return (orders.withColumn("order_amount", amount.cast("decimal(10,2)")).withColumn("payment_status", status)
+            .withColumn("quantity", quantity.cast("int")))
+
+
+def rule_summary(tagged: DataFrame) -> DataFrame:
+    """Rows by the rule that they break first (NULL: none), with their clamped quantities."""
+    return (clamp_quantity(tagged).groupBy("error_type")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("quantity").cast("bigint").alias("units"),
+                 F.min("quantity").alias("least"), F.max("quantity").alias("most")))
+
+
 def validate(df: DataFrame, now, max_age: str = rules.MAX_EVENT_AGE):
     """-> (valid, errors). Persist the input (or write from foreachBatch) before using both."""
     tagged = tag_errors(df, now, max_age)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from tidemark.functions import rules
 from tidemark.functions.exprs import slot_pick_sql
+from tidemark.operators.analytics import FEEDS
 from tidemark.sources import testdata as td
 
 NOW = "2024-01-31 00:00:00"
@@ -507,3 +508,32 @@ SELECT window_start, window_end, city, total_orders AS orders FROM city_revenue_
 
 ORACLE["stream_dedup"] = _q("""
 SELECT event_day, COUNT(*) AS orders, CAST(SUM(order_amount) AS DECIMAL(20,2)) AS revenue FROM orders_raw GROUP BY 1""")
+
+_FEED = "SELECT {cols} FROM {table} ORDER BY {order} LIMIT {n}"
+
+ORACLE.update({
+    "log_range": ORACLE["raw_range"],
+    "stored_recent_windows": ORACLE["recent_windows"],
+    "stored_city_since": ORACLE["city_since"],
+    "known_products": _q("""
+SELECT event_day, COUNT(*) AS orders FROM orders_raw o
+WHERE EXISTS (SELECT 1 FROM product_catalog p WHERE p.product_id = o.product_id) GROUP BY 1"""),
+    "dq_rules": _q(f"""
+, numbered AS (SELECT *, CAST(substr(order_id, 5) AS BIGINT) AS n FROM orders_raw),
+faulty AS (
+  SELECT event_time, CASE WHEN n % 11 = 0 THEN NULL WHEN n % 13 = 0 THEN 0 WHEN n % 17 = 0 THEN -order_amount ELSE order_amount END AS amount,
+         CASE WHEN n % 7 = 0 THEN 'REFUNDED' WHEN n % 19 = 0 THEN NULL ELSE payment_status END AS status,
+         CASE WHEN n % 3 = 0 THEN 500 WHEN n % 5 = 0 THEN -2 ELSE quantity END AS quantity
+  FROM numbered),
+judged AS (
+  SELECT CASE WHEN amount IS NULL OR NOT amount > 0 THEN 'INVALID_AMOUNT'
+              WHEN event_time IS NULL OR NOT event_time > TIMESTAMP '{NOW}' - INTERVAL '20 days' THEN 'STALE_EVENT'
+              WHEN status IS NULL OR status NOT IN ('SUCCESS', 'FAILED', 'PENDING') THEN 'INVALID_PAYMENT_STATUS' END AS error_type,
+         CAST(least(greatest(quantity, 1), 100) AS INTEGER) AS quantity
+  FROM faulty)
+SELECT error_type, COUNT(*) AS rows, CAST(SUM(quantity) AS BIGINT) AS units, MIN(quantity) AS least, MAX(quantity) AS most FROM judged GROUP BY 1"""),
+    **{f"feed_{kind}": _q(_FEED.format(cols=", ".join(FEEDS[kind][0]), table=table, n=FEEDS[kind][1],
+                                       order="event_time DESC, order_id" if "event_time" in FEEDS[kind][0] else FEEDS[kind][0][0]))
+       for kind, table in (("orders", "orders_enriched"), ("high_value", "high_value_orders"), ("suspicious", "suspicious_orders"),
+                           ("products", "product_catalog"))},
+})

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, analytics as an, enrich, windows
 from tidemark.plans.frames import Tables
@@ -183,6 +184,16 @@ def _(t): return an.recent_raw(t.raw, 100)
 def _(t): return enrich.unknown_keys(t.raw, t.products, "product_id", t.small_products)
 
 
+@register("known_products")
+def _(t):
+    return (enrich.known_keys(t.raw, t.products, "product_id", t.small_products)
+            .groupBy("event_day").agg(F.count(F.lit(1)).alias("orders")))
+
+
+for _kind, _table in {"orders": "enriched", "high_value": "high_value", "suspicious": "suspicious", "products": "products"}.items():
+    register(f"feed_{_kind}")(lambda t, kind=_kind, table=_table: an.feed(getattr(t, table), kind))
+
+
 @register("city_vs_category")
 def _(t): return an.city_vs_category(t.revenue_5min, t.city_revenue_5min)
 
@@ -211,8 +222,6 @@ def _(t): return an.series(t.revenue_5min)
 
 # --- upsert fold, KPI board -----------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from tidemark.functions import rules  # noqa: E402
 from tidemark.operators import dedup, observe, quality  # noqa: E402
 from tidemark.sources import lifecycle  # noqa: E402
@@ -267,6 +276,12 @@ def _(t):
 def _(t): return quality.rejection_rate(quality.tag_errors(t.raw, NOW))
 
 
+@register("dq_rules")
+def _(t):
+    """Q1, Q2, Q6: orders of which some break each rule; rows and clamped quantities by rule."""
+    return quality.rule_summary(quality.tag_errors(quality.broken(t.raw), NOW, "20 days"))
+
+
 @register("join_miss_rate")
 def _(t): return quality.join_miss_rate(t.enriched_with(flags=True))
 
@@ -345,6 +360,9 @@ register("validate_run")(streams.validate_run)
 register("union_read")(tiers.union_read)
 register("cold_read")(tiers.cold_read)
 register("cold_trend")(tiers.cold_trend)
+register("log_range")(tiers.log_range)
+register("stored_recent_windows")(lambda t: tiers.stored_recent_windows(t, NOW))
+register("stored_city_since")(lambda t: tiers.stored_city_since(t, "2024-01-24 00:00:00"))
 register("stored_lookup")(tiers.stored_lookup)
 register("live_purge")(tiers.live_purge)
 

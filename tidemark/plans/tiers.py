@@ -17,7 +17,7 @@ from tidemark.plans.frames import Tables
 from tidemark.plans.streams import _ntz
 from tidemark.session import scratch_dir
 from tidemark.sources import keyed, lifecycle, purge, tiering
-from tidemark.sources.log import append_log, start_log_writer
+from tidemark.sources.log import append_log, read_log, start_log_writer
 from tidemark.sources.upsert import UpsertTable
 
 BOUNDARY = "20240115"   # days before it are tiered
@@ -93,3 +93,27 @@ def live_purge(t: Tables) -> DataFrame:
     lifecycle.hot_ttl(t.spark, log, cold, keep_days=0)
     rows = purge.without(lifecycle.read_union(t.spark, log, cold, schemas.ORDERS_RAW), listed)
     return rows.groupBy("event_day").agg(F.count(F.lit(1)).alias("orders"), F.count("customer_id").alias("with_customer"))
+
+
+def log_range(t: Tables) -> DataFrame:
+    """a range of time of the stored log: days outside it are not read."""
+    path = f"{scratch_dir(t.spark, 'log')}/orders_raw"
+    append_log(t.raw.withColumn("event_time", F.col("event_time").cast("timestamp")), path)
+    return _ntz(an.between_times(read_log(t.spark, path), "2024-01-10 00:00:00", "2024-01-12 12:00:00"))
+
+
+def _stored_windows(t: Tables, name: str, rows: DataFrame) -> DataFrame:
+    table = UpsertTable.named(t.spark, scratch_dir(t.spark, "windows"), name)
+    table.upsert(rows)
+    table.compact()
+    return table.read_current()
+
+
+def stored_recent_windows(t: Tables, now: str) -> DataFrame:
+    """recent windows of the stored table, whose other days are not read."""
+    return _ntz(an.recent_windows(_stored_windows(t, "revenue_5min", t.revenue_5min), now, hours=6))
+
+
+def stored_city_since(t: Tables, since: str) -> DataFrame:
+    """City revenue since a time, from the stored table."""
+    return an.city_revenue_since(_stored_windows(t, "city_revenue_5min", t.city_revenue_5min), since)
