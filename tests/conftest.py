@@ -17,6 +17,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[*]", shuffle_partitions=8)
+    s.conf.set("tidemark.state.partitions", "2")     # small streams: few state stores
     yield s
 
 

@@ -117,3 +117,18 @@ def test_a_rewrite_that_a_crash_cut_short(spark, scratch, monkeypatch):
     spark.catalog.refreshByPath(scratch)
     assert read_log(spark, scratch).count() == 8
     assert lifecycle.purge_files(spark, scratch, schemas.ORDERS_RAW, "order_id", "O0") == ["20240101"] and read_log(spark, scratch).count() == 7
+
+
+def test_jobs_fold_their_tables(spark, scratch):
+    plain, folding = jobs.Layout(spark, f"{scratch}/a"), jobs.Layout(spark, f"{scratch}/b", compact_every=2)
+    for layout in (plain, folding):
+        layout.table("customer_profile").upsert(customers_df(spark, [("C1", "Asha", "GOLD")]))
+        layout.table("product_catalog").upsert(products_df(spark, [("P1", "Phone", "toys")]))
+        for i in range(7):
+            raw_df(spark, [raw_row(f"O{k}", f"{20000 + i}.00", time=f"2024-01-0{1 + k} 10:00:00") for k in (i % 3, 3 + i % 2)]) \
+                .coalesce(1).write.mode("append").partitionBy("event_day").parquet(layout.raw_path)
+            jobs.start_enrich_and_alert(layout, trigger={"availableNow": True}).awaitTermination()
+    for name in ("orders_enriched", "high_value_orders"):
+        a, b = plain.table(name), folding.table(name)
+        assert a.read_current().exceptAll(b.read_current()).isEmpty() and a.read_current().count() == b.read_current().count() == 5
+        assert len(a._batches()) == 7 and len(b._batches()) <= 4 and a.pointer()["version"] == -1 and b.pointer()["version"] == 2

@@ -97,13 +97,18 @@ def newest_rows(tables: dict[str, DataFrame], time_col: str = "event_time") -> D
     return out
 
 
+def alert_membership() -> dict[str, F.Column]:
+    """The alert tables as conditions on an order."""
+    from tidemark.functions import rules
+    from tidemark.functions.exprs import any_match
+    return {"high_value_orders": F.col("order_amount") >= rules.HIGH_VALUE_THRESHOLD,
+            "suspicious_orders": any_match(rules.SUSPICIOUS_RULES)}
+
+
 def alert_counts(enriched: DataFrame) -> DataFrame:
     """Rows (table_name, row_count) of the alert tables, which are filters of the enriched
     orders, by one conditional aggregate over one scan."""
-    from tidemark.functions import rules
-    from tidemark.functions.exprs import any_match
-    member = {"high_value_orders": F.col("order_amount") >= rules.HIGH_VALUE_THRESHOLD,
-              "suspicious_orders": any_match(rules.SUSPICIOUS_RULES)}
+    member = alert_membership()
     row = enriched.agg(*[F.count(F.when(cond, 1)).alias(name) for name, cond in member.items()])
     return row.select(F.inline(F.array(*[F.struct(F.lit(name).alias("table_name"), F.col(name).alias("row_count")) for name in member])))
 
@@ -176,13 +181,24 @@ def failed_rate(rev: DataFrame, key: str | None = "category") -> DataFrame:
 
 
 def alert_rate(alert_tables: dict[str, DataFrame], width: str = "5 minutes") -> DataFrame:
-    """Alerts per window and alert table."""
+    """Alerts per window and alert table (stored tables, each read once)."""
     parts = [df.select(F.lit(name).alias("alert_type"), "event_time")
              for name, df in alert_tables.items()]
     allv = parts[0]
     for p in parts[1:]:
         allv = allv.unionByName(p)
-    return (allv.groupBy(F.window("event_time", width).alias("w"), "alert_type")
+    return _per_window(allv, width)
+
+
+def alert_rate_of(enriched: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """A26 from the orders themselves: an order counts for each alert table it belongs to, by
+    one scan."""
+    kinds = F.array_compact(F.array(*[F.when(cond, name) for name, cond in alert_membership().items()]))
+    return _per_window(enriched.select("event_time", F.explode(kinds).alias("alert_type")), width)
+
+
+def _per_window(alerts: DataFrame, width: str) -> DataFrame:
+    return (alerts.groupBy(F.window("event_time", width).alias("w"), "alert_type")
             .agg(F.count(F.lit(1)).alias("alerts"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "alert_type", "alerts"))

@@ -266,6 +266,11 @@ def classify(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("level", level)
 
 
+def utilisation(rate: DataFrame, capacity: float, value_col: str = "events_per_second") -> DataFrame:
+    """O12 input: the load of each window as a share of a capacity (rows (metric, value))."""
+    return rate.select("window_start", F.lit("utilisation").alias("metric"), (F.col(value_col) / F.lit(float(capacity))).alias("value"))
+
+
 def late_rate(raw: DataFrame, published: DataFrame, key: str = "category",
               products: DataFrame | None = None, width: str = "5 minutes") -> DataFrame:
     """Q9: late (dropped) rows as a share of all logged rows."""

@@ -537,3 +537,14 @@ SELECT error_type, COUNT(*) AS rows, CAST(SUM(quantity) AS BIGINT) AS units, MIN
        for kind, table in (("orders", "orders_enriched"), ("high_value", "high_value_orders"), ("suspicious", "suspicious_orders"),
                            ("products", "product_catalog"))},
 })
+
+ORACLE.update({
+    "sustained_input": _q(f"""
+, slots AS (SELECT {bucket('5 minutes')} AS window_start, COUNT(*) AS events FROM orders_raw GROUP BY 1),
+hot AS (SELECT window_start FROM slots WHERE events > 1)
+SELECT a.window_start FROM hot a JOIN hot b ON b.window_start = a.window_start - INTERVAL '5 minutes'
+JOIN hot c ON c.window_start = a.window_start - INTERVAL '10 minutes'"""),
+    "capacity_levels": _q(f"""
+, load AS (SELECT {bucket('1 minute')} AS m, (CAST(COUNT(*) AS DOUBLE) / 60.0) / (3.0 / 60.0) AS u FROM orders_raw GROUP BY 1)
+SELECT CASE WHEN u >= 0.9 THEN 'CRITICAL' WHEN u >= 0.7 THEN 'WARNING' ELSE 'OK' END AS level, COUNT(*) AS minutes FROM load GROUP BY 1"""),
+})

@@ -203,9 +203,7 @@ def _(t): return an.failed_rate(t.revenue_5min, "category")
 
 
 @register("alert_rate")
-def _(t):
-    return an.alert_rate({"high_value_orders": t.high_value,
-                          "suspicious_orders": t.suspicious}, "5 minutes")
+def _(t): return an.alert_rate_of(t.enriched, "5 minutes")
 
 
 @register("tier_distribution")
@@ -286,10 +284,6 @@ def _(t):
 def _(t): return quality.join_miss_rate(t.enriched_with(flags=True))
 
 
-@register("invariants")
-def _(t): return quality.invariants(t.enriched, t.high_value, t.suspicious)
-
-
 @register("masked_orders")
 def _(t): return quality.mask_pii(t.enriched)
 
@@ -324,6 +318,19 @@ def _(t): return observe.alert_spike(t.suspicious)
 def _(t): return observe.input_rate(t.raw, "1 minute")
 
 
+@register("sustained_input")
+def _(t):
+    """Five-minute slots that end three in a row with two or more orders each."""
+    return observe.alert_threshold(observe.input_rate(t.raw, "5 minutes"), "events", 1, 3, "5 minutes")
+
+
+@register("capacity_levels")
+def _(t):
+    """Minutes by capacity level, for a capacity of three orders a minute."""
+    load = observe.utilisation(observe.input_rate(t.raw, "1 minute"), 3 / 60)
+    return observe.classify(load).groupBy("level").agg(F.count(F.lit(1)).alias("minutes"))
+
+
 @register("freshness_seconds")
 def _(t):
     return observe.freshness_seconds({"revenue_5min": t.revenue_5min,
@@ -356,6 +363,7 @@ from tidemark.plans import streams, tiers  # noqa: E402
 
 register("table_counts")(streams.table_counts)
 register("lag_seconds")(lambda t: streams.lag_seconds(t, NOW))
+register("invariants")(streams.invariants)
 register("validate_run")(streams.validate_run)
 register("union_read")(tiers.union_read)
 register("cold_read")(tiers.cold_read)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import rules
-from tidemark.operators import analytics as an, observe
+from tidemark.operators import analytics as an, observe, quality
 from tidemark.plans.frames import Tables
 from tidemark.session import scratch_dir
 from tidemark.sources.log import DEFAULT_ROWS_PER_FILE, append_log, read_log
@@ -94,6 +94,12 @@ def validate_run(t: Tables) -> DataFrame:
     return run_checks(stored_orders(t))
 
 
+def invariants(t: Tables) -> DataFrame:
+    """Q11: acceptance checks of the stored tables, each read by itself."""
+    tables = stored_orders(t)
+    return quality.invariants(*(tables[n] for n in ORDER_TABLES[1:]))
+
+
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     span = tables["orders_raw"].agg(observe.seconds_between(F.min("event_time").cast("timestamp_ntz"), F.max("event_time").cast("timestamp_ntz")).alias("seconds"))
     return observe.validate_run(an.table_counts(tables), span)

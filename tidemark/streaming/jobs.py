@@ -40,9 +40,14 @@ JOBS = ("enrich_alert", "revenue_5min", "city_revenue_5min", "dashboard_kpis",
 
 @dataclass
 class Layout:
-    """Where one deployment keeps its tables and stream checkpoints."""
+    """Where one deployment keeps its tables and stream checkpoints.
+
+    compact_every (L5, L7): a job folds each of its tables after so many of its batches, and drops
+    the changelog that the last but one fold had folded; reading a table then costs a bounded
+    tail, however long the job runs. None: tables are folded by hand."""
     spark: SparkSession
     root: str
+    compact_every: int | None = None
 
     @property
     def raw_path(self) -> str:
@@ -169,6 +174,15 @@ def _start(df: DataFrame, process, checkpoint: str, trigger: dict | None, mode:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
+def store(layout: Layout, table: UpsertTable, rows: DataFrame, epoch: int, batch_id: int) -> None:
+    """Write a micro-batch to a keyed table of this job, its only writer, and fold the table when
+    its time has come. Files that an open read may still use stay until the next fold."""
+    table.write_batch(rows, epoch, batch_id)
+    if layout.compact_every and batch_id % layout.compact_every == layout.compact_every - 1:
+        table.expire(keep_versions=1)
+        table.compact()
+
+
 def raw_stream(layout: Layout, max_files_per_trigger: int | None = None,
                watermark: str | None = WATERMARK) -> DataFrame:
     """The log as a stream, event time watermarked (bounded out-of-orderness)."""
@@ -218,11 +232,9 @@ def start_enrich_and_alert(layout: Layout, trigger: dict | None = None, on_miss:
         if on_miss == "dlq":
             enriched, misses = quality.split_misses(cached, F.current_timestamp())
             write_errors(layout, misses, source, batch_id, "lookup")
-        tables["orders_enriched"].write_batch(enriched, epochs["orders_enriched"], batch_id)
-        tables["high_value_orders"].write_batch(alerts.high_value(enriched),
-                                                epochs["high_value_orders"], batch_id)
-        tables["suspicious_orders"].write_batch(alerts.suspicious(enriched),
-                                                epochs["suspicious_orders"], batch_id)
+        for name, rows in (("orders_enriched", enriched), ("high_value_orders", alerts.high_value(enriched)),
+                           ("suspicious_orders", alerts.suspicious(enriched))):
+            store(layout, tables[name], rows, epochs[name], batch_id)
         cached.unpersist()
         if tagged is not None:
             tagged.unpersist()
@@ -267,8 +279,7 @@ def start_revenue(layout: Layout, width: str = "5 minutes", watermark: str = WAT
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         prod, small = products.get()
-        target.write_batch(windows.rollup_partials(batch, prod, small, unique=True), epoch,
-                           batch_id)
+        store(layout, target, windows.rollup_partials(batch, prod, small, unique=True), epoch, batch_id)
 
     return _start_windows(layout, table, lambda orders: windows.product_window_partials(orders, width), publish, "w.end",
                           width, watermark, trigger, max_files_per_trigger, side_output)
@@ -281,7 +292,7 @@ def start_city_revenue(layout: Layout, width: str = "5 minutes", watermark: str
     target = layout.table("city_revenue_5min")
     epoch = stream_epoch(target, layout.checkpoint("city_revenue_5min"))
     return _start_windows(layout, "city_revenue_5min", lambda orders: windows.city_revenue_by_window(orders, width),
-                          lambda batch, batch_id: target.write_batch(batch, epoch, batch_id), "window_end",
+                          lambda batch, batch_id: store(layout, target, batch, epoch, batch_id), "window_end",
                           width, watermark, trigger, max_files_per_trigger, side_output)
 
 
@@ -294,7 +305,7 @@ def start_kpis(layout: Layout, width: str = "1 minute", watermark: str = WATERMA
     epoch = stream_epoch(target, ckpt)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        target.write_batch(batch, epoch, batch_id)
+        store(layout, target, batch, epoch, batch_id)
 
     rows = windows.kpis(raw_stream(layout, max_files_per_trigger, watermark), width)
     return _start(observed(rows, "output", "updated_at"), process, ckpt, trigger, name=layout.query_name("dashboard_kpis"))
