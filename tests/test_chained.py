@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, raw_df, raw_row
+from conftest import SF_SMALL, products_df, raw_df, raw_row
 from tidemark.operators import analytics, chained, observe, windows
 from tidemark.plans.frames import Tables
 from tidemark.streaming import jobs
@@ -34,13 +34,15 @@ def test_stream_equals_batch_for_closed_windows(spark, scratch, name):
         minute = i * 30 / 60 if i < 240 else 200 + (i - 240) * 15 / 60
         burst = 100 <= minute <= 112
         rows.append(raw_row(f"O{i}", "30000.00" if burst or i % 9 == 0 else "100.00", status="FAILED" if burst or i % 5 == 0 else "SUCCESS",
-                            time=str(base + dt.timedelta(minutes=minute)), city=["Mumbai", "Delhi"][i % 2]))
+                            time=str(base + dt.timedelta(minutes=minute)), city=["Mumbai", "Delhi"][i % 2], product=["P1", "P9"][i % 3 == 0]))
     for k in range(0, 400, 40):
         raw_df(spark, rows[k : k + 40]).coalesce(1).write.mode("append").partitionBy("event_day").parquet(layout.raw_path)
+    products = products_df(spark, [("P1", "Phone", "toys")])
+    layout.table("product_catalog").upsert(products)
     q = jobs.start_chained(layout, name, trigger={"availableNow": True}, max_files_per_trigger=3)
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"]]) > 2
-    raw = raw_df(spark, rows)
+    raw = raw_df(spark, rows).join(products.select("product_id", "category"), "product_id", "left")
     closed = raw.agg(F.max("event_time")).first()[0] - dt.timedelta(seconds=5)
     want = jobs.CHAINED[name](raw).where(F.col("window_end") <= F.lit(closed))
     assert want.count() > 0

@@ -485,6 +485,10 @@ ORACLE.update({
 SELECT {bucket('1 hour', 'window_start')} AS window_start, {bucket('1 hour', 'window_start')} + INTERVAL '1 hour' AS window_end, city,
        CAST(SUM(total_revenue) AS DECIMAL(20,2)) AS revenue, CAST(SUM(total_orders) AS BIGINT) AS orders, COUNT(*) AS windows
 FROM city_revenue_5min WHERE {bucket('1 hour', 'window_start')} + INTERVAL '1 hour' <= {CLOSED} GROUP BY 1, 2, 3"""),
+    "stream_category_rollup": _q(f"""
+SELECT {bucket('1 hour', 'window_start')} AS window_start, {bucket('1 hour', 'window_start')} + INTERVAL '1 hour' AS window_end, category,
+       CAST(SUM(total_revenue) AS DECIMAL(20,2)) AS revenue, CAST(SUM(total_orders) AS BIGINT) AS orders, COUNT(*) AS windows
+FROM revenue_5min WHERE {bucket('1 hour', 'window_start')} + INTERVAL '1 hour' <= {CLOSED} GROUP BY 1, 2, 3"""),
     "stream_alert_rate": _q(f"""
 , narrow AS (
   SELECT {bucket('1 minute')} AS m, 'high_value_orders' AS alert_type, COUNT(*) AS n FROM high_value_orders GROUP BY 1

@@ -113,7 +113,7 @@ def stream_kpis(t: Tables) -> DataFrame:
 
 def stream_chained(t: Tables, name: str) -> DataFrame:
     """Windows over windows, drained from the log by one query."""
-    layout = _layout(t, customers=False, products=False)
+    layout = _layout(t, customers=False, products=name == "category_rollup")
     _drain(jobs.start_chained(layout, name, trigger={"availableNow": True}))
     return _ntz(jobs.read_emitted(layout, name))
 

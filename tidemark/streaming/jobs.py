@@ -35,7 +35,7 @@ from tidemark.streaming.telemetry import ProgressRecorder, observed
 
 WATERMARK = "5 seconds"
 JOBS = ("enrich_alert", "revenue_5min", "city_revenue_5min", "dashboard_kpis",
-        "city_rollup", "alert_rate", "failed_rate_alerts", "spike_alerts", "orders_unique")
+        "city_rollup", "category_rollup", "alert_rate", "failed_rate_alerts", "spike_alerts", "orders_unique")
 
 
 @dataclass
@@ -317,15 +317,21 @@ def start_dedup(layout: Layout, within: str = "1 hour", trigger: dict | None = N
     return _start_emitting(layout, "orders_unique", keyed.first_copies(raw_stream(layout, max_files_per_trigger, None), "order_id", within), trigger)
 
 
-CHAINED = {"city_rollup": lambda orders: chained.rollup(orders, "city"), "alert_rate": chained.alert_rate,
+CHAINED = {"city_rollup": lambda orders: chained.rollup(orders, "city"),
+           "category_rollup": lambda orders: chained.rollup(orders, "category"), "alert_rate": chained.alert_rate,
            "failed_rate_alerts": chained.failed_rate_alerts, "spike_alerts": chained.spike_alerts}
 
 
 def start_chained(layout: Layout, name: str, watermark: str = WATERMARK, trigger: dict | None = None,
                   max_files_per_trigger: int | None = None):
-    """Two chained event-time aggregates in one query; what each batch emits
-    goes to its own folder of the table ``name`` (see ``read_emitted``)."""
-    return _start_emitting(layout, name, CHAINED[name](raw_stream(layout, max_files_per_trigger, watermark)), trigger)
+    """Two chained event-time aggregates in one query; what each batch
+    emits goes to its own folder of the table ``name`` (see ``read_emitted``). category_rollup
+    takes categories from the catalog as it is when the query starts."""
+    orders = raw_stream(layout, max_files_per_trigger, watermark)
+    if name == "category_rollup":
+        products = enrich.one_per_key(layout.table("product_catalog").read_current(), "product_id", ["category"])
+        orders = orders.join(enrich.bounded_broadcast(products), "product_id", "left")
+    return _start_emitting(layout, name, CHAINED[name](orders), trigger)
 
 
 def _start_emitting(layout: Layout, name: str, rows: DataFrame, trigger: dict | None):
