@@ -154,7 +154,8 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 def measured(t: Tables, slices: int = 4) -> jobs.Layout:
     """A deployment that the given orders were replayed through while its jobs ran: enrichment,
-    windows and timed dashboard reads, with their progress stored."""
+    windows and timed dashboard reads, with their progress stored. The windows are as short as
+    the replay's slices need, so that some close while it runs."""
     layout = jobs.Layout(t.spark, scratch_dir(t.spark, "measured"))
     layout.table("customer_profile").upsert(t.customers)
     layout.table("product_catalog").upsert(t.products)
@@ -163,7 +164,7 @@ def measured(t: Tables, slices: int = 4) -> jobs.Layout:
     t.spark.streams.addListener(recorder)
     try:
         often = {"processingTime": "0 seconds"}
-        queries = [jobs.start_enrich_and_alert(layout, trigger=often), jobs.start_revenue(layout, trigger=often)]
+        queries = [jobs.start_enrich_and_alert(layout, trigger=often), jobs.start_revenue(layout, "2 seconds", trigger=often)]
 
         def after(i: int) -> None:
             for query in queries:
