@@ -1,7 +1,9 @@
 """Fingerprints against exact similarities; secrets against a scan by hand."""
 import hashlib
+import random
 import re
 import statistics
+import time
 
 import pytest
 
@@ -95,6 +97,39 @@ def test_base_spans(spark):
     assert got[13].spans == "opaque:5:29" and got[14].spans == ""
 
 
+def opaque_by_hand(text, base):
+    taken = [tuple(map(int, s.split(":")[1:])) for s in base.split(",") if s]
+    spans = [m.span() for m in re.finditer("[A-Za-z0-9+/_-]{20,}={0,2}", text) if all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))]
+    return [f"opaque:{s}:{e}" for s, e in spans if not any(a < e and s < b for a, b in taken)]
+
+
+def test_many_matches_in_one_text(spark):
+    """More matches than a block has, of every kind, touching and apart; longer texts take time in
+    proportion to their matches."""
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choices("abcdefABCDEF0123456789", k=n))
+    kinds = [lambda: f"token={word(24)}.{word(24)}.{word(22)}", lambda: word(26), lambda: "AKIA" + word(20).upper(), lambda: f"{word(20)}{rnd.getrandbits(96):024x}",
+             lambda: f"{rnd.getrandbits(128):032x}", lambda: "🙂 plain"]
+    texts = [" ".join(rnd.choice(kinds)() for _ in range(n)) for n in (1, 255, 256, 257, 513, 3000)]
+    docs = [(i, t, "en", f"s{i}", 1) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(docs, DOCS)).collect()}
+    for i, text in enumerate(texts):
+        want = base_by_hand(text)
+        assert got[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest(), i
+        found = [s for s in got[i].spans.split(",") if s.startswith("opaque")]
+        possible = opaque_by_hand(text, want)
+        dull = re.compile("(?i)example|sample|placeholder|changeme|dummy|your|xxxx|0000|1234|abcd")
+        live = [s for s in possible for a, b in [map(int, s.split(":")[1:])] if len(set(text[a:b])) >= 8 and not dull.search(text[a:b])]
+        assert found == live, i
+    seconds = []
+    for n in (2000, 16000):
+        one = spark.createDataFrame([(1, " ".join(f"{rnd.getrandbits(128):032x}" for _ in range(n)), "en", "s", 1)], DOCS)
+        start = time.monotonic()
+        assert scan(one).first().n_hex == n
+        seconds.append(time.monotonic() - start)
+    assert seconds[1] < 8 * seconds[0] + 5, seconds
+
+
 def test_ownership(spark):
     rows = [(i, f"text {i} token=Zx9Qw8Er7Ty6Ui5O and Copied9Qw8Er7Ty6Ui5Op4As", "en", f"owner{i}", 1) for i in range(5)]
     rows += [(10 + i, f"text {i} token=Own3dByOneQ8w7E6 and Mine9Qw8Er7Ty6Ui5Op4Asdf", "en", "owner", 1) for i in range(5)]

@@ -41,47 +41,101 @@ OWNERS, VARIETY = 3, 8
 PLACEHOLDERS = "(?i)example|sample|placeholder|changeme|dummy|your|xxxx|0000|1234|abcd"
 
 
-def matches(text: Column, kind: str) -> Column:
-    """All matches of a kind in a text, leftmost first, as an array of (start, rank, end, kind,
-    value)."""
-    pattern, rank = F.lit(PATTERNS[kind]), KINDS.index(kind)
+#: A match: its place, kind and value.
+MATCHES = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
+
+#: Elements of an array that are gone through at once. A running value is worked out for each
+#: block, then over the blocks: a fold that appends to one array copies what it has at every step.
+BLOCK = 256
+
+
+def _blocks(items: Column) -> Column:
+    """The places (from 1) at which the blocks of an array begin; an empty one has one block."""
+    return F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), F.lit(BLOCK))
+
+
+def _before(blocks: Column, first: Column, join) -> Column:
+    """For each element of an array, what ``join`` makes of ``first`` and all elements before it."""
+    start = F.struct(first.alias("now"), F.array().cast("array<int>").alias("out"))
+    step = lambda d, x: F.struct(join(d["now"], x).alias("now"), F.concat(d["out"], F.array(d["now"])).alias("out"))
+    return F.aggregate(blocks, start, step, lambda d: d["out"])
+
+
+def gaps(text: Column, kind: str) -> Column:
+    """All matches of a kind in a text, leftmost first, as an array of (g, l, m): length of the
+    text between the match before and this one, length of this one, and the match."""
     hints = HINTS.get(kind)
     if hints:
         may = F.lit(False)
         for hint in hints:
             may = may | F.contains(F.lower(text), F.lit(hint))
     else:
-        may = F.regexp_like(text, pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
+        may = F.regexp_like(text, F.lit(PATTERNS[kind]))
+    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     between = F.split(text, PATTERNS[kind], -1)
-    longs = F.zip_with(F.slice(between, 1, F.size(found)), found,
-                       lambda gap, match: F.struct(F.char_length(gap).alias("g"), F.char_length(match).alias("l"), match.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>").alias("out"))
+    out = F.zip_with(F.slice(between, 1, F.size(found)), found,
+                     lambda gap, match: F.struct(F.char_length(gap).alias("g"), F.char_length(match).alias("l"), match.alias("m")))
+    return F.when(may, out).otherwise(F.array().cast("array<struct<g:int,l:int,m:string>>"))
+
+
+def in_blocks(found: Column, kind: str) -> Column:
+    """The result of ``gaps`` (a column of its own) by blocks: (at, out), a block's length and its
+    matches with places counted from the block's beginning."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("out"))
 
     def step(done, x):
         s = done["at"] + x["g"]
         value = F.regexp_extract(x["m"], PATTERNS[kind], 2) if kind == "assign" else x["m"]
-        one = F.struct(s.alias("start"), F.lit(rank).alias("rank"), (s + x["l"]).alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
+        one = F.struct(s.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (s + x["l"]).alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
         return F.struct((s + x["l"]).alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
 
-    out = F.aggregate(longs, start, step, lambda done: done["out"])
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
-    return F.when(may, out).otherwise(none)
+    return F.transform(_blocks(found), lambda i: F.aggregate(F.slice(found, i, BLOCK), start, step))
+
+
+def placed(blocks: Column) -> Column:
+    """The matches of ``in_blocks`` (a column of its own) with their places in the text."""
+    before = _before(blocks, F.lit(0), lambda now, x: now + x["at"])
+    at = lambda m, by: F.struct((m["start"] + by).alias("start"), m["rank"].alias("rank"), (m["end"] + by).alias("end"),
+                                m["kind"].alias("kind"), m["value"].alias("value"))
+    return F.flatten(F.zip_with(blocks, before, lambda x, by: F.transform(x["out"], lambda m: at(m, by))))
+
+
+def apart(every: Column, ends: Column) -> Column:
+    """The opaque matches of a text that touch no base one. ``every``: all matches in order;
+    ``ends``: by blocks, where the last base one ends, or 0 (both are columns of their own).
+    A match may touch any base one before it, but behind it only the next match can do so,
+    since opaque ones do not touch each other."""
+    opaque = F.lit(KINDS.index("opaque"))
+    start = lambda by: F.struct(by.alias("reach"), F.array().cast(MATCHES).alias("out"))
+
+    def step(done, x):
+        m, after = x["m"], x["after"]
+        free = (m["start"] >= done["reach"]) & (after.isNull() | (after["rank"] == opaque) | (after["start"] >= m["end"]))
+        return (F.when(m["rank"] != opaque, F.struct(F.greatest(done["reach"], m["end"]).alias("reach"), done["out"].alias("out")))
+                .when(free, F.struct(done["reach"].alias("reach"), F.concat(done["out"], F.array(m)).alias("out"))).otherwise(done))
+
+    with_next = lambda i: F.transform(F.slice(every, i, BLOCK), lambda m, j: F.struct(m.alias("m"), F.get(every, i + j).alias("after")))
+    return F.flatten(F.zip_with(_blocks(every), _before(ends, F.lit(0), F.greatest), lambda i, by: F.aggregate(
+        with_next(i), start(by), step, lambda d: d["out"])))
 
 
 def candidates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
-    """Rows (doc_id, owner, text hash, base, opaque): base and opaque matches by start and kind."""
+    """Rows (doc_id, owner, text hash, base, opaque): base and opaque matches by start and kind.
+    Each select is a step of its own, as an array that a lambda function reads would otherwise be
+    worked out again for each of its elements."""
     rows = df.select(col(doc_id).alias("doc_id"), col(owner).alias("owner"), F.coalesce(col(text), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "owner", F.xxhash64("text").alias("hash"),
-                       F.filter(matches(F.col("text"), "assign"), lambda m: F.char_length(m["value"]) >= ASSIGNED).alias("a"),
-                       matches(F.col("text"), "access").alias("b"), matches(F.col("text"), "hex").alias("c"),
-                       F.filter(matches(F.col("text"), "opaque"), lambda m: F.regexp_like(m["value"], F.lit("[0-9]"))
-                                & F.regexp_like(m["value"], F.lit("[a-z]")) & F.regexp_like(m["value"], F.lit("[A-Z]"))).alias("opaque"))
-    base = F.sort_array(F.concat("a", "b", "c"))
-    rows = rows.select("doc_id", "owner", "hash", base.alias("base"), "opaque")
-    # An opaque string that touches a base span is that span's.
-    apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    return rows.withColumn("opaque", F.filter("opaque", apart))
+    own = ["doc_id", "owner", "hash"]
+    rows = rows.select("doc_id", "owner", F.xxhash64("text").alias("hash"), *[gaps(F.col("text"), k).alias(k) for k in KINDS])
+    rows = rows.select(*own, *[in_blocks(F.col(k), k).alias(k) for k in KINDS])
+    rows = rows.select(*own, *[placed(F.col(k)).alias(k) for k in KINDS])
+    live = lambda m: F.regexp_like(m["value"], F.lit("[0-9]")) & F.regexp_like(m["value"], F.lit("[a-z]")) & F.regexp_like(m["value"], F.lit("[A-Z]"))
+    base = F.concat(F.filter("assign", lambda m: F.char_length(m["value"]) >= ASSIGNED), F.col("access"), F.col("hex"))
+    rows = rows.select(*own, F.sort_array(base).alias("base"), F.filter("opaque", live).alias("opaque"))
+    rows = rows.select(*own, "base", "opaque", F.sort_array(F.concat("base", "opaque")).alias("every"))
+    last = lambda i: F.array_max(F.transform(F.slice("every", i, BLOCK), lambda m: F.when(m["rank"] == KINDS.index("opaque"), 0).otherwise(m["end"])))
+    rows = rows.withColumn("ends", F.transform(_blocks(F.col("every")), lambda i: F.coalesce(last(i), F.lit(0))))
+    free = F.when((F.size("opaque") == 0) | (F.size("base") == 0), F.col("opaque")).otherwise(apart(F.col("every"), F.col("ends")))
+    return rows.select(*own, "base", free.alias("opaque"))
 
 
 def looks_live(value: Column) -> Column:
