@@ -11,6 +11,9 @@ they agree with the old ones for as many bytes as the longest token has.
 Text is split by the vocabulary's pattern first and each match is encoded by itself; a match
 that is a token becomes that token. Special tokens are ordinary text.
 
+The tables of a vocabulary of 50,000 tokens take about 45 MB in each Python worker; the matches and
+pairs that it remembers are bounded by ``REMEMBERED`` and ``PAIRS``.
+
 Defined results: a null text counts as empty; an empty text has no tokens; very long texts and
 very long matches take time in proportion to their length; repeated rows get equal results; rows
 and extra columns pass through unchanged.
@@ -20,8 +23,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -34,11 +39,12 @@ from tidemark.llm.common import col, documents, ship
 #: Stands for a merge that does not exist.
 NEVER = 1 << 60
 
-#: The key of a node's token in the tree of tokens (no byte).
-TOKEN = 256
+#: Matches remembered by one Python worker in each of two generations: when the new one is full it
+#: becomes the old one, whose matches come back to the new one when they are met again.
+REMEMBERED = 100_000
 
-#: Matches (and token pairs) remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Token pairs remembered by one Python worker; beyond it the memory starts anew.
+PAIRS = 150_000
 
 #: White space as the vocabulary's pattern means it (the Unicode property), written out because
 #: Python's own class for it differs in four control characters.
@@ -65,6 +71,24 @@ def split_pattern(pattern: str) -> regex.Pattern:
     return regex.compile("".join(out))
 
 
+class Remembered(dict):
+    """Matches and their ids in two generations; long matches are not kept."""
+
+    def __init__(self, make):
+        self.make, self.older = make, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class PrefixEncoder:
     """The encoder of one vocabulary. ``ranks``: token bytes -> id; lower ids merge first."""
 
@@ -73,21 +97,47 @@ class PrefixEncoder:
         self.split = split_pattern(pattern).findall
         self.longest = max(map(len, ranks))
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.length = {i: len(b) for b, i in ranks.items()}
         self.names = {i: str(i) for i in self.bytes_of}
-        self._spines: tuple[dict, dict] = ({}, {})
+        self._spines: dict[int, tuple[tuple[int, ...], tuple[int, ...]]] = {}
         self._apart: dict[int, bool] = {}
-        self._pieces: dict[str, tuple[int, ...]] = {}
+        self._pieces = Remembered(self.piece)
         missing = [k for k in range(256) if bytes([k]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
-        #: The tokens as a tree of bytes; under TOKEN the id, or -1 where no token that the
-        #: merges build ends.
-        self.tree: dict = {TOKEN: -1}
-        for data, token in ranks.items():
-            node = self.tree
+        self._automaton()
+
+    def _automaton(self) -> None:
+        """The tokens as states of bytes, in flat tables: ``step`` (state and byte to state),
+        ``fail`` (the longest end of a state's bytes that is a state too), ``best`` (the longest
+        token at the end of a state's bytes) and ``shorter`` (the next shorter one at a token's
+        own end). Tokens that the merges do not build from their bytes are left out."""
+        step, depth, token_of = {}, array("i", [0]), array("i", [-1])
+        for data, token in self.ranks.items():
+            state = 0
             for byte in data:
-                node = node.setdefault(byte, {TOKEN: -1})
-            node[TOKEN] = token if self.whole(token) else -1
+                after = step.get(state << 8 | byte)
+                if after is None:
+                    after = step[state << 8 | byte] = len(depth)
+                    depth.append(depth[state] + 1)
+                    token_of.append(-1)
+                state = after
+            if self.whole(token):
+                token_of[state] = token
+        self._spines.clear()
+        fail, best, shorter = array("i", bytes(4 * len(depth))), array("i", token_of), {}
+        for key, state in sorted(step.items(), key=lambda e: depth[e[1]]):
+            end, byte = key >> 8, key & 255
+            while end and state:
+                end = fail[end]
+                if (after := step.get(end << 8 | byte)) is not None:
+                    fail[state] = after
+                    break
+            if token_of[state] >= 0:
+                shorter[token_of[state]] = best[fail[state]]
+            else:
+                best[state] = best[fail[state]]
+        self.step, self.fail, self.best, self.shorter = step, fail, best, shorter
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> "PrefixEncoder":
@@ -106,14 +156,14 @@ class PrefixEncoder:
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return [ranks[p] for p in parts]
 
-    def spine(self, token: int, right: bool) -> list[tuple[int, bytes]] | None:
-        """The parts that stand at a token's right (left) edge while the merges build it, each
-        with its rank; None if the merges do not build the token from its bytes."""
-        if (known := self._spines[right].get(token, 0)) != 0:
+    def spine(self, token: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """The tokens that stand at a token's left and at its right edge while the merges build
+        it, single bytes first; two empty ones if they do not build it from its bytes."""
+        if (known := self._spines.get(token)) is not None:
             return known
         ranks, whole = self.ranks, self.bytes_of[token]
         parts = [whole[k : k + 1] for k in range(len(whole))]
-        edges = ([(-1, parts[0])], [(-1, parts[-1])])
+        edges = ([ranks[parts[0]]], [ranks[parts[-1]]])
         while len(parts) > 1:
             best = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], NEVER))
             rank = ranks.get(parts[best] + parts[best + 1], NEVER)
@@ -121,26 +171,24 @@ class PrefixEncoder:
                 break
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
             if best == 0:
-                edges[0].append((rank, parts[0]))
+                edges[0].append(rank)
             if best == len(parts) - 1:
-                edges[1].append((rank, parts[-1]))
-        built = parts == [whole]
-        for k in (0, 1):
-            self._spines[k][token] = edges[k] if built else None
-        return self._spines[right][token]
+                edges[1].append(rank)
+        known = self._spines[token] = (tuple(edges[0]), tuple(edges[1])) if parts == [whole] else ((), ())
+        return known
 
     def whole(self, token: int) -> bool:
         """Whether the merges build this token from its bytes."""
-        return self.spine(token, True) is not None
+        return bool(self.spine(token)[0])
 
     def apart(self, left: int, right: int) -> bool:
         """Whether ``left`` before ``right`` survives the merges as these two tokens: at no time
         would the parts that then stand at the border join before one of them grows inwards."""
-        a, b, i, j, get = self.spine(left, True), self.spine(right, False), 0, 0, self.ranks.get
+        a, b, i, j, get, of = self.spine(left)[1], self.spine(right)[0], 0, 0, self.ranks.get, self.bytes_of
         while True:
-            grow_a = a[i + 1][0] if i + 1 < len(a) else NEVER
-            grow_b = b[j + 1][0] if j + 1 < len(b) else NEVER
-            joint = get(a[i][1] + b[j][1], NEVER)
+            grow_a = a[i + 1] if i + 1 < len(a) else NEVER
+            grow_b = b[j + 1] if j + 1 < len(b) else NEVER
+            joint = get(of[a[i]] + of[b[j]], NEVER)
             if joint < grow_a and joint <= grow_b and joint != NEVER:
                 return False
             if grow_a == grow_b == NEVER:
@@ -152,29 +200,31 @@ class PrefixEncoder:
 
     def prefix_tokens(self, data: bytes, last: list[int] | None = None) -> list[int]:
         """``last[e]`` is the last token of the encoding of ``data[:e]`` (``last[0]`` is -1).
-        A given ``last`` covers a first part of ``data`` and is continued in place."""
-        known, size = (1 if last is None else len(last)), len(data) + 1
+        A given ``last`` covers a first part of ``data`` and is continued in place. The tokens at
+        the end of a prefix are tried from the longest on; exactly one of them fits."""
         last = [-1] if last is None else last
-        last.extend([-2] * (size - known))
-        tree, apart, pairs = self.tree, self.apart, self._apart
-        for start in range(max(0, known - self.longest), size - 1):
-            left, node = last[start], tree
-            for end in range(start, size - 1):
-                node = node.get(data[end])
-                if node is None:  # no token begins with these bytes
+        known = len(last) - 1
+        step, fail, best, shorter, pairs, length = self.step, self.fail, self.best, self.shorter, self._apart, self.length
+        state, first = 0, max(0, known - self.longest)
+        for end, byte in enumerate(data[first:] if first else data, first + 1):
+            key = state << 8 | byte
+            while key not in step:
+                key = fail[key >> 8] << 8 | byte
+            state = step[key]
+            if end <= known:  # only the state is needed here
+                continue
+            token = best[state]
+            while (left := last[end - length[token]]) >= 0:
+                pair = left << 32 | token
+                fits = pairs.get(pair)
+                if fits is None:
+                    if len(pairs) >= PAIRS:
+                        pairs.clear()
+                    fits = pairs[pair] = self.apart(left, token)
+                if fits:
                     break
-                token = node[TOKEN]
-                if token >= 0 and last[end + 1] == -2:
-                    if left >= 0:
-                        pair = left << 32 | token
-                        fits = pairs.get(pair)
-                        if fits is None:
-                            if len(pairs) >= 5 * REMEMBERED:
-                                pairs.clear()
-                            fits = pairs[pair] = apart(left, token)
-                        if not fits:
-                            continue
-                    last[end + 1] = token
+                token = shorter[token]
+            last.append(token)
         return last
 
     def read_back(self, last: list[int]) -> list[int]:
@@ -201,7 +251,7 @@ class PrefixEncoder:
             self.prefix_tokens(text[:end], table)
             done += 1
             old = end - shift
-            same = same + 1 if old > upto and last[old] == table[end] and end - self.longest * 2 < old + shift else 0
+            same = same + 1 if old > upto and last[old] == table[end] else 0
             if same >= 2 * self.longest:
                 table.extend(last[old + 1 :])
                 break
@@ -209,23 +259,12 @@ class PrefixEncoder:
 
     def piece(self, piece: str) -> tuple[int, ...]:
         """The ids of one match of the pattern."""
-        ids = self._pieces.get(piece)
-        if ids is None:
-            data = piece.encode()
-            whole = self.ranks.get(data)
-            ids = (whole,) if whole is not None else tuple(self.read_back(self.prefix_tokens(data)))
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
-            if len(piece) <= 64:
-                self._pieces[piece] = ids
-        return ids
+        data = piece.encode()
+        whole = self.ranks.get(data)
+        return (whole,) if whole is not None else tuple(self.read_back(self.prefix_tokens(data)))
 
     def encode(self, text: str | None) -> list[int]:
-        known, piece, out = self._pieces, self.piece, []
-        for match in self.split(text or ""):
-            ids = known.get(match)
-            out += piece(match) if ids is None else ids
-        return out
+        return list(chain.from_iterable(map(self._pieces.__getitem__, self.split(text or ""))))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
