@@ -65,3 +65,22 @@ def test_documents_and_odd_rows(spark, odd, none):
 def test_vocabulary_without_a_byte_is_refused():
     with pytest.raises(ValueError):
         type(E)({b"a": 0}, P.PATTERN)
+
+
+def test_short_matches_with_memories_that_are_full(monkeypatch):
+    """Their tables are filled in only where they are asked for, whatever the memories hold."""
+    from tidemark.llm import bpe
+    rnd, pieces = random.Random(6), []
+    for _ in range(400):
+        pieces.append("".join(rnd.choice(["the", "tion", " an", "er", "ß", "漢", "qx", "  ", "9", "é"]) for _ in range(rnd.randint(1, 9))))
+    for most in (1, 7, 1000):
+        monkeypatch.setattr(bpe, "PREFIXES", most)
+        monkeypatch.setattr(bpe, "PAIRS", most)
+        one = type(E)(E.ranks, P.PATTERN)
+        for piece in pieces:
+            assert list(one.piece(piece)) == ([E.ranks[piece.encode()]] if piece.encode() in E.ranks else E.merged(piece.encode()))
+        assert 0 < len(one._prefixes) <= most and len(one._apart) <= most
+    data = " extraordinarilyunbelievable".encode()
+    last = [-1] + [-2] * len(data)
+    E.last_token(data, len(data), last)
+    assert last[-1] == E.merged(data)[-1] and last.count(-2) > len(data) // 2
