@@ -84,3 +84,14 @@ def test_short_matches_with_memories_that_are_full(monkeypatch):
     last = [-1] + [-2] * len(data)
     E.last_token(data, len(data), last)
     assert last[-1] == E.merged(data)[-1] and last.count(-2) > len(data) // 2
+
+
+def test_memories_can_be_emptied(spark, odd):
+    one = type(E)(E.ranks, P.PATTERN)
+    text = "The quick brownish foxlets jumpingly overtook lazybones, 12345 times"
+    ids = one.encode(text)
+    assert one._pieces and one._prefixes and one._apart
+    one.forget()
+    assert not (one._pieces or one._pieces.older or one._prefixes or one._apart)
+    assert one.encode(text) == ids == LIBRARY.encode_ordinary(text)
+    assert sorted(digest_documents(odd, keep=False).collect(), key=str) == sorted(digest_documents(odd).collect(), key=str)

@@ -122,3 +122,22 @@ def test_one_row_of_each_class_stays(spark):
     want = {c for _, n, c in by_hand(rows, 5, 80, 100)}
     got = one_of_each(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS))
     assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
+def test_hashes_of_slices_and_what_a_worker_keeps():
+    """Texts over several slices hash as each by itself; the kept powers are few megabytes."""
+    import numpy as np
+    import pyarrow as pa
+    from tidemark.llm import words
+    texts = [" ".join(f"W{i * j}" for i in range(j % 900)) for j in range(900)] + ["", "long " * 200_000, "x"]
+    kept = list(words._powers)
+    words._powers.clear()
+    try:
+        got = [w[b[k] : b[k + 1]].tolist() for _, w, b in words.words_of(pa.array(texts[:-2])) for k in range(len(b) - 1)]
+        assert sum(x.nbytes for x in words._powers) <= 10_000_000
+    finally:
+        words._powers[:] = kept
+    got += [w[b[k] : b[k + 1]].tolist() for _, w, b in words.words_of(pa.array(texts[-2:])) for k in range(len(b) - 1)]
+    assert sum(map(len, texts)) > 2 * words.SLICE_BYTES
+    one = {w: int(h[0]) for w in {x for t in texts for x in t.lower().split()} for h in [words.hashed(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0]]}
+    assert got == [[one[x] for x in t.lower().split()] for t in texts]

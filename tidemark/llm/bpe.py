@@ -283,6 +283,13 @@ class PrefixEncoder:
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(map(self._pieces.__getitem__, self.split(text or ""))))
 
+    def forget(self) -> None:
+        """Empties the memories; the vocabulary's tables stay."""
+        self._pieces.clear()
+        self._pieces.older = {}
+        for memory in (self._spines, self._apart, self._prefixes):
+            memory.clear()
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -331,9 +338,11 @@ def decode_documents(df: DataFrame, ids: str = "ids", out: str = "decoded",
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def digest_documents(df: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+def digest_documents(df: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", keep: bool = True) -> DataFrame:
     """One row per document: token count, digest of the ids, digest of the bytes that the ids
-    decode to. Ids live for one text at a time, in the task that reads it; nothing is shuffled."""
+    decode to. Ids live for one text at a time, in the task that reads it; nothing is shuffled.
+    Without ``keep`` a task leaves its worker no remembered matches: other work that follows in
+    the same worker has that memory."""
     ship(df.sparkSession)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,6 +358,8 @@ def digest_documents(df: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        if not keep:
+            one.forget()
 
     return df.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(digests, DIGESTS)
 

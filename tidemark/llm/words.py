@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-#: Bytes of text that are hashed in one go (a longer text by itself).
-SLICE_BYTES = 1 << 21
+#: Bytes of text that are hashed in one go (a longer text by itself). A worker keeps 16 bytes of
+#: powers for each, and some 30 while it hashes.
+SLICE_BYTES = 1 << 19
 
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _VALUES = np.random.default_rng(20240229).integers(1 << 62, 1 << 64, 256, np.uint64, endpoint=False)
