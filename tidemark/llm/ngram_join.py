@@ -21,10 +21,14 @@ the tokens, the j-th common token of two sets stands among the first n - t + j o
    proportion to its size, not to the square.
 4. Verify. Pairs that cannot link by their sizes, or by how many of their tokens no other set
    has, are left out. All sets of an index entry are first compared to the entry's smallest set only, and
-   linked ones become components. Then, for entries whose sets lie in several components, each
-   set is compared to the sets of the other components that it was not compared to before.
+   linked ones become components. Then, for entries whose sets lie in several components, they
+   are compared to a drawn set of the entry, a few times over; at last each set is compared to
+   the sets of the other components that it was not compared to before.
    So no link between components is lost, and a large group of near copies costs comparisons in
-   proportion to its size. A comparison intersects the two whole sets.
+   proportion to its size. Near copies that do not link are mostly told apart by marks, one bit
+   of 1,024 for each token: each bit that only one of two sets has is a token that the other
+   lacks, so that few pairs are made of sets whose marks differ by too much to link. A comparison
+   intersects the two whole sets.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing (its
 component is its own id); one with fewer words than a shingle is one shingle; a null id takes
@@ -50,6 +54,11 @@ from tidemark.llm.words import bucket_edges, mixed, pack, pack_sorted, unpack, u
 #: A token in up to so many sets is rare; extension of the filter's prefix; input bytes for each bucket.
 RARE, EXTENSION, BUCKET_BYTES = 8, 0.15, 1 << 22
 
+#: Bits of a set's marks as a power of two, as 64-bit words and their columns.
+MARK_BITS = 10
+MARKS = (1 << MARK_BITS) // 64
+WORDS = [f"w{i}" for i in range(MARKS)]
+
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -269,6 +278,22 @@ def _index(rows: pd.DataFrame, law: Law) -> pd.DataFrame:
     return pd.DataFrame({"entry": signed(join(entry, np.uint64)), "key": signed(join(key, np.uint64)), "n": join(size, np.int64), "several": join(several, np.int64)})
 
 
+def _mark(batches):
+    """(key, size, tokens) to (key, size, ``MARKS`` words of bits)."""
+    for batch in batches:
+        bits = np.zeros((batch.num_rows, 64 * MARKS), bool)
+        for row, x in zip(bits, batch.column(2)):
+            row[mixed(np.frombuffer(x.as_buffer(), np.uint64) ^ _ODD[4]) >> np.uint64(64 - MARK_BITS)] = True
+        words = np.packbits(bits, axis=1, bitorder="little").view(np.int64).reshape(batch.num_rows, MARKS)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(words[:, i].copy()) for i in range(MARKS)]],
+                                         names=["key", "n", *WORDS])
+
+
+def lacking(low: str, high: str, one: str = "", other: str = "_2") -> str:
+    """SQL: at least so many tokens of the one set are not in the other."""
+    return " + ".join(f"bit_count({low}{w}{one} & ~{high}{w}{other})" for w in WORDS)
+
+
 def _verify(batches, law):
     for batch in batches:
         keep = []
@@ -280,8 +305,12 @@ def _verify(batches, law):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, law: Law) -> DataFrame:
-    """The pairs (a, b) of set keys that link."""
+def verified(pairs: DataFrame, sets: DataFrame, marked: DataFrame, law: Law) -> DataFrame:
+    """The pairs (a, b) of set keys that link. Those whose marks rule it out are left out first."""
+    other = marked.select(F.col("key").alias("b"), *[F.col(c).alias(f"{c}_2") for c in ("n", *WORDS)])
+    pairs = pairs.join(marked.withColumnRenamed("key", "a"), "a").join(other, "b")
+    common = F.least(F.col("n") - F.expr(lacking("", "")), F.col("n_2") - F.expr(lacking("", "", "_2", "")))
+    pairs = pairs.where(law.linked(common, F.col("n"), F.col("n_2"))).select("a", "b")
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
     return (left.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
             .select("a", "b", "x", "y").mapInArrow(lambda rows: _verify(rows, law), "a bigint, b bigint"))
@@ -307,10 +336,13 @@ def similar_sets(texts: DataFrame, narrow: DataFrame, law: Law, buckets: int, sc
         .groupBy("bucket").applyInPandas(lambda rows: _class_count(rows, buckets), CLASSES)
         .groupBy("bucket").applyInPandas(lambda rows: _index(rows, law), "entry bigint, key bigint, n bigint, several bigint"))
 
-    # Two sets have at most as many tokens in common as either has that are in several sets.
-    return linked_components(index, lambda pairs: verified(pairs, sets, law), scratch,
-                             f"{law.den} * least(several, several_2) >= {law.num} * (n + n_2 - least(several, several_2))",
-                             {"n": "min", "several": "max"})
+    marked = scratch.save(sets.mapInArrow(_mark, "key bigint, n bigint, " + ", ".join(f"{w} bigint" for w in WORDS)))
+    # Two sets have at most as many tokens in common as either has that are in several sets, or
+    # as it has less those that the other one lacks.
+    fits = lambda common: f"{law.den + law.num} * {common} >= {law.num} * (n + n_2)"
+    near = lambda low, high: fits(f"least(several, several_2, most - ({lacking(low, high)}), most_2 - ({lacking(low, high, '_2', '')}))")
+    return linked_components(index.withColumn("most", F.col("n")), lambda pairs: verified(pairs, sets, marked, law), scratch,
+                             fits("least(several, several_2)"), {"n": "min", "most": "max", "several": "max"}, marked.select("key", *WORDS), near)
 
 
 def similar_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, num: int = 80,
