@@ -10,7 +10,7 @@ import corpus_pipeline as cp
 from tidemark.llm.bpe import encoder
 from tidemark.llm.mixing import ENTROPY, EPOCHS
 
-from .conftest import SF
+from .conftest import DOCS, SF
 from .test_lines import by_hand as lines_by_hand
 from .test_ngram_join import by_hand as classes_by_hand
 
@@ -74,3 +74,13 @@ def test_encoding(stages):
 
 def test_run_gives_the_last_stage(spark, stages):
     assert sorted(map(tuple, cp.run(spark, SF).collect())) == sorted(map(tuple, stages[-1][1]))
+
+
+def test_lines_are_compared_by_characters(spark):
+    """Short lines that differ in a year or in one character have too few words in common."""
+    line = "Copyright {} Example Corporation and contributors, all rights reserved worldwide"
+    texts = [f"the first text, of {w}\n{x}" for w, x in (("winter", line.format(2019)), ("spring and rain", line.format(2020)), ("autumn leaves on roads", line.format("2O20")))]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: (r.text, r.n_chars) for r in cp.lines(spark, docs, SF).collect()}
+    want = [texts[0], *[t.split("\n")[0] for t in texts[1:]]]
+    assert got == {i: (t, len(t)) for i, t in enumerate(want)}
